@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from granary.operators.joins import join_unique
-from granary.session import materialise
+from granary.session import materialise_counted
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
     until only stars are left. Vertices may be of any ordered type. Every round starts from a written
     edge table, and the joins on a hub vertex are split by :func:`join_unique`.
     """
-    current = materialise(_oriented(edges), "edges")
+    current, rows = materialise_counted(_oriented(edges), "edges")
     while True:
         around = _neighbourhoods(current).persist()
         try:
@@ -41,18 +41,18 @@ def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
             if loose.isEmpty():
                 break
             best = around.select(F.col("x").alias("lo"), F.least("x", "least").alias("root"))
-            linked = join_unique(current, best, ["lo"], "inner", hot_rows)
-            large = materialise(linked.select("hi", F.col("root").alias("lo")).distinct(), "large-star")
+            linked = join_unique(current, best, ["lo"], "inner", hot_rows, rows)
+            large, rows = materialise_counted(linked.select("hi", F.col("root").alias("lo")).distinct(), "large-star")
         finally:
             around.unpersist()
         lowest = large.groupBy("hi").agg(F.min("lo").alias("root"))
-        pulled = join_unique(large, lowest, ["hi"], "inner", hot_rows)
+        pulled = join_unique(large, lowest, ["hi"], "inner", hot_rows, rows)
         pairs = F.array(
             F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
             F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),
         )
         small = pulled.select(F.inline(pairs)).where(F.col("hi") != F.col("lo")).distinct()
-        current = materialise(small, "small-star")
+        current, rows = materialise_counted(small, "small-star")
     leaves = current.select(F.col("hi").alias("vertex"), F.col("lo").alias("root"))
     centres = current.select(F.col("lo").alias("vertex"), F.col("lo").alias("root")).distinct()
     return leaves.unionAll(centres)

@@ -17,17 +17,25 @@ def _same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]):
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_hot_{k}"]) for k in keys])
 
 
-def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hot_rows: int | None = None) -> DataFrame:
+def hot_limit(rows: int, hot_rows: int | None = None) -> int:
+    """Rows from which a key counts as hot; at most ``rows / limit`` keys can reach it."""
+    return hot_rows or max(HOT_ROWS, rows // HOT_SHARE)
+
+
+def join_unique(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hot_rows: int | None = None, rows: int | None = None
+) -> DataFrame:
     """Join ``left`` to a table with one row per key; ``left`` may repeat a key any number of times.
 
     A key is hot when more than ``hot_rows`` rows of ``left`` hold it. At most rows / hot_rows keys can
     be hot, and ``right`` has one row for each, so that slice of ``right`` is broadcast and the hot rows
     never meet in one task. All other keys go through an ordinary join. ``left`` is read more than once:
-    pass a scan or a written table.
+    pass a scan or a written table. ``rows`` is its row count where known; a table with fewer rows than
+    the limit has no hot key.
     """
     keys = list(keys)
-    rows = left.count()
-    limit = hot_rows or max(HOT_ROWS, rows // HOT_SHARE)
+    rows = left.count() if rows is None else rows
+    limit = hot_limit(rows, hot_rows)
     if rows <= limit:
         return left.join(right, keys, how)
     hot = (

@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from granary.operators.components import component_roots
-from granary.operators.joins import join_unique
+from granary.operators.joins import hot_limit, join_unique
 from granary.operators.rows import numbered
-from granary.session import materialise
+from granary.session import materialise, materialise_counted
 
 ORDER = ["pl_udate", "pl_utime", "pl_rsnum", "pl_rspos", "pl_rsnum_new", "pl_rspos_new"]
 ENDS = ["pl_rsnum", "pl_rspos", "pl_rsnum_new", "pl_rspos_new"]
@@ -65,10 +65,10 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
     """``chains`` after one load ``log``; ``now`` stamps new items and items whose chain was merged.
 
     Numbers are drawn after the largest one in use. Date and time of a new item are those of the first
-    row that names it, in the order date, time, key.
+    row that names it, in the order date, time, key. ``chains`` is read more than once: pass a scan or a
+    written table.
     """
-    log = materialise(log.where(~has_null_key()).select(*ORDER).distinct(), "log")
-    chains = materialise(chains.select("plc_rsnum", "plc_rspos", "plc_udate", "plc_utime", "chain_id", "plc_lchg_date_time"), "chains")
+    log, rows = materialise_counted(log.where(~has_null_key()).select(*ORDER).distinct(), "log")
     known = chains.select(F.col("plc_rsnum").alias("a"), F.col("plc_rspos").alias("b"), F.col("chain_id").alias("old_id"))
     items = materialise(log_items(log).join(known, ["a", "b"], "left"), "items")
 
@@ -88,13 +88,15 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
         items.join(opened, "seq", "left").withColumn("vertex", _vertex(label, F.col("a"), F.col("b"), is_known)), "vertices"
     )
 
-    links = materialise(log.where(~is_terminal() & ~_is_self()).select(*ENDS).distinct(), "links")
+    links = log.where(~is_terminal() & ~_is_self()).select(*ENDS)
     lookup = vertices.select("a", "b", "vertex")
     sources = lookup.withColumnsRenamed({"a": "pl_rsnum", "b": "pl_rspos", "vertex": "u"})
     targets = lookup.withColumnsRenamed({"a": "pl_rsnum_new", "b": "pl_rspos_new", "vertex": "v"})
-    half = join_unique(links, sources, ["pl_rsnum", "pl_rspos"], "inner", hot_rows).select("pl_rsnum_new", "pl_rspos_new", "u")
-    edges = join_unique(materialise(half, "half"), targets, ["pl_rsnum_new", "pl_rspos_new"], "inner", hot_rows)
-    roots = materialise(component_roots(edges.select("u", "v"), hot_rows), "roots")
+    half = join_unique(links, sources, ["pl_rsnum", "pl_rspos"], "inner", hot_rows, rows).select("pl_rsnum_new", "pl_rspos_new", "u")
+    if rows > hot_limit(rows, hot_rows):
+        half = materialise(half, "half")
+    edges = join_unique(half, targets, ["pl_rsnum_new", "pl_rspos_new"], "inner", hot_rows, rows)
+    roots = component_roots(edges.select("u", "v"), hot_rows)
 
     merged = roots.where((F.col("vertex.kind") == 0) & (F.col("root.label") < F.col("vertex.label")))
     merged = merged.select(F.col("vertex.label").alias("chain_id"), F.col("root.label").alias("_new_id"))
@@ -126,5 +128,5 @@ def no_chains(spark) -> DataFrame:
 def chains_of_loads(chains: DataFrame, log: DataFrame, loads: Sequence[str], now: dt.datetime, hot_rows: int | None = None) -> DataFrame:
     """Run the pending loads one after another, as chain numbers depend on their order."""
     for load in loads:
-        chains = extended_chains(chains, log.where(F.col("load_id") == load), now, hot_rows)
+        chains = materialise(extended_chains(chains, log.where(F.col("load_id") == load), now, hot_rows), "chains")
     return chains

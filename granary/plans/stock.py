@@ -109,8 +109,22 @@ def _ledger(stock: DataFrame, reqstock: DataFrame, warehouses: DataFrame, months
     )
     needed = required_rows(reqstock, as_of, since).where(F.col("date") < until).join(area_map(warehouses), "area")
     needed = needed.dropna(subset=KEY).select(*KEY, "date", F.col("qty").alias("need"), F.lit(1).alias("needed"))
-    return (
+    by_type = (
         held.unionByName(needed, allowMissingColumns=True)
+        .groupBy(*KEY, "date", "bwtar")
+        .agg(
+            F.sum("any_qty").alias("any_qty"),
+            F.sum("qty").alias("qty"),
+            F.sum("amt").alias("amt"),
+            F.max("held").alias("held"),
+            F.sum("need").alias("need"),
+            F.max("needed").alias("needed"),
+        )
+    )
+    # The greatest valuation type is a text maximum, which would sort the raw rows; as a key it is hashed,
+    # and the few types of a key are folded after the shuffle that the windows need anyway.
+    return (
+        by_type.repartition("o_divis", "r_divis", "matnr")
         .groupBy(*KEY, "date")
         .agg(
             F.coalesce(F.sum("any_qty"), F.lit(0)).alias("any_qty"),
@@ -162,8 +176,8 @@ def categorised(
     ledger = _ledger(stock, reqstock, warehouses, months, as_of)
     # At most two years of dates and of months: both sides are bounded by the calendar.
     ledger = ledger.join(F.broadcast(dates.withColumn("in_spine", F.lit(True))), "date", "left")
-    ledger = ledger.withColumn("month", month_number(F.col("date")))
-    ledger = ledger.join(F.broadcast(per_month), "month", "left").repartition("o_divis", "r_divis", "matnr")
+    ledger = ledger.withColumns({"month": month_number(F.col("date")), "reach": _window_month()})
+    ledger = ledger.join(F.broadcast(per_month), "month", "left")
 
     keyed = F.col("werks").isNotNull() & F.col("matnr").isNotNull()
     counts = F.col("in_spine") & keyed
@@ -174,25 +188,24 @@ def categorised(
     lowest = F.when(opening, F.min("balance").over(own)).otherwise(F.min("balance").over(earlier))
     seen = F.when(opening, F.count("balance").over(own)).otherwise(F.count("balance").over(earlier))
     wanted = month_start("date").isin(*[as_date(m) for m in months])
+    capped = F.least(F.coalesce("lowest", F.lit(0)), F.lit(0))
     rows = (
-        ledger.withColumn("reach", _window_month())
-        .withColumn("balance", balance)
-        .withColumn("is_total", (F.coalesce("held", F.lit(0)) > 0) & wanted)
-        .withColumn("lowest", lowest)
-        .withColumn("seen", seen)
-        .withColumn("lowest", F.when(F.col("seen") < F.col("days"), F.least(F.coalesce("lowest", F.lit(0)), F.lit(0))).otherwise(F.col("lowest")))
+        ledger.withColumns({"balance": balance, "is_total": (F.coalesce("held", F.lit(0)) > 0) & wanted})
+        .withColumns({"lowest": lowest, "seen": seen})
+        .withColumn("lowest", F.when(F.col("seen") < F.col("days"), capped).otherwise(F.col("lowest")))
     )
     group = ["o_divis", "r_divis", "matnr", "month"] + (["werks"] if per_plant else [])
     same_month = Window.partitionBy("o_divis", "r_divis", "matnr", "werks", "month")
     priced = F.col("is_total") & opening & keyed
-    rows = (
-        rows.withColumn("least", F.min(F.when(F.col("is_total"), F.col("lowest"))).over(Window.partitionBy(*group)))
-        .withColumn("open_qty", F.max(F.when(priced, F.col("qty"))).over(same_month))
-        .withColumn("open_amt", F.max(F.when(priced, F.col("amt"))).over(same_month))
-        .withColumn("open_bwtar", F.max(F.when(opening & keyed, F.col("bwtar"))).over(same_month))
-        .withColumn("copies", F.sum(F.when(F.col("is_total"), 1)).over(same_month))
-        .where("is_total")
-    )
+    rows = rows.withColumns(
+        {
+            "least": F.min(F.when(F.col("is_total"), F.col("lowest"))).over(Window.partitionBy(*group)),
+            "open_qty": F.max(F.when(priced, F.col("qty"))).over(same_month),
+            "open_amt": F.max(F.when(priced, F.col("amt"))).over(same_month),
+            "open_bwtar": F.max(F.when(opening & keyed, F.col("bwtar"))).over(same_month),
+            "copies": F.sum(F.when(F.col("is_total"), 1)).over(same_month),
+        }
+    ).where("is_total")
     return _kinds(rows, opening, keyed)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +57,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As :func:`materialise`, with the row count observed while writing."""
+    seen = Observation(label)
+    table = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return table, seen.get["rows"]

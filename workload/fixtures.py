@@ -221,7 +221,7 @@ SQL["log"] = """
     CASE WHEN o_orderkey % 10 = 9 THEN 0 ELSE t // 10 END AS pl_rsnum_new,
     CASE WHEN o_orderkey % 10 = 9 THEN 0 ELSE t % 10 + 1 END AS pl_rspos_new,
     CAST(o_orderdate AS DATE) AS pl_udate, lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00' AS pl_utime,
-    'L' || year(o_orderdate) AS load_id
+    'L' || (year(o_orderdate) // 3) AS load_id
   FROM (SELECT *, CASE WHEN o_orderkey % 41 = 0 THEN o_orderkey WHEN o_orderkey % 29 = 0 THEN o_orderkey // 2
                   ELSE o_orderkey + 1 END AS t FROM orders)"""
 
@@ -242,7 +242,7 @@ def log(spark: SparkSession, sf: str) -> DataFrame:
         F.when(ends, F.lit(0).cast("bigint")).otherwise(F.col("t") % 10 + 1).alias("pl_rspos_new"),
         F.to_date("o_orderdate").alias("pl_udate"),
         F.concat(F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("pl_utime"),
-        F.concat(F.lit("L"), F.year("o_orderdate").cast("string")).alias("load_id"),
+        F.concat(F.lit("L"), F.floor(F.year("o_orderdate") / 3).cast("string")).alias("load_id"),
     )
 
 
