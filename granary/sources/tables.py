@@ -23,10 +23,13 @@ def lines(spark: SparkSession, path: str, name: str = "str") -> DataFrame:
 
 
 def quoted_cells(rows: DataFrame, line: str, names: Sequence[str], separator: str = ";", quote: str = '"') -> DataFrame:
-    """Split quoted, separated lines into text columns called ``names``; an unquoted empty cell is NULL."""
+    """Split quoted, separated lines into text columns called ``names``; an unquoted empty cell is NULL.
+
+    A quote inside a quoted cell is doubled.
+    """
     places = [f"c{i}" for i in range(len(names))]
     schema = ", ".join(f"{p} STRING" for p in places)
-    parsed = F.from_csv(F.col(line), F.lit(schema), {"sep": separator, "quote": quote})
+    parsed = F.from_csv(F.col(line), F.lit(schema), {"sep": separator, "quote": quote, "escape": quote})
     cells = rows.select(parsed.alias("_cells"))
     return cells.select(*[F.col(f"_cells.{p}").alias(n) for p, n in zip(places, names, strict=True)])
 
@@ -34,7 +37,7 @@ def quoted_cells(rows: DataFrame, line: str, names: Sequence[str], separator: st
 def quoted_file(spark: SparkSession, path: str, names: Sequence[str], separator: str = ";", quote: str = '"') -> DataFrame:
     """Quoted delimited file without heading handling: every line is data, every column text."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.csv(path, sep=separator, quote=quote, schema=schema)
+    return spark.read.csv(path, sep=separator, quote=quote, escape=quote, schema=schema)
 
 
 def literal(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:

@@ -319,7 +319,7 @@ SQL["paid_regimes"] = "SELECT CAST(s_suppkey * 2 AS VARCHAR) AS inn FROM supplie
 SQL["special_regimes"] = "SELECT CAST(o_custkey AS VARCHAR) AS inn FROM orders WHERE o_orderpriority = '5-LOW'"
 SQL["income"] = """
   SELECT CAST(o_custkey AS VARCHAR) AS inn, CAST(o_totalprice AS DECIMAL(18,2)) AS income_75,
-    CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice / 2 AS DECIMAL(18,2)) END AS expenses_75
+    CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS expenses_75
   FROM orders WHERE o_orderpriority = '1-URGENT'"""
 SQL["fines"] = """
   SELECT CAST(o_custkey AS VARCHAR) AS inn, CAST(o_totalprice AS DECIMAL(18,2)) AS fine_78
@@ -358,7 +358,7 @@ def open_data(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "income": orders.where(F.col("o_orderpriority") == "1-URGENT").select(
             inn,
             price.alias("income_75"),
-            F.when(F.col("o_orderstatus") != "P", money(F.col("o_totalprice") / 2)).alias("expenses_75"),
+            F.when(F.col("o_orderstatus") != "P", price).alias("expenses_75"),
         ),
         "fines": orders.where(F.col("o_orderpriority") == "2-HIGH").select(inn, price.alias("fine_78")),
         "staff": customer.where(F.col("c_acctbal") > 0).select(
