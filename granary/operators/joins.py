@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from granary.operators.rows import one_row_per_key
+from granary.session import materialise
 
 HOT_ROWS = 1_000_000
 HOT_SHARE = 500
@@ -52,17 +53,27 @@ def join_unique(
     return crowded.unionByName(others)
 
 
-def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def left_join_many(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None = None, rows: int | None = None
+) -> DataFrame:
     """Left join whose *right* side may repeat a key any number of times.
 
-    A left outer join cannot split its right side. The matched rows are therefore an inner join, which
-    adaptive execution may split on either side, and the rows without a partner are added by an anti
-    join against the distinct keys.
+    A left outer join cannot split its right side. Hot keys of the right side do have partners, so for
+    them an inner join gives the same rows, and adaptive execution may split that on either side. The
+    other keys go through an ordinary left join. ``right`` is read more than once and ``rows`` is its
+    row count where known; a table with fewer rows than the limit has no hot key.
     """
     keys = list(keys)
-    matched = left.join(right, keys, "inner")
-    missing = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(missing, allowMissingColumns=True).select(*matched.columns)
+    rows = right.count() if rows is None else rows
+    limit = hot_limit(rows, hot_rows)
+    if rows <= limit:
+        return left.join(right, keys, "left")
+    left = materialise(left, "left")
+    hot = right.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).select(*keys)
+    hot = F.broadcast(hot.dropna())  # at most rows / limit keys
+    crowded = left.join(hot, keys, "left_semi").join(right.join(hot, keys, "left_semi"), keys)
+    others = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, "left")
+    return crowded.unionByName(others)
 
 
 def update_from(target: DataFrame, source: DataFrame, on: dict[str, str], assign: dict[str, str]) -> DataFrame:

@@ -18,8 +18,6 @@ from granary.operators.rows import numbered
 from granary.session import materialise, materialise_counted
 
 ORDER = ["pl_udate", "pl_utime", "pl_rsnum", "pl_rspos", "pl_rsnum_new", "pl_rspos_new"]
-ENDS = ["pl_rsnum", "pl_rspos", "pl_rsnum_new", "pl_rspos_new"]
-UNNUMBERED = (1 << 63) - 1
 CHAIN_SCHEMA = (
     "plc_rsnum bigint, plc_rspos bigint, plc_udate date, plc_utime string, chain_id bigint, plc_lchg_date_time timestamp"
 )
@@ -29,7 +27,7 @@ def is_terminal() -> Column:
     return (F.col("pl_rsnum_new") == 0) & (F.col("pl_rspos_new") == 0)
 
 
-def _is_self() -> Column:
+def is_self() -> Column:
     return (F.col("pl_rsnum") == F.col("pl_rsnum_new")) & (F.col("pl_rspos") == F.col("pl_rspos_new"))
 
 
@@ -38,27 +36,20 @@ def has_null_key() -> Column:
     return F.col("pl_rsnum").isNull() | F.col("pl_rspos").isNull() | F.col("pl_rsnum_new").isNull() | F.col("pl_rspos_new").isNull()
 
 
-def log_items(log: DataFrame) -> DataFrame:
-    """Distinct items of the log with the first row (``seq``) that names each."""
-    source = F.struct(F.col("pl_rsnum").alias("a"), F.col("pl_rspos").alias("b"))
-    target = F.struct(F.col("pl_rsnum_new").alias("a"), F.col("pl_rspos_new").alias("b"))
-    ends = F.when(is_terminal(), F.array(source)).otherwise(F.array(source, target))
-    rows = log.select(F.explode(ends).alias("item"), F.struct(*ORDER).alias("seq"))
-    return rows.groupBy("item.a", "item.b").agg(F.min("seq").alias("seq"))
+def numbered_log(log: DataFrame) -> DataFrame:
+    """Distinct log rows with their place ``seq`` in the order date, time, key."""
+    return numbered(log.where(~has_null_key()).select(*ORDER).distinct(), ORDER, "seq")
 
 
-def _vertex(label: Column, a: Column, b: Column, known: Column) -> Column:
-    """Vertices sort by chain number first, so the least vertex of a component carries its final number.
+def first_rows(log: DataFrame) -> DataFrame:
+    """Items ``a, b`` of a numbered log with the place of the first row that names each.
 
-    All known items of a chain are one vertex: only the load takes part in the rounds, not the history.
+    A terminal row names only its source. A hub item combines on the map side, on numbers.
     """
-    zero = F.lit(0).cast("bigint")
-    return F.struct(
-        label.alias("label"),
-        F.when(known, 0).otherwise(1).alias("kind"),
-        F.when(known, zero).otherwise(a).alias("a"),
-        F.when(known, zero).otherwise(b).alias("b"),
-    )
+    source = F.struct(F.col("pl_rsnum").alias("a"), F.col("pl_rspos").alias("b"))
+    target = F.struct(F.col("pl_rsnum_new").alias("a"), F.col("pl_rspos_new").alias("b"))
+    ends = F.when(is_terminal(), F.array(source)).otherwise(F.array(source, target))
+    return log.select("seq", F.inline(ends)).groupBy("a", "b").agg(F.min("seq").alias("seq"))
 
 
 def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_rows: int | None = None) -> DataFrame:
@@ -67,39 +58,41 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
     Numbers are drawn after the largest one in use. Date and time of a new item are those of the first
     row that names it, in the order date, time, key. ``chains`` is read more than once: pass a scan or a
     written table.
+
+    The components are found among numbers, not items: a known item stands for its chain, the items of
+    an opening row for the new chain, and every other new item gets a number above all chains. So only
+    the load takes part in the rounds, and the least number of a component is its final chain.
     """
-    log, rows = materialise_counted(log.where(~has_null_key()).select(*ORDER).distinct(), "log")
+    log = numbered_log(log)
+    single = (is_terminal() | is_self()).alias("single")
     known = chains.select(F.col("plc_rsnum").alias("a"), F.col("plc_rspos").alias("b"), F.col("chain_id").alias("old_id"))
-    items = materialise(log_items(log).join(known, ["a", "b"], "left"), "items")
+    items = first_rows(log).join(log.select("seq", "pl_udate", "pl_utime", single), "seq")
+    items = materialise(items.join(known, ["a", "b"], "left"), "items")
 
     # A row opens a chain when all its items are new and first named by it.
-    seq = {c: F.col(f"seq.{c}") for c in ORDER}
-    single = ((seq["pl_rsnum_new"] == 0) & (seq["pl_rspos_new"] == 0)) | (
-        (seq["pl_rsnum"] == seq["pl_rsnum_new"]) & (seq["pl_rspos"] == seq["pl_rspos_new"])
-    )
-    firsts = items.where(F.col("old_id").isNull()).groupBy("seq").agg(F.count("*").alias("items"))
-    opening = firsts.where(F.col("items") == F.when(single, 1).otherwise(2)).select("seq")
-    base = chains.agg(F.coalesce(F.max("chain_id"), F.lit(0)).alias("base")).first()["base"]
+    named = items.where(F.col("old_id").isNull()).groupBy("seq", "single").agg(F.count("*").alias("items"))
+    opening = named.where(F.col("items") == F.when(F.col("single"), 1).otherwise(2)).select("seq")
+    base = chains.agg(F.coalesce(F.max("chain_id"), F.lit(0)).alias("top")).first()["top"]
     opened = numbered(opening, ["seq"], "opened_id", start=base + 1)
+    top = opened.agg(F.coalesce(F.max("opened_id"), F.lit(base)).alias("top")).first()["top"]
 
-    is_known = F.col("old_id").isNotNull()
-    label = F.coalesce("old_id", "opened_id", F.lit(UNNUMBERED))
-    vertices = materialise(
-        items.join(opened, "seq", "left").withColumn("vertex", _vertex(label, F.col("a"), F.col("b"), is_known)), "vertices"
-    )
+    placed = items.join(opened, "seq", "left").withColumn("vertex", F.coalesce("old_id", "opened_id")).drop("opened_id")
+    placed = materialise(placed, "placed")
+    joining = numbered(placed.where(F.col("vertex").isNull()).drop("vertex"), ["a", "b"], "vertex", start=top + 1)
+    vertices = materialise(placed.where(F.col("vertex").isNotNull()).unionByName(joining), "vertices")
 
-    links = log.where(~is_terminal() & ~_is_self()).select(*ENDS)
-    lookup = vertices.select("a", "b", "vertex")
-    sources = lookup.withColumnsRenamed({"a": "pl_rsnum", "b": "pl_rspos", "vertex": "u"})
-    targets = lookup.withColumnsRenamed({"a": "pl_rsnum_new", "b": "pl_rspos_new", "vertex": "v"})
+    links, rows = materialise_counted(log.where(~is_terminal() & ~is_self()).drop("seq", "pl_udate", "pl_utime"), "links")
+    ends = vertices.select("a", "b", "vertex")
+    sources = ends.withColumnsRenamed({"a": "pl_rsnum", "b": "pl_rspos", "vertex": "u"})
+    targets = ends.withColumnsRenamed({"a": "pl_rsnum_new", "b": "pl_rspos_new", "vertex": "v"})
     half = join_unique(links, sources, ["pl_rsnum", "pl_rspos"], "inner", hot_rows, rows).select("pl_rsnum_new", "pl_rspos_new", "u")
     if rows > hot_limit(rows, hot_rows):
         half = materialise(half, "half")
     edges = join_unique(half, targets, ["pl_rsnum_new", "pl_rspos_new"], "inner", hot_rows, rows)
     roots = component_roots(edges.select("u", "v"), hot_rows)
 
-    merged = roots.where((F.col("vertex.kind") == 0) & (F.col("root.label") < F.col("vertex.label")))
-    merged = merged.select(F.col("vertex.label").alias("chain_id"), F.col("root.label").alias("_new_id"))
+    merged = roots.where((F.col("root") < F.col("vertex")) & (F.col("vertex") <= base))
+    merged = merged.select(F.col("vertex").alias("chain_id"), F.col("root").alias("_new_id"))
     stamp = F.lit(now).cast("timestamp")
     fell = F.col("_new_id").isNotNull()
     old_items = join_unique(chains, merged, ["chain_id"], "left", hot_rows).select(
@@ -110,12 +103,13 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
         F.coalesce("_new_id", "chain_id").alias("chain_id"),
         F.when(fell, stamp).otherwise(F.col("plc_lchg_date_time")).alias("plc_lchg_date_time"),
     )
+    # Only the two items of an opening row share a vertex, so this join repeats no vertex more than twice.
     new_items = vertices.where(F.col("old_id").isNull()).join(roots, "vertex", "left").select(
         F.col("a").alias("plc_rsnum"),
         F.col("b").alias("plc_rspos"),
-        F.col("seq.pl_udate").alias("plc_udate"),
-        F.col("seq.pl_utime").alias("plc_utime"),
-        F.coalesce("root.label", "vertex.label").alias("chain_id"),
+        F.col("pl_udate").alias("plc_udate"),
+        F.col("pl_utime").alias("plc_utime"),
+        F.coalesce("root", "vertex").alias("chain_id"),
         stamp.alias("plc_lchg_date_time"),
     )
     return old_items.unionByName(new_items)

@@ -206,16 +206,16 @@ def demand_chains_by_load(spark, sf):
 @query("G2 G3 J15", """
   SELECT a, b, bool_or(ends) AS ends, bool_or(itself) AS itself FROM fx_items i JOIN fx_rows r ON r.pl_rsnum = i.a AND r.pl_rspos = i.b GROUP BY 1, 2""")
 def terminal_and_self_rows(spark, sf):
-    same = (F.col("pl_rsnum") == F.col("pl_rsnum_new")) & (F.col("pl_rspos") == F.col("pl_rspos_new"))
     log = fx.log(spark, sf)
     return log.groupBy(F.col("pl_rsnum").alias("a"), F.col("pl_rspos").alias("b")).agg(
-        F.bool_or(chains.is_terminal()).alias("ends"), F.bool_or(same).alias("itself")
+        F.bool_or(chains.is_terminal()).alias("ends"), F.bool_or(chains.is_self()).alias("itself")
     )
 
 
 @query("G4", "SELECT a, b, pl_udate, pl_utime FROM fx_items JOIN fx_rows USING (seq)")
 def first_row_of_each_item(spark, sf):
-    return chains.log_items(fx.log(spark, sf)).select("a", "b", "seq.pl_udate", "seq.pl_utime")
+    log = chains.numbered_log(fx.log(spark, sf))
+    return chains.first_rows(log).join(log, "seq").select("a", "b", "pl_udate", "pl_utime")
 
 
 @query("J15", """
@@ -223,9 +223,10 @@ def first_row_of_each_item(spark, sf):
     SELECT 1 FROM fx_rows r WHERE NOT ends AND NOT itself AND r.pl_rsnum_new = i.a AND r.pl_rspos_new = i.b)""")
 def items_without_predecessor(spark, sf):
     log = fx.log(spark, sf)
-    itself = (F.col("pl_rsnum") == F.col("pl_rsnum_new")) & (F.col("pl_rspos") == F.col("pl_rspos_new"))
-    targets = log.where(~chains.is_terminal() & ~itself).select(F.col("pl_rsnum_new").alias("a"), F.col("pl_rspos_new").alias("b"))
-    return chains.log_items(log).select("a", "b").join(targets, ["a", "b"], "left_anti")
+    targets = log.where(~chains.is_terminal() & ~chains.is_self())
+    targets = targets.select(F.col("pl_rsnum_new").alias("a"), F.col("pl_rspos_new").alias("b"))
+    sources = log.select(F.col("pl_rsnum").alias("a"), F.col("pl_rspos").alias("b"))
+    return sources.unionByName(targets).distinct().join(targets, ["a", "b"], "left_anti")
 
 
 @query("J15", "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")
