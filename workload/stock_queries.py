@@ -55,9 +55,9 @@ fx.SQL["held"] = """
     st_date AS date, sum(st_qty) AS qty FROM fx_stock GROUP BY ALL"""
 fx.SQL["grid"] = """
   SELECT t.werks, t.o_divis, t.r_divis, t.matnr, t.m, c.date, coalesce(h.qty, 0) - coalesce(n.qty, 0) AS balance
-  FROM fx_total t JOIN fx_calendar c ON c.date > t.m - INTERVAL 12 MONTH AND c.date <= t.m
-  LEFT JOIN fx_held h ON (h.werks, h.o_divis, h.r_divis, h.matnr, h.date) = (t.werks, t.o_divis, t.r_divis, t.matnr, c.date)
-  LEFT JOIN fx_need n ON (n.werks, n.o_divis, n.r_divis, n.matnr, n.date) = (t.werks, t.o_divis, t.r_divis, t.matnr, c.date)"""
+  FROM fx_total t JOIN (SELECT DISTINCT date FROM fx_calendar) c ON c.date > t.m - INTERVAL 12 MONTH AND c.date <= t.m
+  LEFT JOIN fx_held h ON h.werks = t.werks AND h.o_divis = t.o_divis AND h.r_divis = t.r_divis AND h.matnr = t.matnr AND h.date = c.date
+  LEFT JOIN fx_need n ON n.werks = t.werks AND n.o_divis = t.o_divis AND n.r_divis = t.r_divis AND n.matnr = t.matnr AND n.date = c.date"""
 
 
 def long_sql(partition: str) -> str:
