@@ -12,6 +12,7 @@ from granary.session import materialise
 
 HOT_ROWS = 1_000_000
 HOT_SHARE = 500
+SPREAD = 64
 
 
 def _same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]):
@@ -59,9 +60,10 @@ def left_join_many(
     """Left join whose *right* side may repeat a key any number of times.
 
     A left outer join cannot split its right side. Hot keys of the right side do have partners, so for
-    them an inner join gives the same rows, and adaptive execution may split that on either side. The
-    other keys go through an ordinary left join. ``right`` is read more than once and ``rows`` is its
-    row count where known; a table with fewer rows than the limit has no hot key.
+    them an inner join gives the same rows: the right rows are dealt over ``SPREAD`` salts and the left
+    rows of those keys are copied once per salt. The other keys go through an ordinary left join.
+    ``right`` is read more than once and dealt by row position: pass a scan or a written table.
+    ``rows`` is its row count where known; a table with fewer rows than the limit has no hot key.
     """
     keys = list(keys)
     rows = right.count() if rows is None else rows
@@ -71,7 +73,9 @@ def left_join_many(
     left = materialise(left, "left")
     hot = right.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).select(*keys)
     hot = F.broadcast(hot.dropna())  # at most rows / limit keys
-    crowded = left.join(hot, keys, "left_semi").join(right.join(hot, keys, "left_semi"), keys)
+    copies = left.join(hot, keys, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    dealt = right.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+    crowded = copies.join(dealt.join(hot, keys, "left_semi"), [*keys, "_salt"]).drop("_salt")
     others = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, "left")
     return crowded.unionByName(others)
 

@@ -12,6 +12,7 @@ from granary.functions.dates import dotted_date
 from granary.functions.numbers import number_or_null, whole
 from granary.operators import reshape
 from granary.operators.rows import numbered
+from granary.sources import sinks
 from granary.sources.tables import lines, quoted_cells
 
 # The ten text columns before the dated ones, as named in the long tables.
@@ -172,23 +173,29 @@ def dictionary(df: DataFrame, column: str, extra: dict[str, str] | None = None)
     return keyed.select("KEY", "name", F.col("KEY").alias("ord"), *(extra or {}))
 
 
-ORGANISATION_COLUMNS = {"head_inn": "ИНН головной организации", "okpo": "ОКПО", "inn": "ИНН", "ogrn": "ОГРН"}
+# The dictionaries, the column each lists, and the further columns of its group.
+DICTIONARIES = {
+    "t8646": ("Головная (да нет)", {}),
+    "t8649": ("date", {}),
+    "t8651": (ORGANISATION, {"head_inn": "ИНН головной организации", "okpo": "ОКПО", "inn": "ИНН", "ogrn": "ОГРН"}),
+    "t8653": (INDUSTRY, {}),
+    "t8655": ("ОКФС", {}),
+    "t8657": ("Субъект Российской Федерации", {}),
+    "t8659": (OWNERS, {}),
+}
 
 
-def dictionaries(long: DataFrame, industries: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The six single-value dictionaries and the organisation dictionary of one long table.
+def dictionary_of(long: DataFrame, name: str) -> DataFrame:
+    """One of the dictionaries; the industry dictionary lists classes, not codes."""
+    column, extra = DICTIONARIES[name]
+    return dictionary(classified(long) if column == INDUSTRY else long, column, extra)
 
-    ``industries`` is the table the industry classes are read from, if it is another one.
-    """
-    return {
-        "t8646": dictionary(long, "Головная (да нет)"),
-        "t8649": dictionary(long, "date"),
-        "t8651": dictionary(long, ORGANISATION, ORGANISATION_COLUMNS),
-        "t8653": dictionary(classified(industries if industries is not None else long), INDUSTRY),
-        "t8655": dictionary(long, "ОКФС"),
-        "t8657": dictionary(long, "Субъект Российской Федерации"),
-        "t8659": dictionary(long, OWNERS),
-    }
+
+def refresh_dictionaries(long: DataFrame, folder: str, industries: DataFrame | None = None) -> None:
+    """Refill all dictionaries; ``industries`` is the table the industry codes are read from, if another one."""
+    for name, (column, _) in DICTIONARIES.items():
+        source = industries if industries is not None and column == INDUSTRY else long
+        sinks.replace(dictionary_of(source, name), f"{folder}/{name}")
 
 
 def daily_totals(long: DataFrame) -> DataFrame:

@@ -68,30 +68,25 @@ def industry_by_organisation(meta: DataFrame) -> DataFrame:
     return one_row_per_key(rows, ["inn"], keep="last")
 
 
-def _with_places(rows: DataFrame, region_map: DataFrame, industry_map: DataFrame, region_dim: DataFrame, industry_dim: DataFrame) -> DataFrame:
-    """Region and industry keys of every row; the region name of the dimension is a code in text form."""
+def _placed(dim: DataFrame, region_map: DataFrame, industry_map: DataFrame, region_dim: DataFrame, industry_dim: DataFrame) -> DataFrame:
+    """Organisations with region and industry keys; the region name of the dimension is a code in text form.
+
+    The maps hold one row per INN, so they are joined before the facts multiply the rows.
+    """
     region_keys = region_dim.select(
         F.col("KEY").alias("region_id"), number_or_null(F.col("name")).alias("region_code")
     ).where(F.col("region_code").isNotNull())
     industry_keys = industry_dim.select(F.col("KEY").alias("okvad_id"), F.col("code").alias("okvad"))
     return (
-        rows.join(region_map.select("inn", "region_code"), "inn", "left")
+        dim.select(F.col("KEY").alias("ogrn_id"), "inn")
+        .join(region_map.select("inn", "region_code"), "inn", "left")
         .join(industry_map.select("inn", "okvad"), "inn", "left")
         .join(region_keys, "region_code", "left")
         .join(industry_keys, "okvad", "left")
+        .select("ogrn_id", "inn", "region_id", "okvad_id")
     )
 
 
-def _repeated(rows: DataFrame, table: DataFrame, key: str = "inn") -> DataFrame:
-    """Left join to a table that adds no column: each row is repeated once per partner, at least once.
-
-    Only the number of partners is shuffled, one row per key.
-    """
-    partners = table.groupBy(key).agg(F.count("*").alias("_times"))
-    counted = rows.join(partners, key, "left").withColumn("_times", F.coalesce("_times", F.lit(1).cast("bigint")))
-    return counted.select(*rows.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "_times")).alias("_n")).drop("_n")
-
-
 def company_facts(
     dim: DataFrame,
     taxes_paid: DataFrame,
@@ -107,9 +102,15 @@ def company_facts(
     """Income, expenses, fines and staff per organisation, region and industry.
 
     Several rows of one organisation in several tables combine, as in the chain of left joins they come
-    from. The first two tables give no column and are joined as counts, after the filter.
+    from. The first two tables give no column: only their row counts per INN are joined, and the rows are
+    repeated after the filter.
     """
-    rows = dim.select(F.col("KEY").alias("ogrn_id"), "inn")
+    rows = _placed(dim, region_map, industry_map, region_dim, industry_dim)
+    times = F.lit(1).cast("bigint")
+    for place, table in enumerate((taxes_paid, special_regimes)):
+        partners = table.groupBy("inn").agg(F.count("*").alias(f"_times{place}"))
+        rows = rows.join(partners, "inn", "left")
+        times = times * F.coalesce(f"_times{place}", F.lit(1).cast("bigint"))
     for table, columns in (
         (income, ["income_75", "expenses_75"]),
         (fines, ["fine_78"]),
@@ -118,10 +119,8 @@ def company_facts(
         rows = left_join_many(rows, table.select("inn", *columns), ["inn"])
     measures = ["income_75", "expenses_75", "fine_78", "employees_85"]
     rows = rows.where(any_present(*[F.col(m) for m in measures]))
-    rows = _with_places(rows, region_map, industry_map, region_dim, industry_dim)
-    for table in (taxes_paid, special_regimes):
-        rows = _repeated(rows, table)
-    return rows.select("ogrn_id", "region_id", "okvad_id", *measures)
+    repeated = F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("_n")
+    return rows.select("ogrn_id", "region_id", "okvad_id", *measures, repeated).drop("_n")
 
 
 def tax_facts(
@@ -135,12 +134,11 @@ def tax_facts(
     tax_dim: DataFrame,
 ) -> DataFrame:
     """Paid taxes and arrears per organisation, region, industry and tax name."""
-    rows = dim.select(F.col("KEY").alias("ogrn_id"), "inn")
+    rows = _placed(dim, region_map, industry_map, region_dim, industry_dim)
     rows = left_join_many(rows, paid.select("inn", "tax_name", "sum_nal"), ["inn"])
     owed = ["nedo_nal", "peni", "shtraf", "sum_nedo"]
     rows = left_join_many(rows, arrears.select("inn", *owed), ["inn"])
     rows = rows.where(any_present(*[F.col(m) for m in ["sum_nal", *owed]]))
-    rows = _with_places(rows, region_map, industry_map, region_dim, industry_dim)
     taxes = tax_dim.select(F.col("KEY").alias("nalog_id"), F.col("name").alias("tax_name"))
     rows = rows.join(taxes, "tax_name", "left")
     return rows.select("region_id", "ogrn_id", "nalog_id", "okvad_id", "sum_nal", *owed)

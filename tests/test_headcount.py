@@ -64,3 +64,15 @@ def test_dictionaries_number_every_value(spark):
     df = spark.createDataFrame(rows, "`Субъект Российской Федерации` string")
     got = plan.dictionary(df, "Субъект Российской Федерации").orderBy("KEY").collect()
     assert [tuple(r) for r in got] == [(1, None, 1), (2, "a", 2), (3, "b", 3)]
+
+
+def test_all_dictionaries_are_refilled(spark, tmp_path):
+    names = [*plan.ID_COLUMNS, "date"]
+    row = ["да", "7", "K", "А", "77", "G", "16", "29.10", "x", "Тула", dt.date(2022, 1, 1)]
+    long = spark.createDataFrame([tuple(row), tuple(row)], ", ".join(f"`{n}` {'date' if n == 'date' else 'string'}" for n in names))
+    for _ in range(2):
+        plan.refresh_dictionaries(long, str(tmp_path))
+    got = {n: spark.read.parquet(str(tmp_path / n)).collect() for n in plan.DICTIONARIES}
+    assert all(len(rows) == 1 and rows[0]["KEY"] == 1 for rows in got.values())
+    assert got["t8651"][0].asDict() == {"KEY": 1, "name": "А", "ord": 1, "head_inn": "7", "okpo": "K", "inn": "77", "ogrn": "G"}
+    assert got["t8653"][0]["name"] == plan.INDUSTRIES["29."]

@@ -163,22 +163,22 @@ def _dictionary_sql(column: str) -> str:
 
 @query("B14 A13 W4 S12", _dictionary_sql('"Субъект Российской Федерации"'))
 def region_dictionary(spark, sf):
-    return plan.dictionaries(_part1(spark, sf))["t8657"]
+    return plan.dictionary_of(_part1(spark, sf), "t8657")
 
 
 @query("B14 A13 W4", _dictionary_sql("date"))
 def date_dictionary(spark, sf):
-    return plan.dictionaries(_part1(spark, sf))["t8649"]
+    return plan.dictionary_of(_part1(spark, sf), "t8649")
 
 
 @query("B14 B13", _dictionary_sql(_INDUSTRY))
 def industry_dictionary(spark, sf):
-    return plan.dictionaries(_part1(spark, sf))["t8653"]
+    return plan.dictionary_of(_part1(spark, sf), "t8653")
 
 
 @query("B14 B12", _dictionary_sql('"Учредители акционеры"'))
 def owner_dictionary(spark, sf):
-    return plan.dictionaries(_part1(spark, sf))["t8659"]
+    return plan.dictionary_of(_part1(spark, sf), "t8659")
 
 
 _ORG = '"Полное наименование организации", "ИНН головной организации", "ОКПО", "ИНН", "ОГРН"'
@@ -189,7 +189,7 @@ _ORG = '"Полное наименование организации", "ИНН
     "ИНН головной организации" AS head_inn, "ОКПО" AS okpo, "ИНН" AS inn, "ОГРН" AS ogrn
   FROM (SELECT DISTINCT {_ORG} FROM fx_part1) WINDOW w AS (ORDER BY {_ORG})""")
 def organisation_dictionary(spark, sf):
-    return plan.dictionaries(_part1(spark, sf))["t8651"]
+    return plan.dictionary_of(_part1(spark, sf), "t8651")
 
 
 @query("B24 A12", """
