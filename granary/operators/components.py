@@ -40,13 +40,13 @@ def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
             loose = around.where((F.col("least") < F.col("x")) & (F.col("degree") > 1))
             if loose.isEmpty():
                 break
-            best = around.select(F.col("x").alias("lo"), F.least("x", "least").alias("root"))
-            linked = join_unique(current, best, ["lo"], "inner", hot_rows, rows)
+            best = around.select(F.col("x").alias("lo"), F.least("x", "least").alias("root"), "degree")
+            linked = join_unique(current, best, ["lo"], "inner", hot_rows, rows, "degree")
             large, rows = materialise_counted(linked.select("hi", F.col("root").alias("lo")).distinct(), "large-star")
         finally:
             around.unpersist()
-        lowest = large.groupBy("hi").agg(F.min("lo").alias("root"))
-        pulled = join_unique(large, lowest, ["hi"], "inner", hot_rows, rows)
+        lowest = large.groupBy("hi").agg(F.min("lo").alias("root"), F.count("*").alias("degree"))
+        pulled = join_unique(large, lowest, ["hi"], "inner", hot_rows, rows, "degree")
         pairs = F.array(
             F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
             F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),

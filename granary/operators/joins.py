@@ -25,7 +25,13 @@ def hot_limit(rows: int, hot_rows: int | None = None) -> int:
 
 
 def join_unique(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", hot_rows: int | None = None, rows: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    hot_rows: int | None = None,
+    rows: int | None = None,
+    size: str | None = None,
 ) -> DataFrame:
     """Join ``left`` to a table with one row per key; ``left`` may repeat a key any number of times.
 
@@ -33,13 +39,19 @@ def join_unique(
     be hot, and ``right`` has one row for each, so that slice of ``right`` is broadcast and the hot rows
     never meet in one task. All other keys go through an ordinary join. ``left`` is read more than once:
     pass a scan or a written table. ``rows`` is its row count where known; a table with fewer rows than
-    the limit has no hot key.
+    the limit has no hot key. ``size`` names a column of ``right`` that already holds the number of
+    ``left`` rows per key; it saves the counting pass and is dropped.
     """
     keys = list(keys)
     rows = left.count() if rows is None else rows
     limit = hot_limit(rows, hot_rows)
     if rows <= limit:
-        return left.join(right, keys, how)
+        return left.join(right.drop(size) if size else right, keys, how)
+    if size:
+        few = F.broadcast(right.where(F.col(size) > limit).drop(size))
+        crowded = left.join(few, keys)
+        others = left.join(few, keys, "left_anti").join(right.where(F.col(size) <= limit).drop(size), keys, how)
+        return crowded.unionByName(others)
     hot = (
         left.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))

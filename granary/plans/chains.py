@@ -42,14 +42,14 @@ def numbered_log(log: DataFrame) -> DataFrame:
 
 
 def first_rows(log: DataFrame) -> DataFrame:
-    """Items ``a, b`` of a numbered log with the place of the first row that names each.
+    """Items ``a, b`` of a numbered log: the place of the first row that names each, and how many do.
 
     A terminal row names only its source. A hub item combines on the map side, on numbers.
     """
     source = F.struct(F.col("pl_rsnum").alias("a"), F.col("pl_rspos").alias("b"))
     target = F.struct(F.col("pl_rsnum_new").alias("a"), F.col("pl_rspos_new").alias("b"))
     ends = F.when(is_terminal(), F.array(source)).otherwise(F.array(source, target))
-    return log.select("seq", F.inline(ends)).groupBy("a", "b").agg(F.min("seq").alias("seq"))
+    return log.select("seq", F.inline(ends)).groupBy("a", "b").agg(F.min("seq").alias("seq"), F.count("*").alias("degree"))
 
 
 def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_rows: int | None = None) -> DataFrame:
@@ -66,8 +66,8 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
     log = numbered_log(log)
     single = (is_terminal() | is_self()).alias("single")
     known = chains.select(F.col("plc_rsnum").alias("a"), F.col("plc_rspos").alias("b"), F.col("chain_id").alias("old_id"))
-    items = first_rows(log).join(log.select("seq", "pl_udate", "pl_utime", single), "seq")
-    items = materialise(items.join(known, ["a", "b"], "left"), "items")
+    items = first_rows(log).join(known, ["a", "b"], "left")
+    items = materialise(items.join(log.select("seq", "pl_udate", "pl_utime", single), "seq"), "items")
 
     # A row opens a chain when all its items are new and first named by it.
     named = items.where(F.col("old_id").isNull()).groupBy("seq", "single").agg(F.count("*").alias("items"))
@@ -79,16 +79,17 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
     placed = items.join(opened, "seq", "left").withColumn("vertex", F.coalesce("old_id", "opened_id")).drop("opened_id")
     placed = materialise(placed, "placed")
     joining = numbered(placed.where(F.col("vertex").isNull()).drop("vertex"), ["a", "b"], "vertex", start=top + 1)
-    vertices = materialise(placed.where(F.col("vertex").isNotNull()).unionByName(joining), "vertices")
+    vertices = placed.where(F.col("vertex").isNotNull()).unionByName(joining)
 
     links, rows = materialise_counted(log.where(~is_terminal() & ~is_self()).drop("seq", "pl_udate", "pl_utime"), "links")
-    ends = vertices.select("a", "b", "vertex")
+    ends = vertices.select("a", "b", "vertex", "degree")
     sources = ends.withColumnsRenamed({"a": "pl_rsnum", "b": "pl_rspos", "vertex": "u"})
     targets = ends.withColumnsRenamed({"a": "pl_rsnum_new", "b": "pl_rspos_new", "vertex": "v"})
-    half = join_unique(links, sources, ["pl_rsnum", "pl_rspos"], "inner", hot_rows, rows).select("pl_rsnum_new", "pl_rspos_new", "u")
+    half = join_unique(links, sources, ["pl_rsnum", "pl_rspos"], "inner", hot_rows, rows, "degree")
+    half = half.select("pl_rsnum_new", "pl_rspos_new", "u")
     if rows > hot_limit(rows, hot_rows):
         half = materialise(half, "half")
-    edges = join_unique(half, targets, ["pl_rsnum_new", "pl_rspos_new"], "inner", hot_rows, rows)
+    edges = join_unique(half, targets, ["pl_rsnum_new", "pl_rspos_new"], "inner", hot_rows, rows, "degree")
     roots = component_roots(edges.select("u", "v"), hot_rows)
 
     merged = roots.where((F.col("root") < F.col("vertex")) & (F.col("vertex") <= base))

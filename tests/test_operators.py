@@ -49,6 +49,9 @@ def test_hot_keys_give_the_same_join(spark):
     right = spark.createDataFrame([(k, f"v{k}") for k in range(1, 60)], "k int, v string")
     for how in ("left", "inner"):
         assert rows(join_unique(left, right, ["k"], how, hot_rows=20)) == rows(left.join(right, "k", how))
+    sized = right.join(left.groupBy("k").agg(F.count("*").alias("n")), "k", "left").fillna(0, ["n"])
+    for how in ("left", "inner"):
+        assert rows(join_unique(left, sized, ["k"], how, hot_rows=20, size="n")) == rows(left.join(right, "k", how))
     many = left.select("k", F.col("i").alias("j"))
     few = spark.createDataFrame([(k, k) for k in [*range(1, 70), None, 1]], "k int, l int")
     assert rows(left_join_many(few, many, ["k"], hot_rows=20)) == rows(few.join(many, "k", "left"))
