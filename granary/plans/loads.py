@@ -134,8 +134,3 @@ def refresh_marts(views: dict[str, tuple[DataFrame, Sequence[str]]], folder: str
     """Refill each mart from its view with a stated column list."""
     for name, (view, columns) in views.items():
         sinks.refresh(view, f"{folder}/{name}", columns)
-
-
-def daily_order() -> list[str]:
-    """Order in which the daily jobs are called."""
-    return ["readiness", "refresh_marts", "stock categories", "demand chains"]
