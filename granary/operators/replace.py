@@ -31,9 +31,11 @@ def overwrite_partitions(df: DataFrame, path: str, column: str, values: Sequence
     """Replace the partitions of ``column`` held by ``df``, without reading the rest of the table.
 
     ``values`` lists the partitions asked for; one that gets no rows is emptied too, as a delete
-    followed by an insert of nothing would leave it.
+    followed by an insert of nothing would leave it. Rows are gathered by partition before writing, and
+    adaptive execution splits a partition that is too large for one task, so there are neither many small
+    files nor one huge writer.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     if values is None:
         return
     written = {row[0] for row in df.select(column).distinct().collect()}

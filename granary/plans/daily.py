@@ -86,12 +86,15 @@ def run_chains(spark: SparkSession, folder: str, now: dt.datetime, hot_rows: int
 
 
 def run_snapshot(spark: SparkSession, folder: str, now: dt.datetime) -> None:
-    """Load all pending snapshot loads from ``ods_toro_snap_b`` into ``toro_snap_b``."""
-    landing, core = _read(spark, folder, "ods_toro_snap_b"), _read(spark, folder, "toro_snap_b")
+    """Load all pending snapshot loads from ``ods_toro_snap_b`` into ``toro_snap_b``, partitioned by snapshot."""
+    landing, path = _read(spark, folder, "ods_toro_snap_b"), _path(folder, "toro_snap_b")
+    core = loads.core_form(landing, now).where(F.lit(False))
     outcome = loads.snapshot_load(landing, core, _read(spark, folder, "journal"), now, (NEW, IN_WORK))
     events = materialise(outcome.events, "events")
-    sinks.replace(materialise(outcome.core, "core"), _path(folder, "toro_snap_b"))
-    _log(events, folder)
+    fresh = materialise(outcome.fresh, "fresh")
+    _log(events.where(F.col("stg_status") == IN_WORK), folder)
+    loads.write_snapshot(fresh, path)
+    _log(events.where(F.col("stg_status") == SUCCESS), folder)
 
 
 def run_marts(spark: SparkSession, folder: str) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from granary.functions.text import joined
 from granary.operators.joins import join_unique
 from granary.operators.journal import IN_WORK, SUCCESS, load_counts, pending_loads, status_events
-from granary.operators.replace import without_keys
+from granary.operators.replace import overwrite_partitions, without_keys
 from granary.operators.rows import numbered
 from granary.session import materialise
 from granary.sources import sinks
@@ -53,10 +53,17 @@ def staged(landing: DataFrame, columns: Sequence[str] = SNAPSHOT_COLUMNS) -> Dat
     return landing.select(*columns, source_label().alias("source_cd"))
 
 
+def core_form(landing: DataFrame, now: dt.datetime) -> DataFrame:
+    """Staged rows with the flow and the load time, the columns of the core table."""
+    stamp = F.lit(now).cast("timestamp")
+    return staged(landing).withColumns({"dataflow_id": F.lit(SNAPSHOT_FLOW), "load_dttm": stamp})
+
+
 @dataclass
 class SnapshotLoad:
-    """Outcome of one run: the new core table and the journal events to append."""
+    """Outcome of one run: the rows that replace their groups, the whole new core, the journal events to append."""
 
+    fresh: DataFrame
     core: DataFrame
     events: DataFrame
 
@@ -91,7 +98,16 @@ def snapshot_load(
     counts = load_counts(batch)
     steps = [(STAGE, IN_WORK), (STAGE, SUCCESS), (CORE, IN_WORK), (CORE, SUCCESS)]
     events = [status_events(todo, SNAPSHOT_FLOW, level, state, stamp, counts) for level, state in steps]
-    return SnapshotLoad(new_core, reduce(DataFrame.unionByName, events))
+    return SnapshotLoad(fresh, new_core, reduce(DataFrame.unionByName, events))
+
+
+def write_snapshot(fresh: DataFrame, path: str) -> None:
+    """Put the fresh rows into a core table partitioned by snapshot, without reading the rest of it.
+
+    Each group is a partition and is replaced; rows without a group replace nothing and are appended.
+    """
+    overwrite_partitions(fresh.where(F.col(SNAPSHOT_KEY).isNotNull()), path, SNAPSHOT_KEY)
+    fresh.where(F.col(SNAPSHOT_KEY).isNull()).write.mode("append").partitionBy(SNAPSHOT_KEY).parquet(path)
 
 
 def newer_rows(source: DataFrame, stamp: str, after: dt.datetime) -> DataFrame:

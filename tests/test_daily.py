@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from granary.operators.journal import current_state
+from granary.operators.replace import read_partitions
 from granary.plans import chains, daily, loads
 from workload import fixtures as fx
 
@@ -54,16 +55,21 @@ def test_daily_run_is_repeatable(spark, tmp_path):
     assert {m: content(spark, f"{folder}/{m}") for m in marts} == first
 
 
-def test_snapshot_run_replaces_the_core_table(spark, tmp_path):
+def test_snapshot_run_replaces_its_groups_only(spark, tmp_path):
     folder = str(tmp_path / "warehouse")
-    landing = fx.landing(spark, SF)
-    core = loads.staged(landing).withColumns({"dataflow_id": F.lit("x"), "load_dttm": F.lit(NOW).cast("timestamp")})
+    landing, journal = fx.landing(spark, SF), fx.snap_journal(spark, SF)
+    old = loads.core_form(landing.where(F.col("load_id") < "L1998"), NOW)
+    expected = loads.snapshot_load(landing, old, journal, fx.NOW).core
     landing.write.parquet(f"{folder}/ods_toro_snap_b")
-    core.where(F.lit(False)).write.parquet(f"{folder}/toro_snap_b")
-    fx.snap_journal(spark, SF).write.parquet(f"{folder}/etl_delta_log")
+    journal.write.parquet(f"{folder}/etl_delta_log")
+    loads.write_snapshot(old, f"{folder}/toro_snap_b")
+
+    def core():
+        return sorted(map(str, read_partitions(spark, f"{folder}/toro_snap_b", old.schema).select(*old.columns).collect()))
+
     daily.run_snapshot(spark, folder, fx.NOW)
-    first = content(spark, f"{folder}/toro_snap_b")
-    assert first
+    assert core() == sorted(map(str, expected.select(*old.columns).collect()))
+    first = core()
     # Nothing is pending any more.
     daily.run_snapshot(spark, folder, fx.NOW)
-    assert content(spark, f"{folder}/toro_snap_b") == first
+    assert core() == first

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from granary.functions.dates import timestamp_or_null, without_zone
 from granary.functions.numbers import number_or_null
 from granary.operators import journal as log
-from granary.operators.replace import replace_groups, without_batch, without_keys
+from granary.operators.replace import read_partitions, replace_groups, without_batch, without_keys
 from granary.plans import loads as plan
 from granary.session import materialise, new_path
 from granary.sources import pages, sinks, tables
@@ -39,8 +39,7 @@ fx.SQL["new_core"] = f"""
 
 
 def _core(spark, sf):
-    rows = plan.staged(fx.landing(spark, sf)).where(F.col("load_id") < "L1998")
-    return rows.withColumns({"dataflow_id": F.lit(plan.SNAPSHOT_FLOW), "load_dttm": F.lit(NOW).cast("timestamp")})
+    return plan.core_form(fx.landing(spark, sf), NOW).where(F.col("load_id") < "L1998")
 
 
 def _snapshot_load(spark, sf):
@@ -52,6 +51,14 @@ def snapshot_load(spark, sf):
     return _snapshot_load(spark, sf).core.select(*_KEPT)
 
 
+@query("D7 M2 (written as partitions)", "SELECT * FROM fx_new_core")
+def snapshot_load_by_partition(spark, sf):
+    path, core = new_path(spark, "core"), _core(spark, sf)
+    plan.write_snapshot(core, path)
+    plan.write_snapshot(materialise(_snapshot_load(spark, sf).fresh, "fresh"), path)
+    return read_partitions(spark, path, core.schema).select(*_KEPT)
+
+
 @query("D6", """
   SELECT 'INT_10' AS flow_id, target_lvl, load_id, stg_status, row_count
   FROM (SELECT load_id, count(*) AS row_count FROM fx_batch GROUP BY 1), (VALUES ('ODSP'), ('EDW')) l(target_lvl), (VALUES ('I'), ('S')) s(stg_status)""")
