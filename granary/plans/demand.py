@@ -18,7 +18,7 @@ COLUMNS = (
     "pla_flag matnr_txt matkl_txt pt_qty_otpu pt_amt_otpu pt_qty_open pt_amt_open pt_manu_date pt_modul pt_section"
 ).split()
 
-# Demand columns that pass through under another name.
+# Source columns of outputs that pass through under another name.
 RENAMED = {
     "rsnum": "pt_rsnum",
     "rspos": "pt_rspos",
