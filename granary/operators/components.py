@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from granary.operators.joins import join_unique
+from granary.operators.joins import hot_limit, join_unique
 from granary.session import materialise_counted
 
 
@@ -25,6 +25,16 @@ def _neighbourhoods(edges: DataFrame) -> DataFrame:
     return both.groupBy("x").agg(F.min("y").alias("least"), F.count("*").alias("degree"))
 
 
+def _pulled(linked: DataFrame, rows: int, hot_rows: int | None) -> DataFrame:
+    """Edges of the second star step before it: ``hi``, ``lo`` and the least smaller neighbour ``root`` of ``hi``."""
+    if rows <= hot_limit(rows, hot_rows):
+        # No vertex can have more edges than the limit, so one shuffle and a window per vertex will do.
+        return linked.withColumn("root", F.min("lo").over(Window.partitionBy("hi")))
+    large, rows = materialise_counted(linked, "large-star")
+    lowest = large.groupBy("hi").agg(F.min("lo").alias("root"), F.count("*").alias("degree"))
+    return join_unique(large, lowest, ["hi"], "inner", hot_rows, rows, "degree")
+
+
 def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """``(vertex, root)`` for every vertex of ``edges(u, v)``; the root is the least vertex reached.
 
@@ -42,17 +52,15 @@ def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
                 break
             best = around.select(F.col("x").alias("lo"), F.least("x", "least").alias("root"), "degree")
             linked = join_unique(current, best, ["lo"], "inner", hot_rows, rows, "degree")
-            large, rows = materialise_counted(linked.select("hi", F.col("root").alias("lo")).distinct(), "large-star")
+            pulled = _pulled(linked.select("hi", F.col("root").alias("lo")), rows, hot_rows)
+            pairs = F.array(
+                F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
+                F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),
+            )
+            stars = pulled.select(F.inline(pairs)).where(F.col("hi") != F.col("lo")).distinct()
+            current, rows = materialise_counted(stars, "edges")
         finally:
             around.unpersist()
-        lowest = large.groupBy("hi").agg(F.min("lo").alias("root"), F.count("*").alias("degree"))
-        pulled = join_unique(large, lowest, ["hi"], "inner", hot_rows, rows, "degree")
-        pairs = F.array(
-            F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
-            F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),
-        )
-        small = pulled.select(F.inline(pairs)).where(F.col("hi") != F.col("lo")).distinct()
-        current, rows = materialise_counted(small, "small-star")
     leaves = current.select(F.col("hi").alias("vertex"), F.col("lo").alias("root"))
     centres = current.select(F.col("lo").alias("vertex"), F.col("lo").alias("root")).distinct()
     return leaves.unionAll(centres)
