@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from granary.functions.dates import as_date, in_month, in_trailing_year, month_number, month_start, trailing_months
+from granary.functions.dates import as_date, in_trailing_year, month_number, month_start
 from granary.operators.joins import update_from
 
 SAFETY, LONG_LYING, FAST_MOVING, TOTAL = 1, 2, 3, 4
@@ -315,14 +315,3 @@ def enriched(
         (division_pairs, {"sca_o_divis": "o_div_id", "sca_r_divis": "r_div_id"}, {"sca_or_divis_txt": "or_div_txt"}),
     ]
     return reduce(lambda df, step: update_from(df, *step), steps, rows)
-
-
-def recalculated(stock, reqstock, warehouses, calendar, materials, material_groups, divisions, division_pairs, as_of: dt.date, count: int = 12) -> tuple[DataFrame, DataFrame]:
-    """The category table and its enriched form for the month of ``as_of`` and the months before it."""
-    months = trailing_months(as_of, count)
-    categories = categorised(stock, reqstock, warehouses, calendar, months, as_of)
-    return categories, enriched(categories, warehouses, materials, material_groups, divisions, division_pairs)
-
-
-def month_of(df: DataFrame, month: dt.date, column: str = "sca_date") -> DataFrame:
-    return df.where(in_month(F.col(column), month))

@@ -482,10 +482,3 @@ def delta_journal(spark: SparkSession, sf: str) -> DataFrame:
         F.date_add("day", 1).cast("timestamp").alias("end_ts"),
         "row_count",
     )
-
-
-def employees(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers as the entity set of a paged source."""
-    return table(spark, sf, "customer")
-
-

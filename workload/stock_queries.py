@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from granary.functions.dates import in_month, in_trailing_year, month_start, trailing_months
