@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,8 +20,27 @@ SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whatever folder the driver imported it from."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    bundle = Path(tempfile.mkdtemp(prefix="granary-code-")) / "granary.zip"
+    with zipfile.ZipFile(bundle, "w") as out:
+        for file in sorted((root / "granary").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    context.addPyFile(str(bundle))
+    _shipped.add(context.applicationId)
+
+
 def prepared(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on and make their modules known to the executors."""
     configure(spark)
+    _ship(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -72,14 +72,15 @@ class Words:
         after[-1:] = False
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
-        self.hash = self._hashes()
+        self.hash = self.hashes(self.end)
 
-    def _hashes(self) -> np.ndarray:
+    def hashes(self, end: np.ndarray) -> np.ndarray:
+        """64 bits of every word up to the byte ``end``."""
         out = np.empty(len(self.start), np.uint64)
         step = 1 << 20
         with np.errstate(over="ignore"):
             for a in range(0, len(out), step):  # a bounded piece of the text at a time
-                s, e = self.start[a : a + step], self.end[a : a + step]
+                s, e = self.start[a : a + step], end[a : a + step]
                 low = int(s[0])
                 part = self.data[low : int(e[-1])]
                 sums = np.zeros(len(part) + 1, np.uint64)
