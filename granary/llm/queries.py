@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, jaccard_join, quality, toxicity
+from granary.llm import decontamination, jaccard_join, licence_scan, quality, secret_scan, toxicity
 from granary.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,16 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.find_licences(table(spark, sf_dir, "documents"))
+
+
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES["op6_ngram_jaccard_join"] = rf"""
 WITH RECURSIVE worded AS (
