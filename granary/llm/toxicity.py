@@ -5,7 +5,8 @@ features)``, a document ``1 - (1 - floor) * product(1 - p)`` (noisy-or). The lik
 gradient steps with weights pulled to zero, so that the sentences which explain the label get the weight, and the
 sentences above ``SENTENCE`` are reported as the offending ones.
 
-Words and their beginnings are hashed into ``2 ** BITS`` cells; a cell is a feature if it occurs in ``LEAST_TEXTS`` learned texts at least. Learning
+Words and their beginnings are hashed into ``2 ** BITS`` cells; a cell is a feature if it occurs in ``LEAST_TEXTS`` learned texts at least, in
+toxic ones ``TELLING`` times as often as in all. Learning
 looks at ``SAMPLE`` labelled documents at most, those with the least hashes of their ids, and of each at ``SENTENCES``
 sentences at places spread over the whole text. Scoring reads every sentence.
 """
@@ -31,6 +32,8 @@ BITS = 20
 #: Besides whole words their first bytes are features, for words that are made of others.
 BEGINNINGS = (4, 6)
 LEAST_TEXTS = 3
+#: A feature's share of toxic texts, against the share among all texts.
+TELLING = 1.5
 #: Pull of the weights to zero, in units of the log-likelihood.
 PULL = 0.3
 #: A sentence at or above this probability is offending.
@@ -78,56 +81,87 @@ def _distinct(cells: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
 
-def _learned_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text_no, sentence, cells) of the learning sample."""
+def _learned_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, label, sizes, cells): the learned sentences of each text, with their numbers of cells."""
     for batch in batches:
         for part in pieces(batch):
             words = plain_words(part.column(1))
             begin = sentences(words)
             cells = _cells(words)
             owner = np.searchsorted(words.first, begin[:-1], "right") - 1
-            rows = []
-            for doc in range(part.num_rows):
-                own = np.flatnonzero(owner == doc)
-                if len(own) > SENTENCES:
-                    own = own[np.linspace(0, len(own) - 1, SENTENCES).astype(np.int64)]
-                for s in own.tolist():
-                    rows.append((doc, np.unique(cells[:, begin[s] : begin[s + 1]]).astype(np.int32).tobytes()))
-                if not len(own):
-                    rows.append((doc, b""))
-            doc, kept = zip(*rows, strict=True)
-            yield pa.record_batch([part.column(0).take(pa.array(doc)), part.column(2).take(pa.array(doc)), pa.array(kept, pa.binary())], ["doc_id", "label", "cells"])
-
-
-def _climb(doc: np.ndarray, cells: list[np.ndarray], label: np.ndarray) -> ToxicityModel:
-    """Gradient steps (Adam) on the noisy-or likelihood. ``doc``: text of each sentence, ascending; ``label`` per text."""
+            bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
+            sizes, kept = [], []
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                own = np.arange(a, b) if b - a <= SENTENCES else np.linspace(a, b - 1, SENTENCES).astype(np.int64)
+                found = [np.unique(cells[:, begin[s] : begin[s + 1]]).astype(np.int32) for s in own.tolist()]
+                sizes.append(np.array([len(f) for f in found], np.int32).tobytes())
+                kept.append(np.concatenate(found).tobytes() if found else b"")
+            yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes, pa.binary()), pa.array(kept, pa.binary())], ["doc_id", "label", "sizes", "cells"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, texts, toxic): in how many texts of the batch a cell stands, and in how many toxic ones."""
+    for batch in batches:
+        texts, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        for label, cells in zip(batch.column(1).to_pylist(), batch.column(3), strict=True):
+            own = np.unique(np.frombuffer(cells.as_buffer(), np.int32))
+            texts[own] += 1
+            toxic[own] += label
+        here = np.flatnonzero(texts)
+        yield pa.record_batch([pa.array(here), pa.array(texts[here]), pa.array(toxic[here])], ["cell", "texts", "toxic"])
+
+
+def _screened(cells: np.ndarray):
+    """Rows (doc_id, label, sizes, cells) with those cells only, sentences without any left out."""
+    table = np.zeros(1 << BITS, bool)
+    table[cells] = True
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, kept, empty = [], [], []
+            for size, cell in zip(batch.column(2), batch.column(3), strict=True):
+                size, cell = np.frombuffer(size.as_buffer(), np.int32), np.frombuffer(cell.as_buffer(), np.int32)
+                good = table[cell]
+                left = np.bincount(np.repeat(np.arange(len(size)), size)[good], minlength=len(size))
+                empty.append(int((left == 0).sum()))
+                sizes.append(left[left > 0].astype(np.int32).tobytes())
+                kept.append(cell[good].tobytes())
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(empty, pa.int32()), pa.array(sizes, pa.binary()), pa.array(kept, pa.binary())], ["doc_id", "label", "empty", "sizes", "cells"])
+
+    return screen
+
+
+def _climb(empty: np.ndarray, doc: np.ndarray, sizes: np.ndarray, flat: np.ndarray, label: np.ndarray) -> ToxicityModel:
+    """Gradient steps (Adam) on the noisy-or likelihood.
+
+    ``empty``: sentences without a feature per text; ``doc``: text of each other sentence, ``sizes``: its number of cells
+    in ``flat``; ``label`` per text.
+    """
     texts = len(label)
-    flat = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-    sentence = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
-    pairs = np.unique((doc[sentence].astype(np.int64) << BITS) | flat)
-    frequent = np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= LEAST_TEXTS
-    keep = frequent[flat]
-    features, flat = np.unique(flat[keep], return_inverse=True)
-    sentence = sentence[keep]
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    features, flat = np.unique(flat, return_inverse=True)
     weights, bias, floor = np.zeros(len(features)), -4.0, 1e-3
+
+    def rated():
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(sentence, weights[flat], len(sizes)) + bias, -30, 30)))
+        plain = 1 / (1 + np.exp(-bias))
+        return p, plain, np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), texts) + empty * np.log1p(-plain)
+
     m, v = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     for step in range(1, 251):
-        score = np.bincount(sentence, weights[flat], len(cells)) + bias
-        p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        safe = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), texts)
+        p, plain, safe = rated()
         clean = (1 - floor) * np.exp(safe)
-        toxic = np.maximum(1 - clean, 1e-9)
+        pressure = np.where(label == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)
         # Slope of the log-likelihood in each sentence's score.
-        slope = np.where(label == 1, clean / toxic, -1.0)[doc] * p
-        grad = np.append(np.bincount(flat, slope[sentence], len(features)) - PULL * np.sign(weights) - 0.02 * weights, slope.sum())
+        slope = pressure[doc] * p
+        grad = np.append(np.bincount(flat, slope[sentence], len(features)) - PULL * np.sign(weights) - 0.02 * weights, slope.sum() + (pressure * empty).sum() * plain)
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        weights += move[:-1]
+        weights = weights + move[:-1]
         bias = float(np.clip(bias + move[-1], -12, -2))
     # Texts without any offending sentence are toxic by label noise alone.
-    p = 1 / (1 + np.exp(-np.clip(np.bincount(sentence, weights[flat], len(cells)) + bias, -30, 30)))
-    quiet = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), texts) > np.log(0.5)
+    quiet = rated()[2] > np.log(0.5)
     floor = float(np.clip(label[quiet].mean(), 1e-3, 0.2)) if quiet.any() else floor
     every = np.zeros(1 << BITS, np.float32)
     every[features] = weights
@@ -146,14 +180,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])  # at most SAMPLE ids
-    rows = materialise(texts.mapInArrow(_learned_sentences, "doc_id bigint, label int, cells binary"), "toxicity-sample")
-    found = rows.toPandas().sort_values(["doc_id", "cells"], kind="stable")
-    if found.empty:
+    rows = materialise(texts.mapInArrow(_learned_texts, "doc_id bigint, label int, sizes binary, cells binary"), "toxicity-sample")
+    share = rows.agg(F.avg("label")).first()[0]
+    if share is None:
         return ToxicityModel(np.zeros(1 << BITS, np.float32), -12.0, 0.01)
-    _, doc = np.unique(found["doc_id"].to_numpy(), return_inverse=True)
-    label_of = np.zeros(doc.max() + 1, np.int64)
-    label_of[doc] = found["label"].to_numpy()
-    return _climb(doc, [np.frombuffer(bytes(c), np.int32).astype(np.int64) for c in found["cells"]], label_of)
+    # Only features that stand in toxic texts more often than in others can explain a label; there are 2**BITS cells.
+    counts = rows.mapInArrow(_counted, "cell bigint, texts bigint, toxic bigint").groupBy("cell").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
+    telling = counts.where((F.col("texts") >= LEAST_TEXTS) & (F.col("toxic") >= F.col("texts") * min(0.9, TELLING * share))).select("cell").toPandas()
+    found = rows.mapInArrow(_screened(telling["cell"].to_numpy()), "doc_id bigint, label int, empty int, sizes binary, cells binary").toPandas().sort_values("doc_id")
+    sizes = [np.frombuffer(bytes(s), np.int32) for s in found["sizes"]]
+    flat = [np.frombuffer(bytes(c), np.int32) for c in found["cells"]]
+    doc = np.repeat(np.arange(len(found)), [len(s) for s in sizes])
+    return _climb(found["empty"].to_numpy(), doc, np.concatenate(sizes), np.concatenate(flat), found["label"].to_numpy())
 
 
 def _rated(words: Words, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
