@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, jaccard_join, licence_scan, quality, secret_scan, toxicity
+from granary.llm import decontamination, jaccard_join, licence_scan, packing, quality, secret_scan, toxicity
 from granary.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
