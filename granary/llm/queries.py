@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, jaccard_join, licence_scan, packing, quality, secret_scan, toxicity
+from granary.llm import decontamination, jaccard_join, licence_scan, packing, quality, secret_scan, token_counts, toxicity
 from granary.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan.find_licences(table(spark, sf_dir, "documents"))
