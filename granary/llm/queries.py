@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, jaccard_join, licence_scan, packing, quality, secret_scan, token_counts, toxicity
+from granary.llm import decontamination, jaccard_join, licence_scan, packing, quality, range_coder, secret_scan, token_counts, toxicity
 from granary.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model)
 
 
+@query
+def op3_context_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_coder.written_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
