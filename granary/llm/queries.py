@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, jaccard_join, licence_scan, packing, quality, range_coder, secret_scan, token_counts, toxicity
+from granary.llm import decontamination, embedding_dedup, jaccard_join, licence_scan, packing, quality, range_coder, secret_scan, token_counts, toxicity
 from granary.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -91,3 +96,20 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.a = d.doc_id
 """
+
+ORACLES["op8_embedding_near_dedup"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, len(embedding) AS n FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    AND len(list_filter(embedding, lambda v: v <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.n = b.n AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(l.b, v.vec_id)) AS component_id,
+  least(v.vec_id, coalesce(l.b, v.vec_id)) = v.vec_id AS kept
+FROM embeddings v LEFT JOIN least l ON l.a = v.vec_id LEFT JOIN counts c ON c.a = v.vec_id
+"""
