@@ -1,13 +1,4 @@
-"""Token counts by a compiled finite-state transducer.
-
-A byte-level BPE file is compiled, state by state as the texts need them, into a deterministic transducer over bytes. A
-state stands for everything the words read so far can still become: for each suffix that may grow into a token its node in
-the trie of tokens, which tokens may follow there, and how many tokens precede it. A transition adds the change of the
-token count; its sum along a word is the word's count. This is exact because the last token of a word's encoding is the
-one token whose neighbour on the left it may stand next to, and that can be told from the two tokens alone.
-
-All words of a batch step through the table together, one byte at a time. Words are cut as the file's own splitting rule
-does, on arrays of character classes; the class of a character is asked of the library once.
+"""Token counts by a compiled finite-state transducer (:mod:`granary.llm.transducer`).
 
 Long texts are cut into chunks that different tasks read. A chunk's state map is open at its ends: up to the first place
 where a word surely begins it depends on what stands before, from there on it does not. Maps compose associatively
@@ -16,301 +7,19 @@ where a word surely begins it depends on what stands before, from there on it do
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from granary.llm.transducer import Transducer, transducer
 from granary.llm.words import pieces
 
 #: Characters per chunk of a long text.
 CHUNK = 1 << 17
-#: States kept; beyond it the table is begun anew.
-STATES = 150_000
-#: A suffix that can become at most so many tokens is told apart by those that may follow, not by its neighbour.
-FEW = 40
-_LETTER, _NUMBER, _OTHER, _BLANK, _UNKNOWN = range(5)
-_SHIFT, _MIDDLE = 6, 32  # a table cell holds the next state above, the change of the count below
-_transducers: dict[str, "Transducer"] = {}
-
-
-def transducer(path: str) -> "Transducer":
-    """The worker's transducer for a file; its states stay from task to task."""
-    if path not in _transducers:
-        _transducers[path] = Transducer(path)
-    return _transducers[path]
-
-
-def _byte_alphabet() -> dict[str, int]:
-    """The printable stand-ins of the 256 bytes in byte-level files: printable ones for themselves, the rest from 256 on."""
-    plain = [b for b in range(256) if chr(b).isprintable() and b not in (32, 173)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
-class Transducer:
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        before = parts["pre_tokenizer"] or {}
-        if parts["model"]["type"] != "BPE" or parts["normalizer"] or before.get("type") != "ByteLevel" or not before.get("use_regex") or before.get("add_prefix_space"):
-            raise ValueError(f"not a byte-level BPE file with its own splitting rule: {path}")
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.special = [t["content"] for t in parts["added_tokens"]]
-        stand_in = _byte_alphabet()
-        vocabulary = {k: i for k, i in parts["model"]["vocab"].items() if k not in self.special}
-        spelled = {k: bytes(stand_in[c] for c in k) for k in vocabulary}
-        # How each token is made: rank of its merge and the two halves; -1 for bytes.
-        size = max(vocabulary.values()) + 1
-        self.made, self.left, self.right = [-1] * size, [0] * size, [0] * size
-        self.rank: dict[tuple[int, int], int] = {}
-        for rank, merge in enumerate(parts["model"]["merges"]):
-            a, b = merge if isinstance(merge, list) else merge.split(" ")
-            whole = vocabulary[a + b]
-            self.rank[vocabulary[a], vocabulary[b]] = rank
-            if self.made[whole] < 0:
-                self.made[whole], self.left[whole], self.right[whole] = rank, vocabulary[a], vocabulary[b]
-        # The trie of tokens.
-        self.child: list[dict[int, int]] = [{}]
-        self.token = [-1]
-        for name, number in vocabulary.items():
-            node = 0
-            for byte in spelled[name]:
-                if byte not in self.child[node]:
-                    self.child[node][byte] = len(self.child)
-                    self.child.append({})
-                    self.token.append(-1)
-                node = self.child[node][byte]
-            self.token[node] = number
-        self._below: dict[int, tuple[int, ...]] = {}
-        self._neighbours: dict[int, bool] = {}
-        self.classes = np.full(0x110000, _UNKNOWN, np.uint8)
-        self._begin()
-
-    def _begin(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.content: list[tuple] = []
-        self.followers: list[frozenset[int]] = []
-        self.follower_ids: dict[tuple, int] = {}
-        self.followers_of: dict[int, int | None] = {}
-        self.column = np.full(256, -1, np.int16)  # bytes met so far
-        self.table = np.full((1 << 12, 32), -1, np.int32)
-        self._state(((0, -1, 0),))
-
-    def _state(self, content: tuple) -> int:
-        found = self.states.get(content)
-        if found is None:
-            found = self.states[content] = len(self.content)
-            self.content.append(content)
-            if found == len(self.table):
-                self.table = np.concatenate((self.table, np.full_like(self.table, -1)))
-        return found
-
-    def neighbours(self, a: int, b: int) -> bool:
-        """May token ``b`` follow token ``a``: does encoding both together give the two again?
-
-        Their merges are undone, the latest first, looking for a merge across the seam that would have come earlier. At
-        one rank, places further left merge first.
-        """
-        key = a << 20 | b
-        known = self._neighbours.get(key)
-        if known is not None:
-            return known
-        rank, made = self.rank, self.made
-        limit = 1 << 30
-        while True:
-            across = rank.get((a, b), limit)
-            if across < limit:
-                known = False
-                break
-            if made[a] > made[b]:
-                limit, a = made[a], self.right[a]
-            elif made[b] >= 0:
-                limit, b = made[b] + 1, self.left[b]
-            else:
-                known = True
-                break
-        self._neighbours[key] = known
-        return known
-
-    def _tokens_below(self, node: int) -> tuple[int, ...]:
-        """Tokens that begin with the node's bytes and are longer; at most ``FEW + 1`` of them."""
-        found = self._below.get(node)
-        if found is None:
-            out: list[int] = []
-            open_nodes = list(self.child[node].values())
-            while open_nodes and len(out) <= FEW:
-                n = open_nodes.pop()
-                if self.token[n] >= 0:
-                    out.append(self.token[n])
-                open_nodes.extend(self.child[n].values())
-            found = self._below[node] = tuple(out[: FEW + 1])
-        return found
-
-    def _narrowed(self, node: int, last: int) -> int | None:
-        """What matters of the token before a suffix: itself, or (below -1) the set of tokens that may follow; None if none may."""
-        if last == -1:
-            return -1
-        key = node << 24 | (last + (1 << 23))
-        if key in self.followers_of:
-            return self.followers_of[key]
-        below = self._tokens_below(node)
-        if last >= 0 and len(below) > FEW:
-            out: int | None = last
-        else:
-            may = frozenset(t for t in below if self._fits(last, t))
-            out = None
-            if may:
-                if (node, may) not in self.follower_ids:
-                    self.follower_ids[node, may] = len(self.followers)
-                    self.followers.append(may)
-                out = -2 - self.follower_ids[node, may]
-        self.followers_of[key] = out
-        return out
-
-    def _fits(self, last: int, token: int) -> bool:
-        if last == -1:
-            return True
-        return self.neighbours(last, token) if last >= 0 else token in self.followers[-2 - last]
-
-    def compile(self, state: int, byte: int) -> None:
-        """Work out one transition."""
-        grown, token, change = [], -1, 0
-        for node, last, count in self.content[state]:
-            below = self.child[node].get(byte)
-            if below is None:
-                continue
-            here = self.token[below]
-            if here >= 0 and token < 0 and self._fits(last, here):
-                token, change = here, count + 1
-            if self.child[below]:
-                may = self._narrowed(below, last)
-                if may is not None:
-                    grown.append((below, may, count))
-        target = self._state((*((n, m, c - change) for n, m, c in grown), (0, token, 0)))
-        if self.column[byte] < 0:
-            self.column[byte] = self.column.max() + 1
-            if self.column[byte] == self.table.shape[1]:
-                self.table = np.concatenate((self.table, np.full_like(self.table, -1)), axis=1)
-        self.table[state, self.column[byte]] = target << _SHIFT | change + _MIDDLE
-
-    def count(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Tokens of the words ``data[start:end]``."""
-        if len(self.content) > STATES:
-            self._begin()
-        order = np.argsort(start - end, kind="stable")  # longest first
-        place, stop = start[order].copy(), end[order]
-        length = stop - place
-        state = np.zeros(len(order), np.int64)
-        total = np.zeros(len(order), np.int64)
-        active = len(order)
-        depth = 0
-        negative = -length
-        while True:
-            active = int(np.searchsorted(negative[:active], -depth, "left"))
-            if not active:
-                break
-            byte = data[place[:active] + depth]
-            now = state[:active]
-            column = self.column[byte]
-            cell = self.table[now, column]
-            lost = np.flatnonzero((cell < 0) | (column < 0))
-            if len(lost):
-                for pair in np.unique(now[lost] << 8 | byte[lost]).tolist():
-                    if self.column[pair & 255] < 0 or self.table[pair >> 8, self.column[pair & 255]] < 0:
-                        self.compile(pair >> 8, pair & 255)
-                cell[lost] = self.table[now[lost], self.column[byte[lost]]]
-            state[:active] = cell >> _SHIFT
-            total[:active] += (cell & ((1 << _SHIFT) - 1)) - _MIDDLE
-            depth += 1
-        out = np.empty(len(order), np.int64)
-        out[order] = total
-        return out
-
-    def _classify(self, points: np.ndarray) -> np.ndarray:
-        kinds = self.classes[points]
-        if (kinds == _UNKNOWN).any():
-            split = self.library.pre_tokenizer.pre_tokenize_str
-            for point in np.unique(points[kinds == _UNKNOWN]).tolist():
-                c = chr(point)
-                kind = next((k for k, frame in ((_LETTER, "a"), (_NUMBER, "1"), (_OTHER, "!")) if len(split(frame + c + frame)) == 1), _BLANK)
-                self.classes[point] = kind
-            kinds = self.classes[points]
-        return kinds
-
-    def words(self, points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-        """Starts of the words of texts that begin at ``firsts`` (ascending, no text empty), by the byte-level rule.
-
-        A run of one class is a word and takes a blank before it along; white space before that is a word, its last
-        character one of its own unless it is taken along; an apostrophe with s, t, re, ve, m, ll or d is a word.
-        """
-        n = len(points)
-        kinds = self._classify(points)
-        fresh = np.ones(n, bool)
-        fresh[1:] = kinds[1:] != kinds[:-1]
-        fresh[firsts] = True
-        begin = np.flatnonzero(fresh)
-        kind = kinds[begin]
-        stop = np.append(begin[1:], n)
-        size = stop - begin
-        opens = np.zeros(n + 1, bool)
-        opens[firsts] = True
-        opens[n] = True
-        final = opens[stop]  # the run ends its text
-        blank = kind == _BLANK
-        taken = blank & ~final & (points[stop - 1] == 32)
-        after_taken = np.zeros(len(begin), bool)
-        after_taken[1:] = taken[:-1]
-        mark = np.zeros(n, bool)
-        mark[begin[blank & ~(taken & (size == 1))]] = True
-        mark[(stop - 1)[blank & ~final & ~taken]] = True
-        mark[begin[~blank] - after_taken[~blank]] = True
-        short = np.flatnonzero((kind == _OTHER) & (size == 1) & (points[begin] == 39) & ~after_taken & ~final)
-        short = short[kind[short + 1] == _LETTER] if len(short) else short
-        if len(short):
-            at = begin[short] + 1
-            one = points[at]
-            two = np.where(size[short + 1] > 1, points[np.minimum(at + 1, n - 1)], 0)
-            single = np.isin(one, [ord(c) for c in "stmd"])
-            double = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
-            length = np.where(single, 1, np.where(double, 2, 0))
-            hit = length > 0
-            mark[at[hit]] = False
-            rest = hit & (size[short + 1] > length)
-            mark[at[rest] + length[rest]] = True
-        return np.flatnonzero(mark)
-
-    def counts(self, texts: list[str]) -> np.ndarray:
-        """Tokens of each text."""
-        out = np.zeros(len(texts), np.int64)
-        odd = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
-        for k in odd:
-            out[k] = len(self.library.encode(texts[k], add_special_tokens=False).ids)
-        plain = [k for k, t in enumerate(texts) if t]
-        plain = plain if not odd else sorted(set(plain) - set(odd))
-        if not plain:
-            return out
-        joined = "".join([texts[k] for k in plain])
-        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        sizes = np.array([len(texts[k]) for k in plain])
-        firsts = np.cumsum(sizes) - sizes
-        starts = self.words(points, firsts)
-        places = np.zeros(len(points) + 1, np.int64)
-        np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), out=places[1:])
-        data = np.frombuffer(joined.encode(), np.uint8)
-        begin = places[starts]
-        found = self.count(data, begin, np.append(begin[1:], len(data)))
-        out[plain] = np.add.reduceat(found, np.searchsorted(starts, firsts))
-        return out
 
 
 @dataclass(frozen=True)

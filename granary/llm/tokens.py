@@ -1,24 +1,19 @@
-"""Token ids of many texts with the tokenizers library, each distinct word encoded once per worker.
+"""Token ids of many texts, as the tokenizers library gives them for a file.
 
-Both kinds of tokenizer below cut a text into words before they merge, so a text's ids are its words' ids in a row. That
-holds where the file says so (``_cut``); any other file's texts are encoded whole.
+Files of a kind that :mod:`granary.llm.transducer` understands go through its table; the first texts that a worker meets
+are encoded by the library as well and must agree. Any other file is left to the library.
 """
 
 from __future__ import annotations
 
-import json
 import os
-import re
 
 import numpy as np
 
-#: Words kept per worker; beyond it the older ones go, a word in use stays.
-REMEMBERED = 600_000
-GLUED = 500
-#: White space after a blank, and characters that only some libraries take for white space.
-_SPACED = tuple(" " + c for c in " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f")
-_CONTROLS = "\x1c\x1d\x1e\x1f"
-_RARE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+from granary.llm.transducer import transducer
+
+#: Texts of a worker that the library encodes again.
+HELD_AGAINST = 50
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -29,105 +24,33 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
-def _cut(path: str) -> str:
-    """How texts may be cut: ``blank`` before a blank and a word, ``space`` at white space, ``no`` not at all."""
-    with open(path, encoding="utf-8") as file:
-        parts = json.load(file)
-    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in parts["added_tokens"]):
-        return "no"
-    before, normal = parts["pre_tokenizer"] or {}, parts["normalizer"] or {}
-    if not normal and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space"):
-        return "blank"
-    steps = [s.get("type") for s in normal.get("normalizers", [])]
-    split = (before.get("pretokenizers") or [{}])[0]
-    if steps == ["NFC", "Replace", "Lowercase"] and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert"):
-        # Only runs without white space survive the split.
-        if r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", ""):
-            return "space"
-    return "no"
-
-
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor share its cores already
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.cut = _cut(path)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.mark, self.mark_text = next(((i, t.content) for i, t in special.items() if not t.normalized), (-1, ""))
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _each(self, words: list[str], lead: str) -> list[bytes]:
-        """Ids of each word. A special token between the words keeps them apart, so that one call does for many."""
-        if self.mark < 0 or any(self.mark_text in w for w in words):
-            return self._whole([lead + w for w in words])
-        out = []
-        between = self.mark_text + lead
-        for found, a in zip(self.tokenizer.encode_batch_fast([lead + between.join(words[a : a + GLUED]) for a in range(0, len(words), GLUED)], add_special_tokens=False), range(0, len(words), GLUED), strict=True):
-            ids = np.array(found.ids, np.uint32)
-            raw = ids.tobytes()
-            ends = np.flatnonzero(ids == self.mark) * 4
-            out += [raw[b:e] for b, e in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)], strict=True)]
-        return out
-
-    def _parts(self, text: str) -> list[str]:
-        if self.cut == "space":
-            return text.split()
-        if text[-1:] != " " and not any(s in text for s in _SPACED) and (text.isascii() or not _RARE.search(text)):
-            return text.split(" ")
-        # A blank before white space or at the end belongs to what stands before it.
-        first, *rest = text.split(" ")
-        joined = [first]
-        for p in rest:
-            if not p or p[0].isspace():
-                joined[-1] += " " + p
-            else:
-                joined.append(p)
-        return joined
+        try:
+            self.table = transducer(path)
+            self.library = self.table.library
+        except ValueError:
+            self.table = None
+            self.library = Tokenizer.from_file(path)
+            self.library.no_truncation()
+            self.library.no_padding()
+        self.compared = 0
 
-    def _learn(self, unknown: set[str], needed: list[list[str]], lead: str) -> None:
-        if len(self.words) + len(unknown) > REMEMBERED:
-            # Words still in use move on from the older half when they are met again.
-            self.older, self.words = self.words, {}
-            unknown.update(p for own in needed for p in own)
-        old = self.older
-        kept = [p for p in unknown if p in old]
-        self.words.update((p, old[p]) for p in kept)
-        fresh = list(unknown.difference(kept))
-        self.words.update(zip(fresh, self._each(fresh, lead), strict=True))
+    def _by_library(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if self.cut == "no":
-            return self._whole(texts)
-        lead = " " if self.cut == "blank" else ""
-        get = self.words.get
-        odd = [k for k, t in enumerate(texts) if self.cut == "space" and any(c in t for c in _CONTROLS)]
-        parts, heads = [], []
-        for text in texts:
-            own = self._parts(text)
-            if lead:
-                heads.append(own[0])  # the first word has no blank before it
-                own = own[1:]
-            parts.append(own)
-        found = [list(map(get, own)) for own in parts]
-        missing = [k for k, ids in enumerate(found) if None in ids]
-        if missing:
-            unknown = {p for k in missing for p, i in zip(parts[k], found[k], strict=True) if i is None}
-            self._learn(unknown, [parts[k] for k in missing], lead)
-            get = self.words.get
-            for k in missing:
-                found[k] = map(get, parts[k])
-        out = [b"".join(ids) for ids in found]
-        if lead:
-            out = [h + o for h, o in zip(self._each(heads, ""), out, strict=True)]
-        for k, ids in zip(odd, self._whole([texts[k] for k in odd]), strict=True):
-            out[k] = ids
+        if self.table is None:
+            return self._by_library(texts)
+        out = self.table.encode(texts)
+        if self.compared < HELD_AGAINST:
+            some = texts[: HELD_AGAINST - self.compared]
+            if self._by_library(some) != out[: len(some)]:
+                raise AssertionError("the compiled table disagrees with the tokenizers library")
+            self.compared += len(some)
         return out
