@@ -354,6 +354,21 @@ def jaccard_components(docs: DataFrame, n: int = 5, share: int = 75) -> DataFram
     return sets.join(labelled, "set_id", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def without_near_duplicates(docs: DataFrame, n: int = 5, share: int = 75) -> DataFrame:
+    """The rows of ``docs`` with the least id of their component, all columns.
+
+    Of rows that repeat such an id one stays, the one with the least columns. Rows with a null id stay as they are: they
+    cannot be the one document of a group.
+    """
+    kept = jaccard_components(docs, n, share).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = materialise(kept, "kept")
+    single = docs.join(kept.where("_rows = 1").select("doc_id"), "doc_id", "left_semi")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    repeated = docs.join(kept.where("_rows > 1").select("doc_id"), "doc_id", "left_semi")
+    repeated = repeated.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row")).select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    return single.select(docs.columns).unionAll(repeated).unionAll(docs.where("doc_id is null"))
+
+
 def _ties(sets: DataFrame, ties: DataFrame) -> DataFrame:
     repeated = sets.where("set_id is not null").join(ties, "doc_id")
     return repeated.where("set_id > u").select("u", F.col("set_id").alias("v"))

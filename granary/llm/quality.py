@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from granary.llm.tables import held_out
+from granary.llm.tables import bounded_sample, held_out
 from granary.session import materialise
 
 SAMPLE = 20_000
@@ -41,7 +41,9 @@ class QualityModel:
     weights: np.ndarray
 
     def probability(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(_terms(features, self.centre, self.spread) @ self.weights, -30, 30)))
+        # Added term by term, so that a text's score does not depend on the batch it comes in.
+        score = sum(t * w for t, w in zip(_terms(features, self.centre, self.spread).T, self.weights, strict=True))
+        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
 def _terms(features: np.ndarray, centre: np.ndarray, spread: np.ndarray) -> np.ndarray:
@@ -103,7 +105,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", lear
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known if learn is None else known.where(learn)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    known = bounded_sample(known, "doc_id", SAMPLE)
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     # At most SAMPLE ids: this side is bounded.
     texts = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])

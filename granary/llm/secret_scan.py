@@ -18,6 +18,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from granary.llm.tables import bounded_sample
 from granary.session import materialise
 
 SAMPLE = 1500
@@ -79,29 +80,39 @@ def _features(c: Column) -> Column:
 def candidates(text: Column) -> Column:
     """The candidates of a text in their order: ``array<struct<value, before, after, gap>>``; ``gap``: length of what stands before."""
     values, parts = F.regexp_extract_all(text, F.lit(CANDIDATE), 0), F.split(text, CANDIDATE, -1)
+    # Zipped first: inside the function over candidates the text would be cut again for each of them.
+    rows = F.arrays_zip(values.alias("value"), parts.alias("left"), F.slice(parts, 2, F.size(values) + 1).alias("right"))
     return F.transform(
-        values,
-        lambda v, i: F.struct(
-            v.alias("value"),
-            F.substring(F.element_at(parts, i + 1), -BEFORE, BEFORE).alias("before"),
-            F.substring(F.element_at(parts, i + 2), 1, AFTER).alias("after"),
-            F.length(F.element_at(parts, i + 1)).alias("gap"),
+        F.filter(rows, lambda c: c["value"].isNotNull()),
+        lambda c: F.struct(
+            c["value"].alias("value"),
+            F.substring(c["left"], -BEFORE, BEFORE).alias("before"),
+            F.substring(c["right"], 1, AFTER).alias("after"),
+            F.length(c["left"]).alias("gap"),
         ),
     )
 
 
 def labelled_findings(docs: DataFrame) -> DataFrame:
     """``line, label``: generated findings between words of ``docs``, each line with one candidate."""
-    some = docs.where("doc_id is not null").select("doc_id", F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, 300).alias("text")).dropDuplicates(["doc_id"])
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    clean = F.regexp_replace("text", r"[0-9\"'=:@]|\S{12,}", "")
-    word = lambda k: F.coalesce(F.try_element_at(F.split(clean, r"\s+"), F.lit(k)), F.lit("and"))
-    number = F.pmod(F.xxhash64("doc_id", F.lit("n")), F.lit(10**12)).cast("string")
-    digest = F.sha1(F.concat(F.lit("finding"), F.col("doc_id").cast("string")))
-    long = F.sha2(F.concat(F.lit("finding"), F.col("doc_id").cast("string")), 256)
-    mixed = F.regexp_replace(F.base64(F.unhex(long)), "[+/=]", "7")
+    ids = bounded_sample(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", SAMPLE)
+    some = docs.select("doc_id", F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, 300).alias("text"))
+    some = some.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))  # SAMPLE ids at most
+    clean = F.split(F.regexp_replace("text", r"[0-9\"'=:@]|\S{12,}", ""), r"\s+")
     pick = lambda names, salt: F.element_at(F.array(*[F.lit(n) for n in names]), (F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(len(names))) + 1).cast("int"))
-    name, plain = pick(_CREDENTIAL, "name"), pick(_HARMLESS, "plain")
+    key = F.concat(F.lit("finding"), F.col("doc_id").cast("string"))
+    parts = {
+        "number": F.pmod(F.xxhash64("doc_id", F.lit("n")), F.lit(10**12)).cast("string"),
+        "digest": F.sha1(key),
+        "long": F.sha2(key, 256),
+        "mixed": F.regexp_replace(F.base64(F.unhex(F.sha2(key, 256))), "[+/=]", "7"),
+        "name": pick(_CREDENTIAL, "name"),
+        "plain": pick(_HARMLESS, "plain"),
+        **{f"word{k}": F.coalesce(F.try_element_at(clean, F.lit(k)), F.lit("and")) for k in range(2, 9)},
+    }
+    some = materialise(some.select(*[v.alias(k) for k, v in parts.items()]), "findings-parts")
+    number, digest, long, mixed, name, plain = (F.col(c) for c in ("number", "digest", "long", "mixed", "name", "plain"))
+    word = lambda k: F.col(f"word{k}")
     true = [
         F.concat(name, F.lit(' = "'), digest, F.lit('"')),
         F.concat(F.upper(name), F.lit(' = "'), F.upper(digest), F.lit('"!!')),

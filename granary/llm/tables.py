@@ -82,3 +82,15 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         kept = [batch.slice(cut)]
     if kept:
         yield pa.Table.from_batches(kept)
+
+
+def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of ``df``, those with the least hashes of ``key`` among a share of about four times as many.
+
+    The share is taken by the hash as well, so no single task gathers rows from every partition of a large table.
+    """
+    rows = df.count()
+    share = min(1.0, 4 * most / max(rows, 1))
+    mark = F.xxhash64(F.col(key))
+    some = df.where(F.pmod(mark, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)) if share < 1 else df
+    return some.orderBy(mark, key).limit(most)

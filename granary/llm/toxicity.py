@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from granary.llm.tables import held_out
+from granary.llm.tables import bounded_sample, held_out
 from granary.llm.decontamination import plain_words
 from granary.llm.words import U, Words, mixed, pieces
 from granary.session import materialise
@@ -177,13 +177,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known if learn is None else known.where(learn)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    known = bounded_sample(known, "doc_id", SAMPLE)
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])  # at most SAMPLE ids
     rows = materialise(texts.mapInArrow(_learned_texts, "doc_id bigint, label int, sizes binary, cells binary"), "toxicity-sample")
     share = rows.agg(F.avg("label")).first()[0]
     if share is None:
-        return ToxicityModel(np.zeros(1 << BITS, np.float32), -12.0, 0.01)
+        return ToxicityModel(np.zeros(1 << BITS, np.float32), -30.0, 0.01)
     # Only features that stand in toxic texts more often than in others can explain a label; there are 2**BITS cells.
     counts = rows.mapInArrow(_counted, "cell bigint, texts bigint, toxic bigint").groupBy("cell").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
     telling = counts.where((F.col("texts") >= LEAST_TEXTS) & (F.col("toxic") >= F.col("texts") * min(0.9, TELLING * share))).select("cell").toPandas()
