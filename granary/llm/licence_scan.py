@@ -49,7 +49,7 @@ SENTENCES = {
 }
 
 # Rules as (licence, kind, ordered sentence identifiers), longer ones of a licence first.
-RULES = [
+RULES: list[tuple[str, str, tuple[int, ...]]] = [
     ("Apache-2.0", "header", (1, 5, 6, 7, 8)),
     ("Apache-2.0", "header", (1, 5, 7)),
     ("Apache-2.0", "notice", (1,)),
@@ -99,15 +99,20 @@ def licences(text: Column) -> Column:
     line = F.concat(F.lit(","), F.array_join(F.filter(ids, lambda i: i > 0).cast("array<string>"), ",,"), F.lit(","))
     rows = []
     for k, (licence, kind, rule) in enumerate(RULES):
-        before = [r for r in RULES[:k] if r[0] == licence or _WITHIN.get(licence) == r[0] and set(rule) <= set(r[2])]
         holds = line.rlike(_spaced(rule))
-        for other in before:
+        for other in longer_rules(k):
             holds = holds & ~line.rlike(_spaced(other[2]))
         row = F.struct(F.lit(licence).alias("licence"), F.lit(kind).alias("kind"), (F.array_position(ids, rule[0]) - 1).cast("int").alias("first_sentence"), F.lit(len(rule)).alias("sentences"))
         rows.append(F.when(holds, row))
     return F.when(F.exists(ids, lambda i: i > 0), F.filter(F.array(*rows), lambda r: r.isNotNull()))
 
 
+def longer_rules(k: int) -> list[tuple[str, str, tuple[int, ...]]]:
+    """The rules that take precedence over rule ``k``: longer ones of its licence, and of a licence whose text holds it."""
+    licence, _, rule = RULES[k]
+    return [r for r in RULES[:k] if r[0] == licence or _WITHIN.get(licence) == r[0] and set(rule) <= set(r[2])]
+
+
 def _spaced(rule: tuple[int, ...]) -> str:
     """The rule over a line in which every identifier has a comma on either side."""
     return ",(?:,[0-9]+,)*?".join(f",{i}" for i in rule) + ","
@@ -120,5 +125,6 @@ def find_licences(docs: DataFrame) -> DataFrame:
     place of the rule's first sentence. Null and empty texts and texts without a known sentence give no row. Repeated rows
     give theirs each, a null ``doc_id`` stays null. Other columns are not read.
     """
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), licences(F.col("text").cast("string")).alias("l"))
-    return found.where("l is not null").select("doc_id", F.inline("l"))
+    text = F.col("text").cast("string")
+    # Nearly all texts end at the hint; the rest is worked out once, for the others.
+    return docs.where(text.rlike(HINT)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.inline(licences(text)))

@@ -113,3 +113,28 @@ SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(l.b, v.ve
   least(v.vec_id, coalesce(l.b, v.vec_id)) = v.vec_id AS kept
 FROM embeddings v LEFT JOIN least l ON l.a = v.vec_id LEFT JOIN counts c ON c.a = v.vec_id
 """
+
+
+def _licence_sql() -> str:
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ", ".join(f"{text(s)}: {i}" for i, s in licence_scan.SENTENCES.items())
+    rules = []
+    for k, (licence, kind, rule) in enumerate(licence_scan.RULES):
+        longer = [licence_scan._spaced(r[2]) for r in licence_scan.longer_rules(k)]
+        rules.append(f"({text(licence)}, {text(kind)}, {rule[0]}, {len(rule)}, {text(licence_scan._spaced(rule))}, [{', '.join(map(text, longer))}]::VARCHAR[])")
+    return rf"""
+WITH sentences AS (
+  SELECT doc_id, list_filter(list_transform(string_split_regex(text, {text(licence_scan.ENDS)}),
+    lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS s
+  FROM documents WHERE regexp_matches(text, {text(licence_scan.HINT)})
+), identified AS (
+  SELECT doc_id, list_transform(s, lambda x: coalesce(MAP {{{known}}}[regexp_extract(x, {text(f'(?:^| )({licence_scan._KNOWN})(?: |$)')}, 1)], 0)) AS ids FROM sentences
+), lines AS (
+  SELECT doc_id, ids, ',' || array_to_string(list_filter(ids, lambda i: i > 0), ',,') || ',' AS line FROM identified
+), rules(licence, kind, first_id, sentences, pattern, longer) AS (VALUES {', '.join(rules)})
+SELECT doc_id, licence, kind, (list_position(ids, first_id) - 1)::INTEGER AS first_sentence, sentences
+FROM lines JOIN rules ON regexp_matches(line, pattern) AND len(list_filter(longer, lambda p: regexp_matches(line, p))) = 0
+"""
+
+
+ORACLES["op10_licence_scan"] = _licence_sql()
