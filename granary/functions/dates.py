@@ -14,6 +14,14 @@ def as_date(value) -> Column:
     return F.lit(str(value)).cast("date")
 
 
+def stamp(value: dt.datetime | str, kind="timestamp") -> Column:
+    """A stamp literal that means the same wall-clock time on every machine.
+
+    A Python datetime given to Spark as it is takes the time zone of the driver's process; its text takes that of the session.
+    """
+    return F.lit(value if isinstance(value, str) else value.isoformat(" ")).cast(kind)
+
+
 def month_start(value) -> Column:
     """First day of the month, as DATE (``date_trunc`` would give a timestamp)."""
     column = F.col(value) if isinstance(value, str) else value

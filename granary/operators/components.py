@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from granary.operators.joins import hot_limit, join_unique
-from granary.session import materialise_counted
+from granary.session import discard, materialise
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -25,24 +24,15 @@ def _neighbourhoods(edges: DataFrame) -> DataFrame:
     return both.groupBy("x").agg(F.min("y").alias("least"), F.count("*").alias("degree"))
 
 
-def _pulled(linked: DataFrame, rows: int, hot_rows: int | None) -> DataFrame:
-    """Edges of the second star step before it: ``hi``, ``lo`` and the least smaller neighbour ``root`` of ``hi``."""
-    if rows <= hot_limit(rows, hot_rows):
-        # No vertex can have more edges than the limit, so one shuffle and a window per vertex will do.
-        return linked.withColumn("root", F.min("lo").over(Window.partitionBy("hi")))
-    large, rows = materialise_counted(linked, "large-star")
-    lowest = large.groupBy("hi").agg(F.min("lo").alias("root"), F.count("*").alias("degree"))
-    return join_unique(large, lowest, ["hi"], "inner", hot_rows, rows, "degree")
-
-
-def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def component_roots(edges: DataFrame) -> DataFrame:
     """``(vertex, root)`` for every vertex of ``edges(u, v)``; the root is the least vertex reached.
 
     Each round links all larger neighbours of a vertex to its least neighbour, then all smaller ones,
-    until only stars are left. Vertices may be of any ordered type. Every round starts from a written
-    edge table, and the joins on a hub vertex are split by :func:`join_unique`.
+    until only stars are left. Vertices may be of any ordered type. Every half round starts from a written
+    edge table; the ones before it are removed. A hub is one row on one side of each join, so adaptive
+    execution splits its edges; its minimum is combined before the shuffle.
     """
-    current, rows = materialise_counted(_oriented(edges), "edges")
+    current = materialise(_oriented(edges), "edges")
     while True:
         around = _neighbourhoods(current).persist()
         try:
@@ -50,17 +40,19 @@ def component_roots(edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
             loose = around.where((F.col("least") < F.col("x")) & (F.col("degree") > 1))
             if loose.isEmpty():
                 break
-            best = around.select(F.col("x").alias("lo"), F.least("x", "least").alias("root"), "degree")
-            linked = join_unique(current, best, ["lo"], "inner", hot_rows, rows, "degree")
-            pulled = _pulled(linked.select("hi", F.col("root").alias("lo")), rows, hot_rows)
-            pairs = F.array(
-                F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
-                F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),
-            )
-            stars = pulled.select(F.inline(pairs)).where(F.col("hi") != F.col("lo")).distinct()
-            current, rows = materialise_counted(stars, "edges")
+            best = around.select(F.col("x").alias("lo"), F.least("x", "least").alias("root"))
+            large = materialise(current.join(best, "lo").select("hi", F.col("root").alias("lo")), "large-star")
         finally:
             around.unpersist()
+        lowest = large.groupBy("hi").agg(F.min("lo").alias("root"))
+        pairs = F.array(
+            F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
+            F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),
+        )
+        stars = large.join(lowest, "hi").select(F.inline(pairs)).where(F.col("hi") != F.col("lo")).distinct()
+        before, current = current, materialise(stars, "edges")
+        discard(before)
+        discard(large)
     leaves = current.select(F.col("hi").alias("vertex"), F.col("lo").alias("root"))
     centres = current.select(F.col("lo").alias("vertex"), F.col("lo").alias("root")).distinct()
     return leaves.unionAll(centres)

@@ -1,4 +1,9 @@
-"""Joins that stay balanced when one key fills a large share of the rows."""
+"""Joins that stay balanced when one key fills a large share of the rows.
+
+A join to a table with one row per key needs nothing of its own: the side that repeats keys is the left one or the join is
+an inner one, so adaptive execution splits its large partitions. A left join whose *right* side repeats keys cannot be
+split there; :func:`left_join_many` deals such keys over salts.
+"""
 
 from __future__ import annotations
 
@@ -8,88 +13,33 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from granary.operators.rows import one_row_per_key
-from granary.session import materialise
-
-HOT_ROWS = 1_000_000
-HOT_SHARE = 500
-SPREAD = 64
-
-
-def _same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]):
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_hot_{k}"]) for k in keys])
 
+#: Right rows of one key and salt. A left row is copied once for each salt of its key, that is for every
+#: ``ROWS_PER_SALT`` rows it has in the result anyway.
+ROWS_PER_SALT = 1000
 
-def hot_limit(rows: int, hot_rows: int | None = None) -> int:
-    """Rows from which a key counts as hot; at most ``rows / limit`` keys can reach it."""
-    return hot_rows or max(HOT_ROWS, rows // HOT_SHARE)
 
-
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    hot_rows: int | None = None,
-    rows: int | None = None,
-    size: str | None = None,
-) -> DataFrame:
-    """Join ``left`` to a table with one row per key; ``left`` may repeat a key any number of times.
-
-    A key is hot when more than ``hot_rows`` rows of ``left`` hold it. At most rows / hot_rows keys can
-    be hot, and ``right`` has one row for each, so that slice of ``right`` is broadcast and the hot rows
-    never meet in one task. All other keys go through an ordinary join. ``left`` is read more than once:
-    pass a scan or a written table. ``rows`` is its row count where known; a table with fewer rows than
-    the limit has no hot key. ``size`` names a column of ``right`` that already holds the number of
-    ``left`` rows per key; it saves the counting pass and is dropped.
-    """
-    keys = list(keys)
-    rows = left.count() if rows is None else rows
-    limit = hot_limit(rows, hot_rows)
-    if rows <= limit:
-        return left.join(right.drop(size) if size else right, keys, how)
-    if size:
-        few = F.broadcast(right.where(F.col(size) > limit).drop(size))
-        crowded = left.join(few, keys)
-        others = left.join(few, keys, "left_anti").join(right.where(F.col(size) <= limit).drop(size), keys, how)
-        return crowded.unionByName(others)
-    hot = (
-        left.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    )
-    marks = [f"_hot_{k}" for k in keys]
-    marked = left.join(F.broadcast(hot), _same_keys(left, hot, keys), "left").drop(*marks)
-    few = right.join(F.broadcast(hot), _same_keys(right, hot, keys), "left_semi")
-    crowded = marked.where("_hot").drop("_hot").join(F.broadcast(few), keys, how)
-    others = marked.where(F.col("_hot").isNull()).drop("_hot").join(right, keys, how)
-    return crowded.unionByName(others)
+def salts_per_key(right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Every key of ``right`` with the number of salts its rows are dealt over; one for an ordinary key."""
+    return right.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_salt).cast("int").alias("_salts"))
 
 
-def left_join_many(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None = None, rows: int | None = None
-) -> DataFrame:
-    """Left join whose *right* side may repeat a key any number of times.
+def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Left join whose *right* side may repeat a key any number of times; one plan, whatever the sizes.
 
-    A left outer join cannot split its right side. Hot keys of the right side do have partners, so for
-    them an inner join gives the same rows: the right rows are dealt over ``SPREAD`` salts and the left
-    rows of those keys are copied once per salt. The other keys go through an ordinary left join.
-    ``right`` is read more than once and dealt by row position: pass a scan or a written table.
-    ``rows`` is its row count where known; a table with fewer rows than the limit has no hot key.
+    The right rows of a key are dealt over as many salts as their count asks for, by their place in ``right``: pass a scan or
+    a written table. The left rows of the key are copied once per salt. A left row without a partner has one copy and is
+    kept; a copy that meets an empty salt of a key with partners is dropped.
     """
     keys = list(keys)
-    rows = right.count() if rows is None else rows
-    limit = hot_limit(rows, hot_rows)
-    if rows <= limit:
-        return left.join(right, keys, "left")
-    left = materialise(left, "left")
-    hot = right.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit).select(*keys)
-    hot = F.broadcast(hot.dropna())  # at most rows / limit keys
-    copies = left.join(hot, keys, "left_semi").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    dealt = right.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
-    crowded = copies.join(dealt.join(hot, keys, "left_semi"), [*keys, "_salt"]).drop("_salt")
-    others = left.join(hot, keys, "left_anti").join(right.join(hot, keys, "left_anti"), keys, "left")
-    return crowded.unionByName(others)
+    salts = salts_per_key(right, keys, rows_per_salt)
+    placed = right.withColumn("_place", F.monotonically_increasing_id())
+    dealt = placed.join(salts, keys).withColumn("_salt", F.pmod(F.xxhash64("_place"), F.col("_salts")).cast("int"))
+    dealt = dealt.drop("_place", "_salts").withColumn("_met", F.lit(True))
+    last = F.coalesce(F.col("_salts"), F.lit(1)) - 1
+    copies = left.join(salts, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+    joined = copies.join(dealt, [*keys, "_salt"], "left")
+    return joined.where(F.col("_met") | F.col("_salts").isNull()).drop("_salts", "_salt", "_met")
 
 
 def update_from(target: DataFrame, source: DataFrame, on: dict[str, str], assign: dict[str, str]) -> DataFrame:

@@ -43,7 +43,10 @@ def oldest_pending(journal: DataFrame, flow: str, level: str) -> DataFrame:
 
 
 def status_events(loads: DataFrame, flow: str, level: str, status: str, at: Column, counts: DataFrame | None = None) -> DataFrame:
-    """Events that move every row of ``loads(load_id)`` to ``status``; ``counts(load_id, row_count)``."""
+    """Events that move every row of ``loads(load_id)`` to ``status``; ``counts(load_id, row_count)``.
+
+    ``last_delta_ts`` is set where a load succeeds.
+    """
     if counts is None:
         rows = loads.withColumn("row_count", F.lit(None).cast("bigint"))
     else:
@@ -55,6 +58,7 @@ def status_events(loads: DataFrame, flow: str, level: str, status: str, at: Colu
         F.lit(status).alias("stg_status"),
         "row_count",
         at.cast("timestamp").alias("crea_datetime"),
+        (at if status == SUCCESS else F.lit(None)).cast("timestamp").alias("last_delta_ts"),
     )
 
 

@@ -38,7 +38,8 @@ def overwrite_partitions(df: DataFrame, path: str, column: str, values: Sequence
     df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     if values is None:
         return
-    written = {row[0] for row in df.select(column).distinct().collect()}
+    # Only the partitions asked for are looked up, at most as many as there are values.
+    written = {row[0] for row in df.where(F.col(column).isin(list(values))).select(column).distinct().collect()}
     for value in values:
         if value not in written:
             nothing = df.where(F.lit(False)).drop(column)

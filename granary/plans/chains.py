@@ -12,10 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from granary.functions.dates import stamp as stamp_of
 from granary.operators.components import component_roots
-from granary.operators.joins import hot_limit, join_unique
 from granary.operators.rows import numbered
-from granary.session import materialise, materialise_counted
+from granary.session import materialise
 
 ORDER = ["pl_udate", "pl_utime", "pl_rsnum", "pl_rspos", "pl_rsnum_new", "pl_rspos_new"]
 CHAIN_SCHEMA = (
@@ -42,17 +42,17 @@ def numbered_log(log: DataFrame) -> DataFrame:
 
 
 def first_rows(log: DataFrame) -> DataFrame:
-    """Items ``a, b`` of a numbered log: the place of the first row that names each, and how many do.
+    """Items ``a, b`` of a numbered log and the place of the first row that names each.
 
     A terminal row names only its source. A hub item combines on the map side, on numbers.
     """
     source = F.struct(F.col("pl_rsnum").alias("a"), F.col("pl_rspos").alias("b"))
     target = F.struct(F.col("pl_rsnum_new").alias("a"), F.col("pl_rspos_new").alias("b"))
     ends = F.when(is_terminal(), F.array(source)).otherwise(F.array(source, target))
-    return log.select("seq", F.inline(ends)).groupBy("a", "b").agg(F.min("seq").alias("seq"), F.count("*").alias("degree"))
+    return log.select("seq", F.inline(ends)).groupBy("a", "b").agg(F.min("seq").alias("seq"))
 
 
-def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_rows: int | None = None) -> DataFrame:
+def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime) -> DataFrame:
     """``chains`` after one load ``log``; ``now`` stamps new items and items whose chain was merged.
 
     Numbers are drawn after the largest one in use. Date and time of a new item are those of the first
@@ -81,22 +81,19 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime, hot_row
     joining = numbered(placed.where(F.col("vertex").isNull()).drop("vertex"), ["a", "b"], "vertex", start=top + 1)
     vertices = placed.where(F.col("vertex").isNotNull()).unionByName(joining)
 
-    links, rows = materialise_counted(log.where(~is_terminal() & ~is_self()).drop("seq", "pl_udate", "pl_utime"), "links")
-    ends = vertices.select("a", "b", "vertex", "degree")
+    links = log.where(~is_terminal() & ~is_self()).drop("seq", "pl_udate", "pl_utime")
+    ends = vertices.select("a", "b", "vertex")
     sources = ends.withColumnsRenamed({"a": "pl_rsnum", "b": "pl_rspos", "vertex": "u"})
     targets = ends.withColumnsRenamed({"a": "pl_rsnum_new", "b": "pl_rspos_new", "vertex": "v"})
-    half = join_unique(links, sources, ["pl_rsnum", "pl_rspos"], "inner", hot_rows, rows, "degree")
-    half = half.select("pl_rsnum_new", "pl_rspos_new", "u")
-    if rows > hot_limit(rows, hot_rows):
-        half = materialise(half, "half")
-    edges = join_unique(half, targets, ["pl_rsnum_new", "pl_rspos_new"], "inner", hot_rows, rows, "degree")
-    roots = component_roots(edges.select("u", "v"), hot_rows)
+    half = links.join(sources, ["pl_rsnum", "pl_rspos"]).select("pl_rsnum_new", "pl_rspos_new", "u")
+    edges = half.join(targets, ["pl_rsnum_new", "pl_rspos_new"])
+    roots = component_roots(edges.select("u", "v"))
 
     merged = roots.where((F.col("root") < F.col("vertex")) & (F.col("vertex") <= base))
     merged = merged.select(F.col("vertex").alias("chain_id"), F.col("root").alias("_new_id"))
-    stamp = F.lit(now).cast("timestamp")
+    stamp = stamp_of(now)
     fell = F.col("_new_id").isNotNull()
-    old_items = join_unique(chains, merged, ["chain_id"], "left", hot_rows).select(
+    old_items = chains.join(merged, "chain_id", "left").select(
         "plc_rsnum",
         "plc_rspos",
         "plc_udate",
@@ -120,8 +117,8 @@ def no_chains(spark) -> DataFrame:
     return spark.createDataFrame([], CHAIN_SCHEMA)
 
 
-def chains_of_loads(chains: DataFrame, log: DataFrame, loads: Sequence[str], now: dt.datetime, hot_rows: int | None = None) -> DataFrame:
+def chains_of_loads(chains: DataFrame, log: DataFrame, loads: Sequence[str], now: dt.datetime) -> DataFrame:
     """Run the pending loads one after another, as chain numbers depend on their order."""
     for load in loads:
-        chains = materialise(extended_chains(chains, log.where(F.col("load_id") == load), now, hot_rows), "chains")
+        chains = materialise(extended_chains(chains, log.where(F.col("load_id") == load), now), "chains")
     return chains

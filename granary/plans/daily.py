@@ -10,11 +10,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from granary.functions.dates import month_start, trailing_months
+from granary.functions.dates import month_start, stamp as stamp_of, trailing_months
 from granary.operators.journal import IN_WORK, NEW, SUCCESS, load_counts, pending_loads, readiness, status_events
 from granary.operators.replace import overwrite_partitions
 from granary.plans import chains, loads, stock
-from granary.session import materialise
+from granary.session import discard, materialise
 from granary.sources import sinks
 
 # Table names of the warehouse.
@@ -42,7 +42,8 @@ def _path(folder: str, name: str) -> str:
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(_path(folder, name))
+    # The journal has grown a column; older files lack it.
+    return spark.read.option("mergeSchema", name == "journal").parquet(_path(folder, name))
 
 
 def _log(events: DataFrame, folder: str) -> None:
@@ -62,7 +63,31 @@ def run_stock(spark: SparkSession, folder: str, as_of: dt.date, count: int = 12)
     overwrite_partitions(enriched, _path(folder, "enriched"), "sca_period", months)
 
 
-def run_chains(spark: SparkSession, folder: str, now: dt.datetime, hot_rows: int | None = None) -> list[str]:
+def read_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain table in its newest whole version; without any, the plain table that the folder began with."""
+    newest = _versions(spark, folder)[-1:]
+    return spark.read.schema(chains.CHAIN_SCHEMA).parquet(*newest or [_path(folder, "chains")])
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Folders of finished versions, oldest first. A version counts from the moment its ``_SUCCESS`` mark is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_path(folder, 'chains')}_versions/*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(status.getPath().getParent().toString() for status in found)
+
+
+def _write_chains(grown: DataFrame, folder: str) -> None:
+    """Write the new version beside the old ones, then drop all but the last two; a crash in between loses nothing."""
+    spark = grown.sparkSession
+    done = _versions(spark, folder)
+    number = int(done[-1].rsplit("v", 1)[1]) + 1 if done else 1
+    grown.write.mode("overwrite").parquet(f"{_path(folder, 'chains')}_versions/v{number:09d}")
+    for old in done[:-1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def run_chains(spark: SparkSession, folder: str, now: dt.datetime) -> list[str]:
     """Run the pending demand-log loads in the order of their creation; returns their ids.
 
     A load is logged as in work before and as done after its chains are written, so an interrupted load
@@ -70,23 +95,23 @@ def run_chains(spark: SparkSession, folder: str, now: dt.datetime, hot_rows: int
     """
     journal = _read(spark, folder, "journal")
     todo = pending_loads(journal, CHAIN_FLOW, CHAIN_LEVEL, (NEW, IN_WORK)).orderBy("created", "load_id")
-    stamp = F.lit(now).cast("timestamp")
+    stamp = stamp_of(now)
     done = []
     for load in [row["load_id"] for row in todo.collect()]:
         log = _read(spark, folder, "demand_log").where(F.col("load_id") == load)
         one = spark.createDataFrame([(load,)], "load_id string")
         counts = load_counts(log)
         _log(status_events(one, CHAIN_FLOW, CHAIN_LEVEL, IN_WORK, stamp, counts), folder)
-        known = spark.read.schema(chains.CHAIN_SCHEMA).parquet(_path(folder, "chains"))
-        grown = materialise(chains.extended_chains(known, log, now, hot_rows), "chains")
-        sinks.replace(grown, _path(folder, "chains"))
+        grown = materialise(chains.extended_chains(read_chains(spark, folder), log, now), "chains")
+        _write_chains(grown, folder)
+        discard(grown)
         _log(status_events(one, CHAIN_FLOW, CHAIN_LEVEL, SUCCESS, stamp, counts), folder)
         done.append(load)
     return done
 
 
 def run_snapshot(spark: SparkSession, folder: str, now: dt.datetime) -> None:
-    """Load all pending snapshot loads from ``ods_toro_snap_b`` into ``toro_snap_b``, partitioned by snapshot."""
+    """Load all pending snapshot loads from ``ods_toro_snap_b`` into ``toro_snap_b``; a broken-off run is taken up again."""
     landing, path = _read(spark, folder, "ods_toro_snap_b"), _path(folder, "toro_snap_b")
     core = loads.core_form(landing, now).where(F.lit(False))
     outcome = loads.snapshot_load(landing, core, _read(spark, folder, "journal"), now, (NEW, IN_WORK))

@@ -7,36 +7,38 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from granary.functions.dates import stamp as stamp_of
 from granary.functions.text import joined
-from granary.operators.joins import join_unique
 from granary.operators.journal import IN_WORK, SUCCESS, load_counts, pending_loads, status_events
 from granary.operators.replace import overwrite_partitions, without_keys
 from granary.operators.rows import numbered
-from granary.session import materialise
+from granary.session import discard, materialise
 from granary.sources import sinks
 
 # Columns of the snapshot, in the order of the target.
-SNAPSHOT_COLUMNS = (
-    "source_snap_id source_author_name source_crea_date_time source_snap_type excep werks start_month tech_divis "
-    "tech_divis_text work_divis work_divis_text pspel tplnr pltxt kostl kostv vaplz ekgrp srvpos asktx arbpl "
-    "arbpl_ktext auart ingpr ktext aufnr user4 cat12_3 cat11_3 cat11_1 cat11_2 cat12_1 cat12_2 cat13_3 cat13_1 "
-    "cat13_2 cat21 cat22 cat32 cat42 cat41 arbei arbpl_werks steus kstar ilart zpost1 load_id"
-).split()
+SNAPSHOT_COLUMNS = [
+    "source_snap_id", "source_author_name", "source_crea_date_time", "source_snap_type", "excep", "werks",
+    "start_month", "tech_divis", "tech_divis_text", "work_divis", "work_divis_text", "pspel", "tplnr", "pltxt",
+    "kostl", "kostv", "vaplz", "ekgrp", "srvpos", "asktx", "arbpl", "arbpl_ktext", "auart", "ingpr", "ktext",
+    "aufnr", "user4", "cat12_3", "cat11_3", "cat11_1", "cat11_2", "cat12_1", "cat12_2", "cat13_3", "cat13_1",
+    "cat13_2", "cat21", "cat22", "cat32", "cat42", "cat41", "arbei", "arbpl_werks", "steus", "kstar", "ilart",
+    "zpost1", "load_id",
+]
 SNAPSHOT_KEY = "source_snap_id"
 SNAPSHOT_FLOW = "INT_10"
 STAGE, CORE = "ODSP", "EDW"
 
 # Columns of the two budget marts.
-BUDGET_STOCK = (
-    "bs_werks bs_o_divis bs_r_divis bs_year bs_month bs_month_year bs_bwtar bs_amt bs_proizv bs_or_divis_txt "
-    "bs_o_divis_txt bs_r_divis_txt"
-).split()
-BUDGET_MOVEMENT = (
-    "bm_werks bm_o_divis bm_r_divis bm_year bm_month bm_month_year bm_bwtar bm_section bm_amt bm_proizv "
-    "bm_or_divis_txt bm_o_divis_txt bm_r_divis_txt"
-).split()
+BUDGET_STOCK = [
+    "bs_werks", "bs_o_divis", "bs_r_divis", "bs_year", "bs_month", "bs_month_year", "bs_bwtar", "bs_amt",
+    "bs_proizv", "bs_or_divis_txt", "bs_o_divis_txt", "bs_r_divis_txt",
+]
+BUDGET_MOVEMENT = [
+    "bm_werks", "bm_o_divis", "bm_r_divis", "bm_year", "bm_month", "bm_month_year", "bm_bwtar", "bm_section",
+    "bm_amt", "bm_proizv", "bm_or_divis_txt", "bm_o_divis_txt", "bm_r_divis_txt",
+]
 
 
 def source_label() -> Column:
@@ -55,8 +57,7 @@ def staged(landing: DataFrame, columns: Sequence[str] = SNAPSHOT_COLUMNS) -> Dat
 
 def core_form(landing: DataFrame, now: dt.datetime) -> DataFrame:
     """Staged rows with the flow and the load time, the columns of the core table."""
-    stamp = F.lit(now).cast("timestamp")
-    return staged(landing).withColumns({"dataflow_id": F.lit(SNAPSHOT_FLOW), "load_dttm": stamp})
+    return staged(landing).withColumns({"dataflow_id": F.lit(SNAPSHOT_FLOW), "load_dttm": stamp_of(now)})
 
 
 @dataclass
@@ -68,7 +69,7 @@ class SnapshotLoad:
     events: DataFrame
 
 
-def last_load_wins(placed: DataFrame, key: str = SNAPSHOT_KEY, hot_rows: int | None = None) -> DataFrame:
+def last_load_wins(placed: DataFrame, key: str = SNAPSHOT_KEY) -> DataFrame:
     """Rows of all loads as if loaded one by one in the order of ``place``, each replacing the groups it brings.
 
     Only the last load of a group survives. Rows without a group key replace nothing and all survive.
@@ -76,53 +77,91 @@ def last_load_wins(placed: DataFrame, key: str = SNAPSHOT_KEY, hot_rows: int | N
     ``placed`` is read more than once: pass a written table.
     """
     winner = placed.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("place").alias("_last"))
-    kept = join_unique(placed, winner, [key], "left", hot_rows)
+    kept = placed.join(winner, key, "left")
     return kept.where(F.col("_last").isNull() | (F.col("place") == F.col("_last"))).select(*placed.columns)
 
 
 def snapshot_load(
-    landing: DataFrame, core: DataFrame, journal: DataFrame, now: dt.datetime, states: Sequence[str] = ("N",), hot_rows: int | None = None
+    landing: DataFrame, core: DataFrame, journal: DataFrame, now: dt.datetime, states: Sequence[str] = ("N",)
 ) -> SnapshotLoad:
     """Load every pending snapshot load in one job: staging, replacement by snapshot id, journal.
 
-    ``core`` has the columns of the staged rows plus ``dataflow_id`` and ``load_dttm``.
+    ``core`` has the columns of the staged rows plus ``dataflow_id`` and ``load_dttm``. Rows without a snapshot id
+    replace only those of their own load, so a load that was broken off can be run again.
     """
     todo = numbered(pending_loads(journal, SNAPSHOT_FLOW, STAGE, states), ["created", "load_id"], "place")
     todo = materialise(todo.select("load_id", "place"), "pending")
     batch = materialise(staged(landing).join(todo, "load_id"), "staged")
-    stamp = F.lit(now).cast("timestamp")
-    fresh = last_load_wins(batch, hot_rows=hot_rows)
+    stamp = stamp_of(now)
+    fresh = last_load_wins(batch)
     fresh = fresh.withColumns({"dataflow_id": F.lit(SNAPSHOT_FLOW), "load_dttm": stamp}).select(*core.columns)
     # Every group of the batch is replaced, also where its rows come from an earlier load of the run.
-    new_core = without_keys(core, batch, [SNAPSHOT_KEY]).unionByName(fresh)
+    new_core = _without_loads(without_keys(core, batch, [SNAPSHOT_KEY]), batch).unionByName(fresh)
     counts = load_counts(batch)
     steps = [(STAGE, IN_WORK), (STAGE, SUCCESS), (CORE, IN_WORK), (CORE, SUCCESS)]
     events = [status_events(todo, SNAPSHOT_FLOW, level, state, stamp, counts) for level, state in steps]
     return SnapshotLoad(fresh, new_core, reduce(DataFrame.unionByName, events))
 
 
-def write_snapshot(fresh: DataFrame, path: str) -> None:
-    """Put the fresh rows into a core table partitioned by snapshot, without reading the rest of it.
+def _without_loads(core: DataFrame, batch: DataFrame) -> DataFrame:
+    """Drop the rows without a snapshot id that an earlier, broken-off run of the same loads has left."""
+    again = batch.select(F.col("load_id").alias("_load")).distinct()
+    return core.join(again, core[SNAPSHOT_KEY].isNull() & (core["load_id"] == again["_load"]), "left_anti")
+
+
+#: Folders of a core table. A load rewrites those that its snapshots fall into; their number stays as it is.
+BUCKETS = 64
+BUCKET = "core_bucket"
 
-    Each group is a partition and is replaced; rows without a group replace nothing and are appended.
-    """
-    overwrite_partitions(fresh.where(F.col(SNAPSHOT_KEY).isNotNull()), path, SNAPSHOT_KEY)
-    fresh.where(F.col(SNAPSHOT_KEY).isNull()).write.mode("append").partitionBy(SNAPSHOT_KEY).parquet(path)
 
+def _bucketed(rows: DataFrame) -> DataFrame:
+    """The folder of each row: by snapshot id, without one by load. The id itself stays a column, empty or not."""
+    place = F.when(F.col(SNAPSHOT_KEY).isNotNull(), F.xxhash64(SNAPSHOT_KEY)).otherwise(F.xxhash64("load_id"))
+    return rows.withColumn(BUCKET, F.pmod(place, F.lit(BUCKETS)).cast("int"))
 
-def newer_rows(source: DataFrame, stamp: str, after: dt.datetime) -> DataFrame:
+
+def read_snapshots(like: DataFrame, path: str) -> DataFrame:
+    """The core table at ``path``, with the columns of ``like``; no rows where there is no table yet."""
+    spark = like.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return _bucketed(like.where(F.lit(False)))
+    schema = T.StructType([*like.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_snapshot(fresh: DataFrame, path: str) -> None:
+    """Put the fresh rows into the core table at ``path``, reading and writing the folders they fall into only.
+
+    A snapshot id of ``fresh`` replaces the rows of that id, also the empty text, which is an id like others. Rows without
+    an id replace those of their load. The new folders are written to the shared place first and moved in by Spark's own
+    commit; writing the same rows again changes nothing.
+    """
+    fresh = materialise(_bucketed(fresh), "fresh")
+    touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]  # BUCKETS at most
+    old = read_snapshots(fresh.drop(BUCKET), path).where(F.col(BUCKET).isin(touched))
+    unnamed = fresh.where(F.col(SNAPSHOT_KEY).isNull())
+    kept = _without_loads(without_keys(old, fresh, [SNAPSHOT_KEY]), unnamed)
+    new = materialise(kept.unionByName(fresh), "folders")
+    overwrite_partitions(new, path, BUCKET)
+    discard(new)
+    discard(fresh)
+
+
+def newer_rows(source: DataFrame, stamp: str, after: dt.datetime | str) -> DataFrame:
     """Rows strictly after the watermark; the comparison is on wall-clock values and reaches the scan."""
-    return source.where(F.col(stamp) > F.lit(after))
+    return source.where(F.col(stamp) > stamp_of(after, source.schema[stamp].dataType))
 
 
-def slice_rows(source: DataFrame, stamp: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
+def slice_rows(source: DataFrame, stamp: str, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
     """Rows from ``start`` up to but without ``end``; ``end`` is fixed before reading, so no row is skipped."""
-    return source.where((F.col(stamp) >= F.lit(start)) & (F.col(stamp) < F.lit(end)))
+    kind = source.schema[stamp].dataType
+    return source.where((F.col(stamp) >= stamp_of(start, kind)) & (F.col(stamp) < stamp_of(end, kind)))
 
 
-def slice_load(source: DataFrame, stamp: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
+def slice_load(source: DataFrame, stamp: str, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
     """Half-open slice with its load date."""
-    return slice_rows(source, stamp, start, end).withColumn("load_date", F.lit(end).cast("timestamp"))
+    return slice_rows(source, stamp, start, end).withColumn("load_date", stamp_of(end))
 
 
 JOURNAL_ROW = (
@@ -131,21 +170,35 @@ JOURNAL_ROW = (
 )
 
 
-def journal_row(loaded: DataFrame, number: int, kind: str, system: str, table: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
+def journal_row(loaded: DataFrame, number: int, kind: str, system: str, table: str, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
     """One journal row for a load; the rows are counted by Spark and stay where they are."""
-    stamp = F.lit(end).cast("timestamp")
+    stamp = stamp_of(end)
     return loaded.agg(F.count("*").alias("row_count")).select(
         F.lit(number).cast("bigint").alias("id"),
         F.lit(kind).alias("operation_type"),
         stamp.alias("logged_at"),
         F.lit(system).alias("source_system"),
         F.lit(table).alias("source_table"),
-        F.lit(start).cast("timestamp").alias("start_ts"),
+        stamp_of(start).alias("start_ts"),
         stamp.alias("end_ts"),
         "row_count",
     )
 
 
+DELTA_ROW = "delta_id bigint, start_ts timestamp, end_ts timestamp, delta_object string, ts timestamp"
+
+
+def delta_row(spark, number: int, subject: str, start: dt.datetime | str, end: dt.datetime | str, now: dt.datetime | str) -> DataFrame:
+    """The second layout of a journal row: which object was loaded from when to when, and when that was logged."""
+    return spark.range(1).select(
+        F.lit(number).cast("bigint").alias("delta_id"),
+        stamp_of(start).alias("start_ts"),
+        stamp_of(end).alias("end_ts"),
+        F.lit(subject).alias("delta_object"),
+        stamp_of(now).alias("ts"),
+    )
+
+
 def refresh_marts(views: dict[str, tuple[DataFrame, Sequence[str]]], folder: str) -> None:
     """Refill each mart from its view with a stated column list."""
     for name, (view, columns) in views.items():

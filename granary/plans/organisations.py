@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from granary.functions.numbers import number_or_null
 from granary.operators.joins import left_join_many
 from granary.operators.rows import any_present, distinct_union, numbered, one_row_per_key
-from granary.session import materialise_counted
+from granary.session import materialise
 
 
 def organisation_names(sources: Sequence[DataFrame]) -> DataFrame:
@@ -28,8 +28,8 @@ def organisations(meta: DataFrame, sources: Sequence[DataFrame]) -> DataFrame:
     The rows are numbered before all but the first of an OGRN are dropped, so the numbers have gaps.
     """
     ids = meta.select("ogrn", "inn").distinct()
-    names, rows = materialise_counted(organisation_names(sources), "names")
-    named = left_join_many(ids, names, ["inn"], rows=rows).distinct()
+    names = materialise(organisation_names(sources), "names")
+    named = left_join_many(ids, names, ["inn"]).distinct()
     order = ["ogrn", "inn", "name_org"]
     return one_row_per_key(numbered(named.select(*order), order, "row_num"), ["ogrn"], ["row_num"])
 

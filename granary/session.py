@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A split skewed join is worth another shuffle after it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_folders: dict[str, str] = {}
+_own_folder: str | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -25,20 +28,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    A local session that names none gets a temporary folder; a cluster must name one, because a
-    machine-local folder would be lost with its machine.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """Folder all executors can reach, as named by ``spark.checkpoint.dir``, or by :func:`use_folder`."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="granary-")
-    return _local_folders[context.applicationId]
+    return folder.rstrip("/")
+
+
+def use_folder(spark: SparkSession) -> SparkSession:
+    """For tests and trials on one machine: name a temporary folder where the session names none."""
+    global _own_folder
+    if not spark.conf.get("spark.checkpoint.dir", None) and _own_folder is None and re.match(r"local(\[|$)", spark.sparkContext.master):
+        _own_folder = tempfile.mkdtemp(prefix="granary-")
+    return spark
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -56,7 +58,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._granary_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table made by :func:`materialise` once whatever was derived from it is written."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._granary_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:

@@ -68,21 +68,21 @@ def frame(spark, rows, load="L"):
     return spark.createDataFrame([(*r, load) for r in rows], LOG)
 
 
-def run(spark, seed, size, nodes, hot_rows):
+def run(spark, seed, size, nodes):
     first, second = random_log(seed, size, nodes), random_log(seed + 100, size, nodes)
     expected = simulate({}, first, BEFORE)
-    got = chains.materialise(chains.extended_chains(chains.no_chains(spark), frame(spark, first), BEFORE, hot_rows), "first")
+    got = chains.materialise(chains.extended_chains(chains.no_chains(spark), frame(spark, first), BEFORE), "first")
     assert as_table(got) == expected
     expected = simulate(expected, second, NOW)
-    assert as_table(chains.extended_chains(got, frame(spark, second), NOW, hot_rows)) == expected
+    assert as_table(chains.extended_chains(got, frame(spark, second), NOW)) == expected
 
 
 def test_sparse_log_in_two_loads(spark):
-    run(spark, 2, 400, 300, None)
+    run(spark, 2, 400, 300)
 
 
-def test_hub_log_with_split_hot_keys(spark):
-    run(spark, 3, 300, 150, 10)
+def test_hub_log(spark):
+    run(spark, 3, 300, 150)
 
 
 def test_small_cases(spark):

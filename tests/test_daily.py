@@ -5,7 +5,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from granary.operators.journal import current_state
-from granary.operators.replace import read_partitions
 from granary.plans import chains, daily, loads
 from workload import fixtures as fx
 
@@ -44,7 +43,7 @@ def test_daily_run_is_repeatable(spark, tmp_path):
     ninth = spark.createDataFrame([("INT_09", "EDW", "X9", "S", 1, early)], JOURNAL)
     ninth.write.mode("append").parquet(f"{folder}/etl_delta_log")
     assert daily.run_daily(spark, folder, NOW)
-    marts = ["mt_stock_categ_calc", "mt_stock_categ_calc_enrich", "potr_log_chain", "mt_budget_stock", "divis"]
+    marts = ["mt_stock_categ_calc", "mt_stock_categ_calc_enrich", "potr_log_chain_versions/v000000001", "mt_budget_stock", "divis"]
     first = {m: content(spark, f"{folder}/{m}") for m in marts}
     assert all(first.values())
     state = current_state(spark.read.parquet(f"{folder}/etl_delta_log")).where("flow_id = 'CALC_17'").first()
@@ -65,7 +64,7 @@ def test_snapshot_run_replaces_its_groups_only(spark, tmp_path):
     loads.write_snapshot(old, f"{folder}/toro_snap_b")
 
     def core():
-        return sorted(map(str, read_partitions(spark, f"{folder}/toro_snap_b", old.schema).select(*old.columns).collect()))
+        return sorted(map(str, loads.read_snapshots(old, f"{folder}/toro_snap_b").select(*old.columns).collect()))
 
     daily.run_snapshot(spark, folder, fx.NOW)
     assert core() == sorted(map(str, expected.select(*old.columns).collect()))

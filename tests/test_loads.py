@@ -43,11 +43,10 @@ def test_all_pending_loads_as_if_loaded_in_turn(spark):
         batch = [r for r in rows if r[1] == load]
         brought = {r[0] for r in batch if r[0] is not None}
         expected = [r for r in expected if r[0] not in brought] + batch
-    for hot_rows in (None, 20):
-        done = plan.snapshot_load(landing(spark, rows), core_of(spark, before), journal, NOW, hot_rows=hot_rows)
-        assert content(done.core) == sorted(expected, key=str)
+    done = plan.snapshot_load(landing(spark, rows), core_of(spark, before), journal, NOW)
+    assert content(done.core) == sorted(expected, key=str)
     # After its events are appended no load is pending, and a second run changes nothing.
-    logged = journal.unionByName(done.events)
+    logged = journal.unionByName(done.events, allowMissingColumns=True)
     assert log.pending_loads(logged, "INT_10", "ODSP").count() == 0
     again = plan.snapshot_load(landing(spark, rows), core_of(spark, before), logged, NOW)
     assert content(again.core) == sorted(before, key=str)

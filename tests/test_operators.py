@@ -9,11 +9,12 @@ from granary.functions.numbers import ratio, whole
 from granary.functions.text import class_by_prefix, joined, joined_present
 from granary.operators import journal as log
 from granary.operators.components import component_roots
-from granary.operators.joins import join_unique, left_join_many, update_from
+from granary.operators.joins import left_join_many, salts_per_key, update_from
 from granary.operators.replace import overwrite_partitions, read_partitions, replace_groups, without_batch
 from granary.operators.rows import distinct_union, numbered, one_row_per_key
 from granary.session import materialise, materialise_counted
 from granary.sources import pages, tables
+from workload import fixtures as fx
 
 
 def rows(df):
@@ -46,15 +47,18 @@ def test_hot_keys_give_the_same_join(spark):
     rng = random.Random(2)
     keys = [1] * 300 + [None] * 40 + [rng.randint(2, 90) for _ in range(500)]
     left = materialise(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int"), "left")
-    right = spark.createDataFrame([(k, f"v{k}") for k in range(1, 60)], "k int, v string")
-    for how in ("left", "inner"):
-        assert rows(join_unique(left, right, ["k"], how, hot_rows=20)) == rows(left.join(right, "k", how))
-    sized = right.join(left.groupBy("k").agg(F.count("*").alias("n")), "k", "left").fillna(0, ["n"])
-    for how in ("left", "inner"):
-        assert rows(join_unique(left, sized, ["k"], how, hot_rows=20, size="n")) == rows(left.join(right, "k", how))
     many = left.select("k", F.col("i").alias("j"))
     few = spark.createDataFrame([(k, k) for k in [*range(1, 70), None, 1]], "k int, l int")
-    assert rows(left_join_many(few, many, ["k"], hot_rows=20)) == rows(few.join(many, "k", "left"))
+    for per_salt in (1, 20, 1000):
+        assert rows(left_join_many(few, many, ["k"], per_salt)) == rows(few.join(many, "k", "left"))
+    assert rows(salts_per_key(many.dropna(), ["k"], 20).where("_salts > 1")) == [(1, 15)]
+    assert rows(left_join_many(few, many.limit(0), ["k"])) == rows(few.join(many.limit(0), "k", "left"))
+
+
+def test_hot_keys_of_the_driver_s_tables_are_salted(spark):
+    names = fx.table(spark, "/root/testdata/sf0.01", "lineitem").select((F.col("l_orderkey") % 3 * F.col("l_orderkey")).alias("k"))
+    spread = {r["_salts"] for r in salts_per_key(names, ["k"]).collect()}
+    assert spread >= {1} and max(spread) > 15  # a third of all rows has one key
 
 
 def test_update_takes_the_least_partner_and_keeps_the_rest(spark):
@@ -84,7 +88,7 @@ def test_components_of_paths_stars_and_cliques(spark):
         a, b = sorted((find(u), find(v)))
         parent[b] = a
     expected = {n: min(m for m in parent if find(m) == find(n)) for n in parent}
-    got = dict(rows(component_roots(spark.createDataFrame(edges, "u bigint, v bigint"), hot_rows=15)))
+    got = dict(rows(component_roots(spark.createDataFrame(edges, "u bigint, v bigint"))))
     loops = {n for n in expected if all(u == v for u, v in edges if n in (u, v))}
     assert got == {n: r for n, r in expected.items() if n not in loops}
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from granary.functions.dates import stamp
 from granary.functions.numbers import ratio
 from granary.operators.joins import left_join_many
-from granary.plans import chains, demand as plan
-from granary.session import materialise
+from granary.plans import chains, daily, demand as plan
+from granary.session import materialise, new_path
 from granary.sources.sinks import named_view
 from workload import fixtures as fx
 from workload.registry import query
@@ -178,15 +179,22 @@ _CLOSURE = """WITH RECURSIVE reach AS (
 """
 
 
+_NOW = f"{fx.NOW:%Y-%m-%d %H:%M:%S}"
+
+
+def _text(stamp):
+    return F.date_format(stamp, "yyyy-MM-dd HH:mm:ss")
+
+
 def _one_load(spark, sf):
     return chains.extended_chains(chains.no_chains(spark), fx.log(spark, sf), fx.NOW)
 
 
 @query("G1 G4 X3 F2 A7", _CLOSURE + """
-  SELECT c.a AS plc_rsnum, c.b AS plc_rspos, pl_udate AS plc_udate, pl_utime AS plc_utime, chain_id
+  SELECT c.a AS plc_rsnum, c.b AS plc_rspos, pl_udate AS plc_udate, pl_utime AS plc_utime, chain_id, '""" + _NOW + """' AS plc_lchg_date_time
   FROM chain c JOIN fx_items i ON i.a = c.a AND i.b = c.b JOIN fx_rows USING (seq)""")
 def demand_chains(spark, sf):
-    return _one_load(spark, sf).drop("plc_lchg_date_time")
+    return _one_load(spark, sf).withColumn("plc_lchg_date_time", _text("plc_lchg_date_time"))
 
 
 @query("G1 M10", _CLOSURE + "SELECT chain_id, max(items) AS items FROM chain GROUP BY 1")
@@ -203,6 +211,36 @@ def demand_chains_by_load(spark, sf):
     return done.join(least, "chain_id").select("plc_rsnum", "plc_rspos", "least_item")
 
 
+def _run_by_journal(spark, sf):
+    """Folder with the chains and the journal after all pending loads were run one by one."""
+    folder = new_path(spark, "warehouse")
+    log = fx.log(spark, sf)
+    log.write.parquet(f"{folder}/potr_log")
+    chains.no_chains(spark).write.parquet(f"{folder}/potr_log_chain")
+    names = [F.lit(daily.CHAIN_FLOW).alias("flow_id"), F.lit(daily.CHAIN_LEVEL).alias("target_lvl"), "load_id", F.lit("N").alias("stg_status")]
+    new = log.select("load_id").distinct().select(*names, F.lit(None).cast("bigint").alias("row_count"), stamp("2024-01-01 00:00:00").alias("crea_datetime"))
+    new.write.parquet(f"{folder}/etl_delta_log")
+    daily.run_chains(spark, folder, fx.NOW)
+    return folder
+
+
+@query("B9 G5 (run by the journal, load by load)", _CLOSURE + f"""
+  SELECT a AS plc_rsnum, b AS plc_rspos, least_item, '{_NOW}' AS plc_lchg_date_time FROM chain""")
+def chains_run_by_journal(spark, sf):
+    done = daily.read_chains(spark, _run_by_journal(spark, sf))
+    least = done.groupBy("chain_id").agg(F.min(F.col("plc_rsnum") * 100 + F.col("plc_rspos")).alias("least_item"))
+    return done.join(least, "chain_id").select("plc_rsnum", "plc_rspos", "least_item", _text("plc_lchg_date_time").alias("plc_lchg_date_time"))
+
+
+@query("B9 D6 (journal of the chain run)", f"""
+  SELECT 'CALC_17' AS flow_id, 'IM' AS target_lvl, load_id, stg_status, CASE WHEN stg_status <> 'N' THEN n END AS row_count,
+    CASE WHEN stg_status = 'N' THEN '2024-01-01 00:00:00' ELSE '{_NOW}' END AS crea_datetime, CASE WHEN stg_status = 'S' THEN '{_NOW}' END AS last_delta_ts
+  FROM (SELECT load_id, count(*) AS n FROM fx_log GROUP BY 1), (VALUES ('N'), ('I'), ('S')) s(stg_status)""")
+def journal_of_the_chain_run(spark, sf):
+    journal = spark.read.option("mergeSchema", True).parquet(f"{_run_by_journal(spark, sf)}/etl_delta_log")
+    return journal.withColumns({c: _text(c) for c in ("crea_datetime", "last_delta_ts")})
+
+
 @query("G2 G3 J15", """
   SELECT a, b, bool_or(ends) AS ends, bool_or(itself) AS itself FROM fx_items i JOIN fx_rows r ON r.pl_rsnum = i.a AND r.pl_rspos = i.b GROUP BY 1, 2""")
 def terminal_and_self_rows(spark, sf):

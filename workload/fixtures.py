@@ -390,7 +390,7 @@ def open_data(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 # Snapshot landing table: loads by year of the order, a third of the rows in one snapshot, some without one.
 _SNAPSHOT_SQL = {
-    "source_snap_id": "CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_custkey % 3 = 0 THEN 'S0' ELSE 'S' || (o_custkey % 97) END",
+    "source_snap_id": "CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 50 = 1 THEN '' WHEN o_custkey % 3 = 0 THEN 'S0' ELSE 'S' || (o_custkey % 97) END",
     "source_author_name": "CASE WHEN o_orderkey % 60 <> 7 THEN 'author ' || (o_custkey % 5) END",
     "source_crea_date_time": "o_orderdate",
     "source_snap_type": "o_orderstatus",
@@ -408,7 +408,7 @@ def landing(spark: SparkSession, sf: str) -> DataFrame:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     bucket = F.concat(F.lit("S"), (cust % 97).cast("string"))
     special = {
-        "source_snap_id": F.when(key % 50 == 0, None).when(cust % 3 == 0, "S0").otherwise(bucket),
+        "source_snap_id": F.when(key % 50 == 0, None).when(key % 50 == 1, "").when(cust % 3 == 0, "S0").otherwise(bucket),
         "source_author_name": F.when(key % 60 != 7, F.concat(F.lit("author "), (cust % 5).cast("string"))),
         "source_crea_date_time": F.col("o_orderdate"),
         "source_snap_type": F.col("o_orderstatus"),

@@ -166,6 +166,16 @@ def region_dictionary(spark, sf):
     return plan.dictionary_of(_part1(spark, sf), "t8657")
 
 
+@query("B14 A13 W4", _dictionary_sql('"Головная (да нет)"'))
+def head_office_dictionary(spark, sf):
+    return plan.dictionary_of(_part1(spark, sf), "t8646")
+
+
+@query("B14 A13 W4", _dictionary_sql('"ОКФС"'))
+def ownership_code_dictionary(spark, sf):
+    return plan.dictionary_of(_part1(spark, sf), "t8655")
+
+
 @query("B14 A13 W4", _dictionary_sql("date"))
 def date_dictionary(spark, sf):
     return plan.dictionary_of(_part1(spark, sf), "t8649")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from granary.session import configure
+from granary.session import configure, use_folder
 from workload import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,7 +50,7 @@ def query(covers: str, sql: str | None = None):
         name = build.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return as_doubles(build(configure(spark), sf_dir))
+            return as_doubles(build(use_folder(configure(spark)), sf_dir))
 
         QUERIES[name] = run
         COVERS[name] = covers
