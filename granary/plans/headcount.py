@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -89,8 +90,44 @@ def _one_row(spark: SparkSession, line: str) -> DataFrame:
 
 
 def _data_lines(spark: SparkSession, path: str, heading: Sequence[str]) -> DataFrame:
-    """All lines but the heading, told by their text, so that the file can be read in any split."""
-    return lines(spark, path).where(~F.col("str").isin(*heading))
+    """All lines but the heading, in any split of the files.
+
+    Heading lines go by their place: only those in the split that begins a file are left out, and a file must give all of
+    them or none. A line with the text of a heading further down is data.
+    """
+    rows = lines(spark, path)
+    begins = F.col("_metadata.file_block_start") == 0
+    heads = rows.select(F.col("str"), F.col("_metadata.file_path").alias("file"), begins.alias("begins")).where("begins")
+    found = heads.where(F.col("str").isin(*heading)).groupBy("file").agg(F.count("*").alias("n"))
+    odd = found.where(F.col("n") != len(heading)).limit(1).collect()
+    if odd:
+        raise ValueError(f"{odd[0]['file']}: {odd[0]['n']} lines equal a heading line where {len(heading)} are expected")
+    return rows.where(~(begins & F.col("str").isin(*heading)))
+
+
+def _defect(line: Column, cells: int) -> Column:
+    """Why a data line cannot be split into its cells; NULL for a good one."""
+    outside = F.regexp_replace(line, '"[^"]*"', "")
+    found = F.length(outside) - F.length(F.replace(outside, F.lit(";"), F.lit(""))) + 1
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.when(quotes % 2 == 1, "open quote").when(found > cells, "too many cells").when(found < cells, "too few cells")
+
+
+def _unreadable(columns: Sequence[str], kind: str) -> Column:
+    """True where a measure is written but is no number."""
+    bad = [F.col(f"`{c}`").isNotNull() & (F.trim(F.col(f"`{c}`")) != "") & number_or_null(F.trim(F.col(f"`{c}`")), kind).isNull() for c in columns]
+    return reduce(lambda a, b: a | b, bad, F.lit(False))
+
+
+def _split(rows: DataFrame, names: Sequence[str], measured: Sequence[str], kind: str) -> DataFrame:
+    """The cells of each data line under ``names``, the line itself as ``_line`` and what is wrong with it as ``_reason``."""
+    wide = quoted_cells(rows, "str", names, keep="_line")
+    reason = F.coalesce(_defect(F.col("_line"), len(names)), F.when(_unreadable(measured, kind), "not a number"))
+    return wide.withColumn("_reason", reason)
+
+
+def _measured(groups: dict[str, dict[str, str | None]]) -> list[str]:
+    return sorted({c for columns in groups.values() for c in columns.values() if c is not None})
 
 
 def one_line_groups(names: Sequence[str]) -> dict[str, dict[str, str | None]]:
@@ -124,29 +161,53 @@ def two_line_groups(names: Sequence[str]) -> dict[str, dict[str, str | None]]:
     return {key: columns for key, columns in by_date.items() if len(columns) == len(PART2_MEASURES)}
 
 
-def read_one_line(spark: SparkSession, path: str, heading_path: str | None = None) -> DataFrame:
-    """Headcount with a one-line heading: ten text columns, ``date`` and three counts.
+def rejected(wide: DataFrame) -> DataFrame:
+    """``line, reason`` of the lines that the readers leave out: an open quote (a line break inside a cell gives two), too many or
+    too few cells, a measure that is no number."""
+    return wide.where(F.col("_reason").isNotNull()).select(F.col("_line").alias("line"), F.col("_reason").alias("reason"))
 
-    ``heading_path`` names the file that holds the heading when the data is split over many files.
-    """
+
+def _one_line_cells(spark: SparkSession, path: str, heading_path: str | None) -> tuple[DataFrame, list[str]]:
     (header,) = _heading(spark, heading_path or path, 1)
     names = _names(reshape.one_line_names(reshape.heading_cells(_one_row(spark, header), "line")))
-    wide = quoted_cells(_data_lines(spark, path, [header]), "str", ID_COLUMNS + names[10:])
+    wide = _split(_data_lines(spark, path, [header]), ID_COLUMNS + names[10:], _measured(one_line_groups(names[10:])), "int")
     # The heading rule also drops rows whose first cell is empty.
-    wide = wide.where(F.col(f"`{ID_COLUMNS[0]}`").isNotNull())
-    return _long(wide, one_line_groups(names[10:]), PART1_MEASURES, "int")
+    return wide.where(F.col(f"`{ID_COLUMNS[0]}`").isNotNull() | F.col("_reason").isNotNull()), names
 
 
-def read_two_lines(spark: SparkSession, path: str, heading_path: str | None = None, skip: int = 3) -> DataFrame:
-    """Headcount with a two-line heading: ten text columns, ``date`` and eight values.
+def read_one_line(spark: SparkSession, path: str, heading_path: str | None = None) -> DataFrame:
+    """Headcount with a one-line heading: ten text columns, ``date`` and three counts.
 
-    ``skip`` lines are no data: both heading lines and the line of units below them.
+    ``heading_path`` names the file that holds the heading when the data is split over many files. Lines that cannot be
+    read whole are left out; :func:`rejects_of_one_line` returns them.
     """
+    wide, names = _one_line_cells(spark, path, heading_path)
+    return _long(wide.where(F.col("_reason").isNull()), one_line_groups(names[10:]), PART1_MEASURES, "int")
+
+
+def rejects_of_one_line(spark: SparkSession, path: str, heading_path: str | None = None) -> DataFrame:
+    return rejected(_one_line_cells(spark, path, heading_path)[0])
+
+
+def _two_line_cells(spark: SparkSession, path: str, heading_path: str | None, skip: int) -> tuple[DataFrame, list[str]]:
     heading = _heading(spark, heading_path or path, skip)
     upper, lower = (reshape.heading_cells(_one_row(spark, line), "line") for line in heading[:2])
     names = _names(reshape.two_line_names(upper, lower))
-    wide = quoted_cells(_data_lines(spark, path, heading), "str", ID_COLUMNS + names[10:])
-    long = _long(wide, two_line_groups(names[10:]), list(PART2_MEASURES), "decimal(38,6)")
+    return _split(_data_lines(spark, path, heading), ID_COLUMNS + names[10:], _measured(two_line_groups(names[10:])), "decimal(38,6)"), names
+
+
+def rejects_of_two_lines(spark: SparkSession, path: str, heading_path: str | None = None, skip: int = 3) -> DataFrame:
+    return rejected(_two_line_cells(spark, path, heading_path, skip)[0])
+
+
+def read_two_lines(spark: SparkSession, path: str, heading_path: str | None = None, skip: int = 3) -> DataFrame:
+    """Headcount with a two-line heading: ten text columns, ``date`` and eight values.
+
+    ``skip`` lines are no data: both heading lines and the line of units below them. Lines that cannot be read whole are
+    left out; :func:`rejects_of_two_lines` returns them.
+    """
+    wide, names = _two_line_cells(spark, path, heading_path, skip)
+    long = _long(wide.where(F.col("_reason").isNull()), two_line_groups(names[10:]), list(PART2_MEASURES), "decimal(38,6)")
     return long.withColumn("value_total_diff", whole(F.col("value_total_diff")))
 
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from granary.plans import headcount as plan
 
 IDS = ["Головная (данет)", "ИНН головной организации", "ОКПО", "Полное наименование организации", "ИНН", "ОГРН", "ОКФС", "ОКВЭД2",
@@ -17,7 +19,12 @@ def test_one_line_heading(spark, tmp_path):
     data = [
         firm("да", 'ООО ""А; Б""', "Россия(100.000%)") + ";10;2;1;11;12;3",
         firm("", "без головной", "") + ";1;1;1;1;1;1",
-        firm("нет", "В", '"Россия(0.000%); Китай(100.000%)"', "99.1") + ";;x;0;7;;4",
+        firm("нет", "В", '"Россия(0.000%); Китай(100.000%)"', "99.1") + ";;;0;7;;4",
+        firm("да", "Г", "") + ";;x;0;7;;4",
+        firm("да", "Д", "") + ";1;2;3",
+        firm("да", "Е", "") + ";1;1;1;1;1;1;1",
+        'да;7;K;"Ж',
+        'з";77;G;16;29.10;;Тула;1;1;1;1;1;1',
     ]
     path = tmp_path / "1.csv"
     path.write_text("\n".join([heading, *data]) + "\n", encoding="utf-8")
@@ -28,6 +35,8 @@ def test_one_line_heading(spark, tmp_path):
         ("да", feb): (10, 2, 1), ("да", mar): (11, None, None), ("да", apr): (12, 3, None),
         ("нет", feb): (None, None, 0), ("нет", mar): (7, None, None), ("нет", apr): (None, 4, None),
     }
+    reasons = [r["reason"] for r in plan.rejects_of_one_line(spark, str(path)).collect()]
+    assert reasons == ["not a number", "too few cells", "too many cells", "open quote", "open quote"]
     assert {r[plan.ORGANISATION] for r in long.collect()} == {'ООО "А; Б"', "В"}
     classes = {(r["Головная (да нет)"], r[plan.OWNERS], r[plan.INDUSTRY]) for r in plan.classified(long).collect()}
     assert classes == {
@@ -35,6 +44,14 @@ def test_one_line_heading(spark, tmp_path):
     }
 
 
+def test_heading_lines_go_by_their_place(spark, tmp_path):
+    heading = ";".join([*IDS, "01.02.2022"])
+    path = tmp_path / "1.csv"
+    path.write_text("\n".join([heading, firm("да", "А", "") + ";1", heading]) + "\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="2 lines equal a heading line where 1 are expected"):
+        plan.read_one_line(spark, str(path))
+
+
 def test_null_owner_and_code_fall_to_the_last_class(spark):
     df = spark.createDataFrame([(None, None)], f"`{plan.OWNERS}` string, `{plan.INDUSTRY}` string")
     assert tuple(plan.classified(df).first()) == (plan.JOINT_OWNERSHIP, plan.OTHER_INDUSTRY)

@@ -139,6 +139,51 @@ def headcount_one_line(spark, sf):
     return _part1(spark, sf)
 
 
+def _spoiled(spark, sf):
+    """Folder of one-line files in which some lines are spoiled, one way by each remainder of the key, and a heading text stands far inside."""
+    rows, years = _yearly(spark, sf)
+    y = years[0]
+    names = [*plan.ID_COLUMNS, f"01.01.{y}"]
+    key = F.col("c_custkey") % 50
+    count = F.when(key == 1, "ten").otherwise(F.coalesce(F.col(f"{y}_n").cast("string"), F.lit("")))
+    cells = [F.coalesce(_quoted(F.col(f"`{c}`")), F.lit("")) for c in plan.ID_COLUMNS]
+    organisation = plan.ID_COLUMNS.index(plan.ORGANISATION)
+    cells[organisation] = F.when(key == 2, F.concat(F.lit('"first'), F.lit("\n"), F.lit('second"'))).otherwise(cells[organisation])
+    line = F.concat_ws(";", *cells, count)
+    line = F.when(key == 3, F.concat(line, F.lit(";7;8"))).when(key == 4, F.concat_ws(";", *cells)).otherwise(line)
+    head = ";".join(names)
+    path = new_path(spark, "spoiled")
+    spark.createDataFrame([(head,)], "value string").coalesce(1).write.text(path)
+    rows.select(line.alias("value")).write.mode("append").text(path)
+    return path, head
+
+
+_SPOILED_SQL = """
+  SELECT f.*, n FROM fx_firms f LEFT JOIN fx_yearly o ON o.c_custkey = f.c_custkey AND o.y = (SELECT min(CAST(year(o_orderdate) AS INTEGER)) FROM orders)"""
+
+
+@query("S4 P18 (files with spoiled lines)", f"""
+  SELECT {_ID_NAMES}, make_date((SELECT min(CAST(year(o_orderdate) AS INTEGER)) FROM orders), 1, 1) AS date, CAST(n AS INTEGER) AS value_total,
+    CAST(NULL AS INTEGER) AS value_in, CAST(NULL AS INTEGER) AS value_out FROM ({_SPOILED_SQL}) WHERE c_custkey % 50 NOT IN (1, 2, 3, 4)""")
+def headcount_of_spoiled_files(spark, sf):
+    path, _ = _spoiled(spark, sf)
+    return plan.read_one_line(spark, path, _head_file(spark, path))
+
+
+@query("S4 (lines left out)", """
+  SELECT reason, count(*) AS lines FROM (
+    SELECT CASE c_custkey % 50 WHEN 1 THEN 'not a number' WHEN 2 THEN 'open quote' WHEN 3 THEN 'too many cells' ELSE 'too few cells' END AS reason FROM customer WHERE c_custkey % 50 IN (1, 2, 3, 4)
+    UNION ALL SELECT 'open quote' FROM customer WHERE c_custkey % 50 = 2) GROUP BY 1""")
+def headcount_lines_rejected(spark, sf):
+    path, _ = _spoiled(spark, sf)
+    return plan.rejects_of_one_line(spark, path, _head_file(spark, path)).groupBy("reason").agg(F.count("*").alias("lines"))
+
+
+def _head_file(spark, path):
+    """The one file of the folder that holds the heading."""
+    return spark.read.text(path).where(F.col("value").startswith(plan.ID_COLUMNS[0])).select("_metadata.file_path").first()[0]
+
+
 @query("B11 R2 R4 P18 F17 F19 F21 S16 W2 W3 J13", f"""
   SELECT {_ID_NAMES}, make_date(y, 1, 1) AS date, CAST(n AS DOUBLE) AS value_total_pfr, CAST(n_o AS DOUBLE) AS value_total_prr,
     CAST(n - n_o + 1 AS INTEGER) AS value_total_diff, CAST(price AS DOUBLE) AS value_firing, CAST(n AS DOUBLE) AS value_vacation,
