@@ -22,6 +22,15 @@ def organisation_names(sources: Sequence[DataFrame]) -> DataFrame:
     return distinct_union(*[s.select("name_org", "inn") for s in sources])
 
 
+def _by_number(rows: DataFrame, key: str, pick=F.min) -> DataFrame:
+    """The row of each key with the least (or, with ``F.max``, largest) ``row_num``; rows without a key all stay.
+
+    Only numbers are grouped, by hash; the texts are not compared.
+    """
+    chosen = rows.where(F.col(key).isNotNull()).groupBy(key).agg(pick("row_num").alias("row_num")).select("row_num")
+    return rows.join(chosen, "row_num", "left_semi").select(*rows.columns).unionAll(rows.where(F.col(key).isNull()))
+
+
 def organisations(meta: DataFrame, sources: Sequence[DataFrame]) -> DataFrame:
     """One row per OGRN with INN, one name and a number.
 
@@ -31,7 +40,7 @@ def organisations(meta: DataFrame, sources: Sequence[DataFrame]) -> DataFrame:
     names = materialise(organisation_names(sources), "names")
     named = left_join_many(ids, names, ["inn"]).distinct()
     order = ["ogrn", "inn", "name_org"]
-    return one_row_per_key(numbered(named.select(*order), order, "row_num"), ["ogrn"], ["row_num"])
+    return _by_number(numbered(named.select(*order), order, "row_num"), "ogrn")
 
 
 def industries(meta: DataFrame, small: DataFrame) -> DataFrame:
@@ -50,7 +59,7 @@ def regions(meta: DataFrame, small: DataFrame) -> DataFrame:
     codes = distinct_union(small.select("region_code"), meta.select("region_code"))
     named = codes.join(_region_names(small), "region_code", "left")
     order = ["region_code", "region_type", "region_name"]
-    return one_row_per_key(numbered(named.select(*order), order, "row_num"), ["region_code"], ["row_num"], keep="last")
+    return _by_number(numbered(named.select(*order), order, "row_num"), "region_code", F.max)
 
 
 def region_by_organisation(meta: DataFrame, small: DataFrame) -> DataFrame:
@@ -58,8 +67,7 @@ def region_by_organisation(meta: DataFrame, small: DataFrame) -> DataFrame:
     codes = distinct_union(small.select("region_code", "inn"), meta.select("region_code", "inn"))
     named = codes.join(_region_names(small), "region_code", "left")
     order = ["inn", "region_code", "region_type", "region_name"]
-    rows = numbered(named.select(*order), order, "row_num")
-    return one_row_per_key(rows, ["inn"], ["row_num"], keep="last")
+    return _by_number(numbered(named.select(*order), order, "row_num"), "inn", F.max)
 
 
 def industry_by_organisation(meta: DataFrame) -> DataFrame:
