@@ -25,14 +25,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from granary.llm.tokens import encoder
-from granary.llm.words import pieces
+from granary.llm.words import lean, pieces
 from granary.session import materialise, new_path
 
 BLOCK = 4096  # ids at most
-LANES = 2048  # blocks coded side by side
+LANES = 1536  # blocks coded side by side
 _MAGIC = b"CMR1"
 _HEAD = struct.Struct("<4sIIIIIq")
 _ENTRY = np.dtype([("doc_id", "<i8"), ("place", "<i8"), ("flags", "<u4"), ("segment", "<u4"), ("ids", "<u4")])
@@ -43,33 +43,37 @@ _ONE, _TWO = 10, 11  # bits of the slots of orders 1 and 2
 _REBUILD = {16, 64, 256, 768, 1536, 2560}
 
 _x = np.arange(-2047, 2048)
-_SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-_x / 256))), 24, 4072).astype(np.int64)
+_SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-_x / 256))), 24, 4072).astype(np.int32)
 _p = np.clip(np.arange(4096), 1, 4095)
-_STRETCH = np.clip(np.rint(256 * np.log(_p / (4096 - _p))), -2047, 2047).astype(np.int64)
+_STRETCH = np.clip(np.rint(256 * np.log(_p / (4096 - _p))), -2047, 2047).astype(np.int32)
+_MOST = 1 << 18  # weights stay within, so that their products fit 32 bits
 
 
 class _Model:
-    """Predictions of ``lanes`` blocks. Arrays run over the lanes; the first ``n`` lanes are still at work."""
+    """Predictions of ``lanes`` blocks. Arrays run over the lanes; the first ``n`` lanes are still at work.
+
+    Rows of two stand for order 1 and order 2, rows of three for the hit rates of order 2, order 1 and order 0.
+    """
 
     def __init__(self, lanes: int, planes: int):
         self.planes = planes
         lane = np.arange(lanes)
-        self.one = np.zeros(lanes << _ONE, np.int32)  # proposed id + 1 above, confidence in the two lowest bits
-        self.two = np.zeros(lanes << _TWO, np.int32)
-        self.at_one, self.at_two = lane << _ONE, lane << _TWO
-        self.rate_two, self.rate_one, self.rate = (np.full(lanes * k, 1024, np.int64) for k in (4, 8, 1))
-        self.lane4, self.lane8 = lane * 4, lane * 8
-        self.weight = np.full((3, lanes), 22_000, np.int64)
+        # Proposed id + 1 above, confidence in the two lowest bits; order 1 first, then order 2.
+        self.table = np.zeros((lanes << _ONE) + (lanes << _TWO), np.int64)
+        self.base = np.stack([lane << _ONE, (lanes << _ONE) + (lane << _TWO)])
+        self.rates = np.full(13 * lanes, 1024, np.int32)  # 4 by confidence, 8 by confidence and agreement, 1
+        self.rate_base = np.stack([4 * lane, 4 * lanes + 8 * lane, 12 * lanes + lane])
+        self.weight = np.full((3, lanes), 22_000, np.int32)
         self.before, self.last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.count = [np.ones((lanes, 256), np.int32) for _ in range(planes)]
-        self.cum = [np.empty((lanes, 257), np.int64) for _ in range(planes)]
+        self.cum = [np.empty((lanes, 257), np.int32) for _ in range(planes)]
         self.symbol = [None] * planes
         self.lane = lane
 
     def rebuild(self, n: int, decode: bool) -> None:
         """Frequencies of the bytes, 4096 in all, one at least for each."""
         for k in range(self.planes):
-            count = self.count[k][:n]
+            count = self.count[k][:n].astype(np.int64)
             share = 1 + count * (4096 - 256) // count.sum(1, keepdims=True)
             share[np.arange(n), count.argmax(1)] += 4096 - share.sum(1)
             self.cum[k][:n, 0] = 0
@@ -79,36 +83,33 @@ class _Model:
 
     def predict(self, n: int) -> np.ndarray:
         """Probability of a hit, of 4096. The proposal is left in ``self.proposal``."""
-        last = self.last[:n]
-        self.i1 = self.at_one[:n] + ((last * 40503 >> 4) & ((1 << _ONE) - 1))
-        self.i2 = self.at_two[:n] + ((last * 40503 + self.before[:n] * 60493 >> 5) & ((1 << _TWO) - 1))
-        self.v1, self.v2 = self.one[self.i1], self.two[self.i2]
-        p1, p2 = self.v1 >> 2, self.v2 >> 2
-        self.proposal = np.where(p2 > 0, p2, p1) - 1
-        self.r2 = self.lane4[:n] + (self.v2 & 3)
-        self.r1 = self.lane8[:n] + ((self.v1 & 3) << 1) + (p1 == self.proposal + 1)
-        self.s2, self.s1, self.s0 = _STRETCH[self.rate_two[self.r2]], _STRETCH[self.rate_one[self.r1]], _STRETCH[self.rate[:n]]
-        w = self.weight[:, :n]
-        mixed = (w[0] * self.s2 + w[1] * self.s1 + w[2] * self.s0) >> 16
+        mixed = self.last[:n] * 40503
+        self.at = self.base[:, :n].copy()
+        self.at[0] += (mixed >> 4) & ((1 << _ONE) - 1)
+        self.at[1] += ((mixed + self.before[:n] * 60493) >> 5) & ((1 << _TWO) - 1)
+        self.value = self.table[self.at]
+        self.id = self.value >> 2
+        self.sure = self.value & 3
+        self.proposal = np.where(self.id[1] > 0, self.id[1], self.id[0]) - 1
+        self.rate_at = self.rate_base[:, :n].copy()
+        self.rate_at[0] += self.sure[1]
+        self.rate_at[1] += 2 * self.sure[0] + (self.id[0] == self.proposal + 1)
+        self.rate = self.rates[self.rate_at]
+        self.stretched = _STRETCH[self.rate]
+        mixed = np.add.reduce(self.weight[:, :n] * self.stretched, axis=0, dtype=np.int32) >> 16
         self.p = _SQUASH[np.clip(mixed, -2047, 2047) + 2047]
         return self.p
 
     def learn(self, n: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        wanted = hit * 4095
-        self.rate_two[self.r2] += (wanted - self.rate_two[self.r2]) >> 5
-        self.rate_one[self.r1] += (wanted - self.rate_one[self.r1]) >> 5
-        self.rate[:n] += (wanted - self.rate[:n]) >> 6
-        error = (wanted - self.p) * 6
-        w = self.weight[:, :n]
-        w[0] += (self.s2 * error + 0x8000) >> 16
-        w[1] += (self.s1 * error + 0x8000) >> 16
-        w[2] += (self.s0 * error + 0x8000) >> 16
-        new = (ids + 1).astype(np.int32)
-        for table, at, value in ((self.one, self.i1, self.v1), (self.two, self.i2, self.v2)):
-            sure = value & 3
-            same = value >> 2 == new
-            # A proposal that fails loses confidence and, without any left, its place.
-            table[at] = np.where(same, value - sure + np.minimum(sure + 1, 3), np.where(sure > 0, value - 1, new << 2))
+        wanted = hit * np.int32(4095)
+        self.rates[self.rate_at] = self.rate + ((wanted - self.rate) >> 5)
+        weight = self.weight[:, :n]
+        weight += (self.stretched * ((wanted - self.p) * np.int32(6)) + 0x8000) >> 16
+        np.clip(weight, -_MOST, _MOST, out=weight)
+        new = ids + 1
+        # A proposal that fails loses confidence and, without any left, its place.
+        failed = np.where(self.sure > 0, self.value - 1, new << 2)
+        self.table[self.at] = np.where(self.id == new, self.value + (self.sure < 3), failed)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
         for k in range(self.planes):
@@ -126,7 +127,7 @@ def encode_blocks(blocks: list[np.ndarray], planes: int) -> list[np.ndarray]:
     """16-bit code words of each block of ids."""
     order, working = _order([len(b) for b in blocks])
     steps = len(working)
-    ids = np.zeros((steps, len(blocks)), np.int64)
+    ids = np.zeros((steps, len(blocks)), np.uint32)
     for lane, b in enumerate(order.tolist()):
         ids[: len(blocks[b]), lane] = blocks[b]
     model = _Model(len(blocks), planes)
@@ -153,7 +154,7 @@ def encode_blocks(blocks: list[np.ndarray], planes: int) -> list[np.ndarray]:
         for step, n in enumerate(working.tolist()):
             if step == 0 or step in _REBUILD:
                 model.rebuild(n, False)
-            now = ids[step, :n]
+            now = ids[step, :n].astype(np.int64)
             p = model.predict(n)
             hit = now == model.proposal
             bound = (width[:n] >> bits) * p.astype(np.uint64)
@@ -188,7 +189,7 @@ def decode_blocks(codes: list[np.ndarray], lengths: list[int], planes: int) -> l
     for lane, b in enumerate(order.tolist()):
         words[lane, : len(codes[b])] = codes[b]
     model = _Model(lanes, planes)
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.uint32)
     low, width, code = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64), np.zeros(lanes, np.uint64)
     for k in range(4):
         code = code << np.uint64(16) | words[:, k]
@@ -296,7 +297,7 @@ def _written(path: str, end: int):
             waiting.clear()
 
         for batch in batches:
-            for rows in pieces(batch):
+            for rows in pieces(batch, limit=1 << 21):
                 names = rows.column(0).to_pylist()
                 for doc, raw in zip(names, coder.encode([t or "" for t in rows.column(1).to_pylist()]), strict=True):
                     ids = np.frombuffer(raw + last, np.uint32)
@@ -316,7 +317,7 @@ def _written(path: str, end: int):
         close()
         yield from flush()
 
-    return write
+    return lean(write)
 
 
 def write_ids(docs: DataFrame, path: str, target: str, end: int = 1) -> None:
@@ -330,6 +331,7 @@ def write_ids(docs: DataFrame, path: str, target: str, end: int = 1) -> None:
     texts.select("doc_id", "text").mapInArrow(_written(path, end), "file int, block int, data binary").write.parquet(target)
 
 
+@lean
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (file, doc_id, place, segment, more, start, n_tokens, ids_crc32): the segments of documents that blocks hold."""
     names = ["file", "doc_id", "place", "segment", "more", "start", "n_tokens", "ids_crc32"]
@@ -363,15 +365,17 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from decoded(files, blocks)
 
 
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    """One row for a document out of its segments: checksums of parts make the checksum of the whole."""
-    rows = rows.sort_values("segment")
-    crc, n = 0, 0
-    for size, own in zip(rows["n_tokens"], rows["ids_crc32"], strict=True):
-        zeros = bytes(4 * int(size))
-        crc = zlib.crc32(zeros, crc) ^ zlib.crc32(zeros) ^ int(own)
-        n += int(size)
-    return rows.head(1)[["file", "doc_id", "start"]].assign(n_tokens=n, ids_crc32=crc)
+@F.pandas_udf(T.LongType())
+def _joined(sizes: pd.Series, checksums: pd.Series) -> pd.Series:
+    """Checksums of whole documents out of those of their segments."""
+    out = []
+    for ns, crcs in zip(sizes, checksums, strict=True):
+        whole = 0
+        for n, crc in zip(ns, crcs, strict=True):
+            zeros = bytes(4 * int(n))
+            whole = zlib.crc32(zeros, whole) ^ zlib.crc32(zeros) ^ int(crc)
+        out.append(whole)
+    return pd.Series(out, dtype="int64")
 
 
 def read_documents(spark: SparkSession, target: str) -> DataFrame:
@@ -387,7 +391,9 @@ def read_documents(spark: SparkSession, target: str) -> DataFrame:
     offsets = sizes.select("file", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
     several = (F.col("segment") > 0) | F.col("more")
     whole = segments.where(~several).select("file", "doc_id", "start", "n_tokens", "ids_crc32")
-    cut = segments.where(several).groupBy("file", "place").applyInPandas(_joined, "file int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    parts = F.sort_array(F.collect_list(F.struct("segment", "n_tokens", "ids_crc32"))).alias("parts")  # one document's
+    cut = segments.where(several).groupBy("file", "place").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"), parts)
+    cut = cut.select("file", "doc_id", "start", "n_tokens", _joined(F.col("parts.n_tokens"), F.col("parts.ids_crc32")).alias("ids_crc32"))
     return whole.unionAll(cut).join(offsets, "file").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from granary.llm.tables import bounded_sample, held_out
 from granary.llm.decontamination import plain_words
-from granary.llm.words import U, Words, mixed, pieces
+from granary.llm.words import U, Words, lean, mixed, pieces
 from granary.session import materialise
 
 SAMPLE = 12_000
@@ -81,6 +81,7 @@ def _distinct(cells: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
 
+@lean
 def _learned_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, label, sizes, cells): the learned sentences of each text, with their numbers of cells."""
     for batch in batches:
@@ -99,6 +100,7 @@ def _learned_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes, pa.binary()), pa.array(kept, pa.binary())], ["doc_id", "label", "sizes", "cells"])
 
 
+@lean
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (cell, texts, toxic): in how many texts of the batch a cell stands, and in how many toxic ones."""
     for batch in batches:
@@ -128,7 +130,7 @@ def _screened(cells: np.ndarray):
                 kept.append(cell[good].tobytes())
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(empty, pa.int32()), pa.array(sizes, pa.binary()), pa.array(kept, pa.binary())], ["doc_id", "label", "empty", "sizes", "cells"])
 
-    return screen
+    return lean(screen)
 
 
 def _climb(empty: np.ndarray, doc: np.ndarray, sizes: np.ndarray, flat: np.ndarray, label: np.ndarray) -> ToxicityModel:

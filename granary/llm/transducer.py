@@ -19,7 +19,7 @@ import json
 import numpy as np
 
 #: States kept; beyond it the table is begun anew.
-STATES = 150_000
+STATES = 120_000
 #: A suffix that can become at most so many tokens is told apart by those that may follow, not by its neighbour.
 FEW = 40
 _LETTER, _NUMBER, _OTHER, _BLANK, _UNKNOWN = range(5)
@@ -110,14 +110,13 @@ class Transducer:
                 node = self.child[node][byte]
             self.token[node] = number
         self._below: dict[int, tuple[int, ...]] = {}
-        self._neighbours: dict[int, bool] = {}
         self.classes = np.full(0x110000, _UNKNOWN, np.uint8)
         self._begin()
 
     def _begin(self) -> None:
         self.states: dict[tuple, int] = {}
         self.content: list[tuple] = []
-        self.followers: list[frozenset[int]] = []
+        self.followers: list[tuple[int, ...]] = []
         self.follower_ids: dict[tuple, int] = {}
         self.followers_of: dict[int, int | None] = {}
         self.last = np.full(1 << 12, -1, np.int32)  # the last token of what led to a state
@@ -142,26 +141,16 @@ class Transducer:
         Their merges are undone, the latest first, looking for a merge across the seam that would have come earlier. At
         one rank, places further left merge first.
         """
-        key = a << 20 | b
-        known = self._neighbours.get(key)
-        if known is not None:
-            return known
         rank, made = self.rank, self.made
         limit = 1 << 30
-        while True:
-            across = rank.get((a, b), limit)
-            if across < limit:
-                known = False
-                break
+        while rank.get((a, b), limit) >= limit:
             if made[a] > made[b]:
                 limit, a = made[a], self.right[a]
             elif made[b] >= 0:
                 limit, b = made[b] + 1, self.left[b]
             else:
-                known = True
-                break
-        self._neighbours[key] = known
-        return known
+                return True
+        return False
 
     def _tokens_below(self, node: int) -> tuple[int, ...]:
         """Tokens that begin with the node's bytes and are longer; at most ``FEW + 1`` of them."""
@@ -188,7 +177,7 @@ class Transducer:
         if last >= 0 and len(below) > FEW:
             out: int | None = last
         else:
-            may = frozenset(t for t in below if self._fits(last, t))
+            may = tuple(t for t in below if self._fits(last, t))
             out = None
             if may:
                 if (node, may) not in self.follower_ids:
@@ -240,7 +229,7 @@ class Transducer:
             if not active:
                 break
             at = place[:active] + depth
-            byte = data[at]
+            byte = data[at].astype(np.int64)
             now = state[:active]
             column = self.column[byte]
             cell = self.table[now, column]
@@ -347,7 +336,7 @@ class Transducer:
         starts, ends = self.words(points, firsts)
         places = np.zeros(len(points) + 1, np.int64)
         np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF), out=places[1:])
-        data = np.frombuffer(points.tobytes().decode("utf-32-le").encode(), np.uint8).astype(np.int64)
+        data = np.frombuffer(points.tobytes().decode("utf-32-le").encode(), np.uint8).astype(np.uint16)
         begin, end = places[starts], places[ends]
         if self.marked:
             data[end - 1] += 256

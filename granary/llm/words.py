@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,23 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def lean(work: Callable) -> Callable:
+    """A function over the batches of a task that hands its memory back at the end, as the worker lives on."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library keeps what it likes
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -77,7 +96,7 @@ class Words:
     def hashes(self, end: np.ndarray) -> np.ndarray:
         """64 bits of every word up to the byte ``end``."""
         out = np.empty(len(self.start), np.uint64)
-        step = 1 << 20
+        step = 1 << 17
         with np.errstate(over="ignore"):
             for a in range(0, len(out), step):  # a bounded piece of the text at a time
                 s, e = self.start[a : a + step], end[a : a + step]
