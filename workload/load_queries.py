@@ -15,7 +15,7 @@ from granary.session import materialise, new_path
 from granary.sources import pages, sinks, tables
 from granary.streaming.loads import into_batches, run_available, snapshot_batches
 from workload import fixtures as fx
-from workload.registry import ORACLES, query
+from workload.registry import query
 
 NOW = fx.NOW
 DAY = dt.date(2024, 1, 20)
@@ -87,10 +87,13 @@ def snapshot_load_retried(spark, sf):
     return _whole(plan.read_snapshots(core, path))
 
 
-@query("D6", """
+_EVENTS_SQL = """
   SELECT 'INT_10' AS flow_id, target_lvl, load_id, stg_status, row_count, '""" + f"{NOW:%Y-%m-%d %H:%M:%S}" + """' AS crea_datetime,
     CASE WHEN stg_status = 'S' THEN '""" + f"{NOW:%Y-%m-%d %H:%M:%S}" + """' END AS last_delta_ts
-  FROM (SELECT load_id, count(*) AS row_count FROM fx_batch GROUP BY 1), (VALUES ('ODSP'), ('EDW')) l(target_lvl), (VALUES ('I'), ('S')) s(stg_status)""")
+  FROM (SELECT load_id, count(*) AS row_count FROM fx_batch GROUP BY 1), (VALUES ('ODSP'), ('EDW')) l(target_lvl), (VALUES ('I'), ('S')) s(stg_status)"""
+
+
+@query("D6", _EVENTS_SQL)
 def snapshot_load_events(spark, sf):
     return _stamped(_snapshot_load(spark, sf).events, "crea_datetime", "last_delta_ts")
 
@@ -444,6 +447,6 @@ def snapshot_load_from_a_stream(spark, sf):
     return _whole(_streamed(spark, sf)[0])
 
 
-@query("T1 D6", ORACLES["snapshot_load_events"])
+@query("T1 D6", _EVENTS_SQL)
 def streamed_load_events(spark, sf):
     return _stamped(_streamed(spark, sf)[1].drop("batch"), "crea_datetime", "last_delta_ts")
