@@ -25,7 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.words import U, Words, mixed, pieces, utf8_buffers
+from granary.llm.tables import without_ids
+from granary.llm.words import U, Words, lean, mixed, pieces, utf8_buffers
+from granary.session import materialise
 
 BLOCK = 20_000
 #: Shorter items would be found by chance in clean texts; they are not searched.
@@ -242,7 +244,7 @@ def _search(needles: Needles):
                     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                     yield pa.record_batch([part.column(0).take(pa.array(doc)), *(pa.array(c, t) for c, t in zip(rest, types, strict=True))], names)
 
-    return search
+    return lean(search)
 
 
 def benchmark_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, repeats: int = 20) -> DataFrame:
@@ -269,4 +271,4 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark passage; rows with a null id are judged by their own text alone and stay."""
     spoiled = benchmark_passages(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(spoiled, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, materialise(spoiled, "spoiled"))

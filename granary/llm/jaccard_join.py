@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.tables import whole_groups
-from granary.llm.words import U, Words, mixed, pieces, powers, utf8_buffers
+from granary.llm.tables import maybe_with, whole_groups, without_ids
+from granary.llm.words import U, Words, lean, mixed, pieces, powers, utf8_buffers
 from granary.operators.components import component_roots
 from granary.session import materialise
 
@@ -30,7 +30,7 @@ MINIMA = 64
 #: Equal minima out of 64 below which a pair is not looked at: 48 are expected at a similarity of 0.75.
 LEAST_EQUAL = 28
 #: Signatures sorted at once in a map task, and aimed at per bucket of the shuffle.
-BATCH = 1_500_000
+BATCH = 1_000_000
 #: Distinct sets of a family that one task compares with one another.
 BLOCK = 3000
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, MINIMA, dtype=np.uint64) * U(2) + U(1)
@@ -139,7 +139,7 @@ def _described(n: int):
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.record_batch([part.column(0), sizes, pa.array(hashes, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "set_id", "minima"])
 
-    return describe
+    return lean(describe)
 
 
 def _proposed(n: int, share: int, bits: int):
@@ -186,9 +186,10 @@ def _proposed(n: int, share: int, bits: int):
                         sigs, sets, seen, size = [], [], set(), 0
         yield from blobs(sigs, sets)
 
-    return propose
+    return lean(propose)
 
 
+@lean
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (group_id, set_id) for the sets that share a signature; equal groups of a bucket once."""
     for rows in whole_groups(batches, "bucket"):
@@ -222,6 +223,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array(np.repeat(group[some].view(np.int64), l)), pa.array(sets[at])], ["group_id", "set_id"])
 
 
+@lean
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges (u, v) that span the sets of each group whose minima make a similar pair possible."""
     for rows in whole_groups(batches, "group_id"):
@@ -300,7 +302,7 @@ def _linked(n: int, share: int):
                 moved = labels != np.arange(len(ids))
                 yield pa.record_batch([pa.array(ids[labels[moved]]), pa.array(ids[moved])], ["u", "v"])
 
-    return link
+    return lean(link)
 
 
 def _blocks(families: DataFrame) -> DataFrame:
@@ -338,9 +340,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, share: int = 75) -> DataFram
     near = groups.repartition("group_id").sortWithinPartitions("group_id").mapInArrow(_near, "u bigint, v bigint").distinct()
     families = materialise(component_roots(near).withColumnRenamed("vertex", "set_id"), "families")
     members = _blocks(families.join(distinct, "set_id"))
-    # Copies of a set share its least id; ids that repeat with other texts are told apart by the set.
-    wanted = members.select(F.col("doc_id").alias("wanted")).distinct()
-    holders = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    # Copies of a set share its least id. Marks of the ids leave out nearly all other documents before the texts move; the
+    # join on the set is exact. A set that only rows without an id have is looked for among those.
+    holders = maybe_with(docs, families.join(distinct, "set_id").select("doc_id"))
     texts = holders.mapInArrow(_with_set(n), "doc_id bigint, set_id bigint, text string").dropDuplicates(["set_id"])
     work = members.join(texts.drop("doc_id"), "set_id").repartition("task").sortWithinPartitions("task")
     links = work.mapInArrow(_linked(n, share), "u bigint, v bigint")
@@ -360,13 +362,17 @@ def without_near_duplicates(docs: DataFrame, n: int = 5, share: int = 75) -> Dat
     Of rows that repeat such an id one stays, the one with the least columns. Rows with a null id stay as they are: they
     cannot be the one document of a group.
     """
-    kept = jaccard_components(docs, n, share).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = materialise(kept, "kept")
-    single = docs.join(kept.where("_rows = 1").select("doc_id"), "doc_id", "left_semi")
+    found = materialise(jaccard_components(docs, n, share).select("doc_id", "component_id").where("doc_id is not null"), "components")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    rest = without_ids(docs, gone)
+    repeated = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")
+    repeated = materialise(repeated, "repeated")
+    if repeated.isEmpty():
+        return rest  # the usual case: an id stands on one row
     others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    repeated = docs.join(kept.where("_rows > 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = repeated.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row")).select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
-    return single.select(docs.columns).unionAll(repeated).unionAll(docs.where("doc_id is null"))
+    again = maybe_with(rest, repeated).join(repeated, "doc_id", "left_semi")
+    again = again.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row")).select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    return without_ids(rest, repeated).unionAll(again)
 
 
 def _ties(sets: DataFrame, ties: DataFrame) -> DataFrame:
@@ -381,4 +387,4 @@ def _with_set(n: int):
                 hashes = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
                 yield pa.record_batch([part.column(0), hashes, part.column(1)], ["doc_id", "set_id", "text"])
 
-    return add
+    return lean(add)

@@ -8,14 +8,14 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from granary.session import configure
+from granary.session import configure, use_folder
 
 #: Arrow batches stay small whatever the length of the texts.
 SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
@@ -38,8 +38,11 @@ def _ship(spark: SparkSession) -> None:
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Set what the operators rely on and make their modules known to the executors."""
-    configure(spark)
+    """Set what the operators rely on and make their modules known to the executors.
+
+    A local session without ``spark.checkpoint.dir`` gets a folder of its own; a cluster has to name one.
+    """
+    use_folder(configure(spark))
     _ship(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
@@ -94,3 +97,27 @@ def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
     mark = F.xxhash64(F.col(key))
     some = df.where(F.pmod(mark, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1)) if share < 1 else df
     return some.orderBy(mark, key).limit(most)
+
+
+#: Marks of ids: so few that a set of them may be sent to every task.
+MARKS = 1 << 20
+
+
+def _mark(doc_id) -> Column:
+    return F.pmod(F.xxhash64(F.col(doc_id).cast("bigint")), F.lit(MARKS))
+
+
+def maybe_with(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` may be among ``ids(doc_id)``; with ``left_anti`` those where it surely is not.
+
+    An id is told by one of ``MARKS`` marks, so the broadcast side has ``MARKS`` rows at most, whatever the number of ids,
+    and no text is shuffled. An exact join is left for the few rows that may.
+    """
+    marks = ids.select(_mark("doc_id").alias("_mark")).distinct()
+    return docs.join(F.broadcast(marks), _mark("doc_id") == F.col("_mark"), how)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is not among ``ids(doc_id)``, a written table; rows with a null id stay."""
+    maybe = maybe_with(docs, ids).join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return maybe_with(docs, ids, "left_anti").unionAll(maybe)
