@@ -1,4 +1,3 @@
-import datetime as dt  # noqa: F401
 import random
 
 import pytest
