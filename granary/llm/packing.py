@@ -185,7 +185,7 @@ def _tokenized(path: str, capacity: int, end: int):
         seen = np.zeros(capacity + 1, np.int64)
         last = np.uint32(end).tobytes()
         for batch in batches:
-            for rows in pieces(batch, limit=1 << 21):
+            for rows in pieces(batch, limit=1 << 20):
                 out = []
                 for row, ids in enumerate(coder.encode([t or "" for t in rows.column(1).to_pylist()])):
                     ids += last
@@ -202,7 +202,7 @@ def _tokenized(path: str, capacity: int, end: int):
                     [rows.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc), pa.array(np.full(len(row), part, np.int32)), pa.array(rank)], names
                 )
 
-    return lean(tokenize)
+    return lean(tokenize, tokens=True)
 
 
 class Places:

@@ -22,6 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from granary.llm.tables import bounded_sample, held_out
+from granary.llm.words import forget
 from granary.session import materialise
 
 SAMPLE = 20_000
@@ -137,6 +138,7 @@ def quality_score(text: Column, model: QualityModel) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         sizes = _Sizes(model.bad, model.good)
         for texts in batches:
             rows = [sizes.features((t or "").encode()) for t in texts]

@@ -297,7 +297,7 @@ def _written(path: str, end: int):
             waiting.clear()
 
         for batch in batches:
-            for rows in pieces(batch, limit=1 << 21):
+            for rows in pieces(batch, limit=1 << 20):
                 names = rows.column(0).to_pylist()
                 for doc, raw in zip(names, coder.encode([t or "" for t in rows.column(1).to_pylist()]), strict=True):
                     ids = np.frombuffer(raw + last, np.uint32)
@@ -317,7 +317,7 @@ def _written(path: str, end: int):
         close()
         yield from flush()
 
-    return lean(write)
+    return lean(write, tokens=True)
 
 
 def write_ids(docs: DataFrame, path: str, target: str, end: int = 1) -> None:

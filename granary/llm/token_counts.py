@@ -73,11 +73,11 @@ def _short(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
         for batch in batches:
-            for part in pieces(batch, limit=1 << 21):
+            for part in pieces(batch, limit=1 << 20):
                 found = machine.counts(part.column(1).to_pylist())
                 yield pa.record_batch([part.column(0), part.column(2), pa.array(found)], ["doc_id", "n_bytes", "n_tokens"])
 
-    return lean(count)
+    return lean(count, tokens=True)
 
 
 def _maps(path: str):
@@ -88,7 +88,7 @@ def _maps(path: str):
             columns = [pa.array([getattr(m, f) for m in found], t) for f, t in (("head", pa.string()), ("count", pa.int64()), ("tail", pa.string()))]
             yield pa.record_batch([*batch.columns[:4], *columns], ["row", "doc_id", "n_bytes", "chunk", "head", "count", "tail"])
 
-    return lean(read)
+    return lean(read, tokens=True)
 
 
 def _scanned(path: str):

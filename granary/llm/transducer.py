@@ -19,7 +19,7 @@ import json
 import numpy as np
 
 #: States kept; beyond it the table is begun anew.
-STATES = 120_000
+STATES = 65_000
 #: A suffix that can become at most so many tokens is told apart by those that may follow, not by its neighbour.
 FEW = 40
 _LETTER, _NUMBER, _OTHER, _BLANK, _UNKNOWN = range(5)

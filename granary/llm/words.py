@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,11 +25,24 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def lean(work: Callable) -> Callable:
-    """A function over the batches of a task that hands its memory back at the end, as the worker lives on."""
+def forget() -> None:
+    """Drop the tokenizer tables that an earlier stage has left in this worker."""
+    for name, tables in (("tokens", "_encoders"), ("transducer", "_transducers")):
+        module = sys.modules.get(f"granary.llm.{name}")
+        if module is not None:
+            getattr(module, tables).clear()
+
+
+def lean(work: Callable, tokens: bool = False) -> Callable:
+    """A function over the batches of a task that hands its memory back at the end, as the worker lives on.
+
+    Unless it makes ``tokens``, what an earlier stage needed for that goes first.
+    """
 
     @functools.wraps(work)
     def run(batches: Iterator) -> Iterator:
+        if not tokens:
+            forget()
         try:
             yield from work(batches)
         finally:
@@ -112,7 +126,7 @@ class Words:
         return self.data[self.start[i] : self.end[j - 1]].tobytes().decode("utf-8", "replace")
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows of ``batch`` with at most ``limit`` bytes of text each, one row at least."""
     _, offsets = utf8_buffers(batch.column(batch.schema.get_field_index(text)))
     a = 0
