@@ -1,13 +1,14 @@
 """Licence scan: sentences become identifiers, identifier sequences are matched against ordered rules.
 
-DataFrame and SQL functions only, one expression per row: no shuffle, no join. A text is cut into sentences, each is
-normalised (lower case, letters and digits, single blanks) and mapped to a known licence sentence that it is or holds.
-The identifiers of a text, unknown sentences left out, form a line such as ``,7,,8,,9,``. A rule is an ordered list of
-identifiers; it holds where they follow one another, other known sentences in between allowed.
+DataFrame and SQL functions only, one expression per row: no shuffle, no join. A whole text is normalised (lower case,
+letters and digits, single blanks, marks for the ends of sentences) and the known licence sentences are found in it in
+their order. Line breaks, comment marks, ``v. 2.0`` and ``Identifier: MIT`` count as blanks inside a known sentence. The identifiers of a text form a line such as ``,7,,8,,9,``. A rule is an ordered list of identifiers;
+it holds where they follow one another, other known sentences in between allowed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -74,37 +75,74 @@ RULES: list[tuple[str, str, tuple[int, ...]]] = [
 #: Licences whose text holds another's.
 _WITHIN = {"BSD-2-Clause": "BSD-3-Clause"}
 
-#: Every known sentence has one of these; other texts are not cut at all.
+#: Every known sentence has one of these; other texts are not normalised at all.
 HINT = "(?i)licen[sc]e|copyright|warrant|permission|public domain|rights reserved|redistribut|gnu|anyone is free"
 #: Ends of sentences: lines, closing marks before white space, runs of ornaments.
 ENDS = r"[.!?;:]+(?:\s|$)|[\n\r]+|[!#$%&*|]+"
 _KNOWN = "|".join(sorted(SENTENCES.values(), key=lambda s: (-len(s), s)))
+#: The hint and the known sentences where a line break or comment mark may stand between two words.
+_HINT = HINT.replace(" ", "[^A-Za-z0-9]+")
+#: ``ENDS`` in two: those that may stand inside a known sentence (line breaks, comment marks, ``v. 2.0``, ``Identifier: MIT``), and the others.
+_SOFT = r"[.:]+(?:\s|$)|[\n\r]+|[#*|]+"
+_HARD = r"[.:]*[!?;][.!?;:]*(?:[\s|]|$)|[!$%&]+"
+_FOUND = rf"(?<![a-z0-9])(?:{_KNOWN.replace(' ', '[ |]')})(?![a-z0-9])"
+
+
+def normalised(text: Column) -> Column:
+    """Lower case, letters and digits, single blanks; between two sentences one ``|``, or ``!`` where no known sentence goes on."""
+    lines = F.regexp_replace(text, r"[\n\r]+[ \t]*[;!%&$]+", "\n")  # comment marks
+    cut = F.regexp_replace(F.regexp_replace(lines, _SOFT, "|"), _HARD, "!")
+    words = F.regexp_replace(F.lower(cut), "[^a-z0-9|!]+", " ")
+    ends = F.regexp_replace(F.regexp_replace(words, r" ?\|[ |]*", "|"), r"[ |]?![ |!]*", "!")
+    return F.regexp_replace(ends, r"^[ |!]+|[ |!]+$", "")
+
+
+def known_sentences(text: Column) -> Column:
+    """``array<struct<id, sentence>>``: the known sentences of a text in order, each with the number, from 0, of the text's
+    sentence that it begins in; null without any hint of a licence."""
+    ids = F.create_map(*chain.from_iterable((F.lit(s), F.lit(i)) for i, s in SENTENCES.items()))
+    bars = lambda t: F.length(t) - F.length(F.translate(t, "|!", ""))
 
+    def found(whole: Column) -> Column:
+        values, parts = F.regexp_extract_all(whole, F.lit(_FOUND), 0), F.split(whole, _FOUND, -1)
+        rows = F.filter(F.arrays_zip(values.alias("value"), parts.alias("left")), lambda c: c["value"].isNotNull())
+        start = F.struct(F.lit(0).alias("sentence"), F.array().cast("array<struct<id:int,sentence:int>>").alias("rows"))
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+        def step(seen: Column, c: Column) -> Column:
+            at = seen["sentence"] + bars(c["left"])
+            row = F.struct(ids[F.translate(c["value"], "|", " ")].alias("id"), at.alias("sentence"))
+            return F.struct((at + bars(c["value"])).alias("sentence"), F.array_append(seen["rows"], row).alias("rows"))
 
+        return F.when(whole.rlike(_FOUND), F.aggregate(rows, start, step, lambda seen: seen["rows"]))
 
-def sentence_ids(text: Column) -> Column:
-    """Identifiers of the text's sentences in order, 0 for unknown ones; null without any hint of a licence."""
-    ids = F.create_map(*chain.from_iterable((F.lit(s), F.lit(i)) for i, s in SENTENCES.items()))
-    sentences = F.filter(F.transform(F.split(text, ENDS, -1), normalised), lambda s: s != "")
-    known = F.transform(sentences, lambda s: F.coalesce(ids[F.regexp_extract(s, rf"(?:^| )({_KNOWN})(?: |$)", 1)], F.lit(0)))
-    return F.when(text.rlike(HINT), known)
+    return F.when(text.rlike(_HINT), _once(normalised(text), found))
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` worked out once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), then), 1)
 
 
 def licences(text: Column) -> Column:
     """``array<struct<licence, kind, first_sentence, sentences>>``: the longest rule of each licence that a text follows."""
-    ids = sentence_ids(text)
-    line = F.concat(F.lit(","), F.array_join(F.filter(ids, lambda i: i > 0).cast("array<string>"), ",,"), F.lit(","))
-    rows = []
-    for k, (licence, kind, rule) in enumerate(RULES):
-        holds = line.rlike(_spaced(rule))
-        for other in longer_rules(k):
-            holds = holds & ~line.rlike(_spaced(other[2]))
-        row = F.struct(F.lit(licence).alias("licence"), F.lit(kind).alias("kind"), (F.array_position(ids, rule[0]) - 1).cast("int").alias("first_sentence"), F.lit(len(rule)).alias("sentences"))
-        rows.append(F.when(holds, row))
-    return F.when(F.exists(ids, lambda i: i > 0), F.filter(F.array(*rows), lambda r: r.isNotNull()))
+
+    def rows(known: Column) -> Column:
+        ids = F.transform(known, lambda k: k["id"])
+        line = F.concat(F.lit(","), F.array_join(ids.cast("array<string>"), ",,"), F.lit(","))
+        return F.when(known.isNotNull(), _once(F.struct(known.alias("known"), ids.alias("ids"), line.alias("line")), followed))
+
+    def followed(c: Column) -> Column:
+        rows = []
+        for k, (licence, kind, rule) in enumerate(RULES):
+            holds = c["line"].rlike(_spaced(rule))
+            for other in longer_rules(k):
+                holds = holds & ~c["line"].rlike(_spaced(other[2]))
+            first = F.try_element_at(c["known"], F.array_position(c["ids"], rule[0]).cast("int"))["sentence"]
+            row = F.struct(F.lit(licence).alias("licence"), F.lit(kind).alias("kind"), first.alias("first_sentence"), F.lit(len(rule)).alias("sentences"))
+            rows.append(F.when(holds, row))
+        return F.filter(F.array(*rows), lambda r: r.isNotNull())
+
+    return _once(known_sentences(text), rows)
 
 
 def longer_rules(k: int) -> list[tuple[str, str, tuple[int, ...]]]:
@@ -122,9 +160,9 @@ def find_licences(docs: DataFrame) -> DataFrame:
     """``doc_id, licence, kind, first_sentence, sentences``: one row for each licence that a text names or holds.
 
     ``kind`` tells a notice, header, tag or whole text; ``first_sentence`` counts the text's sentences from 0 to the first
-    place of the rule's first sentence. Null and empty texts and texts without a known sentence give no row. Repeated rows
+    place of the rule's first sentence; a known sentence that line breaks or comment marks cut counts where it begins. Null and empty texts and texts without a known sentence give no row. Repeated rows
     give theirs each, a null ``doc_id`` stays null. Other columns are not read.
     """
     text = F.col("text").cast("string")
     # Nearly all texts end at the hint; the rest is worked out once, for the others.
-    return docs.where(text.rlike(HINT)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.inline(licences(text)))
+    return docs.where(text.rlike(_HINT)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.inline(licences(text)))

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 
@@ -70,6 +71,29 @@ def test_licences_and_their_texts(spark, awkward, nothing):
     assert find_licences(awkward).count() == 0 and find_licences(nothing).count() == 0
 
 
+def test_licences_wrapped_commented_and_tagged(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software. The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES. See the License for the specific language governing permissions and limitations under the License.'
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even. You should have received a copy of the GNU General Public License along with this program."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    isc = 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE.'
+    bsd = ". ".join(SENTENCES[i].capitalize() for i in (12, 13, 14, 15, 16))
+    unlicense = "This is free and unencumbered software released into the public\ndomain.\nAnyone is\nfree to copy, modify, publish, use, compile, sell, or distribute this software"
+    want = {"MIT": mit, "Apache-2.0": apache, "GPL-3.0": gpl, "MPL-2.0": mpl, "ISC": isc, "BSD-3-Clause": bsd}
+    rows, expected = [], set()
+    for k, (licence, text) in enumerate(want.items()):
+        rule = next(r for r in RULES if r[0] == licence)
+        for m, (mark, width) in enumerate((("", 75), ("# ", 75), (" * ", 60), ("// ", 30))):
+            rows.append((10 * k + m, "Intro.\n" + "\n".join(mark + line for line in textwrap.wrap(text, width))))
+            expected.add((10 * k + m, licence, rule[1], 1, len(rule[2])))
+    tags = {28: "Apache-2.0", 29: "MIT", 30: "GPL-3.0", 31: "BSD-3-Clause"}
+    rows += [(100 + i, f"#!/bin/sh\n# SPDX-License-Identifier: {tag}\nset -e") for i, tag in tags.items()]
+    expected |= {(100 + i, tag, "tag", 1, 1) for i, tag in tags.items()}
+    rows += [(200, unlicense), (201, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."), (202, "SPDX-License-Identifier: none. MIT")]
+    expected |= {(200, "Unlicense", "text", 0, 2), (201, "MPL-2.0", "notice", 0, 1)}
+    assert {tuple(r) for r in find_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == expected
+
+
 def test_rules_name_known_sentences():
     assert {i for _, _, ids in RULES for i in ids} <= SENTENCES.keys()
     assert len(set(SENTENCES.values())) == len(SENTENCES)
