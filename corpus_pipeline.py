@@ -1,7 +1,7 @@
 """The training-data pipeline: documents through the stages in order, each written and read again.
 
 Every stage but the last returns the columns of ``documents``; rows leave or change, columns do not. Rows with a null
-``doc_id`` are judged by their own text where that decides and stay otherwise.
+``doc_id`` are judged by their own text in every stage after the first.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    return decontamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.rows_without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

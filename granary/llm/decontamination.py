@@ -247,6 +247,15 @@ def _search(needles: Needles):
     return lean(search)
 
 
+def _needles(benchmark: DataFrame, edits: float, repeats: int) -> Iterator[Needles]:
+    """The items, block by block."""
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
+    blocks = max(1, -(-items.count() // BLOCK))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
+        yield Needles([r[0] for r in rows], [r[1] for r in rows], edits, repeats)
+
+
 def benchmark_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, repeats: int = 20) -> DataFrame:
     """Passages of ``benchmark(item_id, text)`` in ``docs(doc_id, text)``.
 
@@ -257,12 +266,8 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2
     are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
-    blocks = max(1, -(-items.count() // BLOCK))
     out = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        needles = Needles([r[0] for r in rows], [r[1] for r in rows], edits, repeats)
+    for needles in _needles(benchmark, edits, repeats):
         found = docs.mapInArrow(_search(needles), "doc_id bigint, item_id bigint, first_word int, last_word int, edits int")
         out = found if out is None else out.unionAll(found)
     return out
@@ -272,3 +277,25 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark passage; rows with a null id are judged by their own text alone and stay."""
     spoiled = benchmark_passages(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
     return without_ids(docs, materialise(spoiled, "spoiled"))
+
+
+def _free(needles: Needles):
+    """The rows, all columns, whose text holds no item."""
+    search = _search(needles)
+
+    def free(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.string())
+            for found in search(iter([pa.record_batch([pa.array(np.arange(batch.num_rows)), texts], ["doc_id", "text"])])):
+                keep[found.column(0).to_numpy()] = False
+            yield batch.filter(pa.array(keep))
+
+    return free
+
+
+def rows_without_benchmark(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, repeats: int = 20) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no passage of :func:`benchmark_passages`, whatever their id, null and repeated ones too."""
+    for needles in _needles(benchmark, edits, repeats):
+        docs = docs.mapInArrow(_free(needles), docs.schema)
+    return docs

@@ -326,7 +326,17 @@ def jaccard_components(docs: DataFrame, n: int = 5, share: int = 75) -> DataFram
     other rows; a null id stays null and is least in no component of other ids. Other columns are not read. An empty
     table gives no row. Equality rests on 64-bit hashes.
     """
-    spark = docs.sparkSession
+    sets, labelled = _labelled(docs, n, share)
+    return _components(sets, labelled)
+
+
+def _components(sets: DataFrame, labelled: DataFrame) -> DataFrame:
+    labelled = labelled.select("set_id", "component_id")
+    return sets.join(labelled, "set_id", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def _labelled(docs: DataFrame, n: int, share: int) -> tuple[DataFrame, DataFrame]:
+    """The set of each row, and ``set_id, root, component_id`` of each distinct set; a component without an id has a null one."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = materialise(docs.mapInArrow(_described(n), "doc_id bigint, n_shingles bigint, set_id bigint, minima binary"), "sets")
     distinct = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("minima").alias("minima"))
@@ -352,17 +362,33 @@ def jaccard_components(docs: DataFrame, n: int = 5, share: int = 75) -> DataFram
     roots = component_roots(links).withColumnRenamed("vertex", "set_id")
     labelled = distinct.join(roots, "set_id", "left").select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labelled = labelled.join(least, "root").select("set_id", "component_id")
-    return sets.join(labelled, "set_id", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return sets, labelled.join(least, "root").select("set_id", "root", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, n: int = 5, share: int = 75) -> DataFrame:
     """The rows of ``docs`` with the least id of their component, all columns.
 
-    Of rows that repeat such an id one stays, the one with the least columns. Rows with a null id stay as they are: they
-    cannot be the one document of a group.
+    Of rows that repeat such an id one stays, the one with the least columns. Rows with a null id
+    go where a row with an id is in their component; of a component without ids one row stays. Those without a shingle stay.
     """
-    found = materialise(jaccard_components(docs, n, share).select("doc_id", "component_id").where("doc_id is not null"), "components")
+    sets, labelled = _labelled(docs, n, share)
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return _least_ids(docs, sets, labelled)
+    labelled = materialise(labelled, "labelled-sets")
+    # The number of a row is written with it: it tells rows without an id apart.
+    nameless = materialise(nameless.withColumn("_row", F.monotonically_increasing_id()), "rows-without-id")
+    numbered = nameless.select(F.col("_row").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = numbered.mapInArrow(_with_set(n), "doc_id bigint, set_id bigint, text string").where("set_id is not null").select(F.col("doc_id").alias("_row"), "set_id")
+    own = materialise(own.join(labelled, "set_id").select("_row", "root", "component_id"), "sets-without-id")
+    one = own.where("component_id is null").groupBy("root").agg(F.min("_row").alias("_row")).select("_row")
+    gone = own.select("_row").join(one, "_row", "left_anti")
+    rest = nameless.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _least_ids(docs.where("doc_id is not null"), sets, labelled).unionAll(rest)
+
+
+def _least_ids(docs: DataFrame, sets: DataFrame, labelled: DataFrame) -> DataFrame:
+    found = materialise(_components(sets, labelled).select("doc_id", "component_id").where("doc_id is not null"), "components")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     rest = without_ids(docs, gone)
     repeated = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")

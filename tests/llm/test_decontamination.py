@@ -1,6 +1,6 @@
 import random
 
-from granary.llm.decontamination import benchmark_passages, without_benchmark
+from granary.llm.decontamination import benchmark_passages, rows_without_benchmark, without_benchmark
 from granary.llm import decontamination
 from tests.llm.conftest import words
 
@@ -74,6 +74,15 @@ def test_places_and_edges(spark, awkward, nothing):
     assert benchmark_passages(docs, benchmark(spark).limit(0)).count() == 0
 
 
+def test_rows_are_judged_by_their_own_text(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK", 20)
+    item, clean = ITEMS[7], "a b c d e f g h"
+    rows = [(None, f"x {item}", "y"), (None, clean, None), (None, None, "n"), (2, item, None), (2, clean, "z"), (3, "", None), (4, ITEMS[3].title(), "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
+    kept = rows_without_benchmark(docs, benchmark(spark))
+    assert kept.columns == docs.columns and sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[1], rows[2], rows[4], rows[5]]))
+
+
 def test_a_benchmark_of_many_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"x y {t} z") for k, t in ITEMS.items()], "doc_id long, text string")
     whole = {tuple(r) for r in benchmark_passages(docs, benchmark(spark)).collect()}

@@ -106,3 +106,12 @@ def test_awkward_documents(awkward, nothing):
 def test_one_of_repeated_rows_stays(spark):
     docs = spark.createDataFrame([(2, "a b c d e f", "z"), (2, "a b c d e f", "y"), (4, "a b c d e f", "x"), (3, None, "w")], "doc_id long, text string, component_id string")
     assert sorted(map(tuple, without_near_duplicates(docs).collect())) == [(2, "a b c d e f", "y"), (3, None, "w")]
+
+
+def test_one_row_of_each_group_without_ids(spark):
+    base, other = words(1, 60), words(2, 60)
+    rows = [(None, base, "a")] * 3 + [(None, base + " more", "b"), (None, other, "c"), (7, other + " tail", "d"), (9, other, "e"), (None, None, "f"), (None, "", "g"), (None, words(3, 30), "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    kept = without_near_duplicates(docs)
+    marks = sorted(r.mark for r in kept.collect())
+    assert kept.columns == docs.columns and marks[1:] == ["d", "f", "g", "h"] and marks[0] in ("a", "b")
