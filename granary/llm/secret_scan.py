@@ -1,6 +1,6 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest. DataFrame and SQL functions only.
 
-One pattern finds candidates in whole texts: long runs with a digit, quoted values of credential names, key headers. Each is
+One pattern finds candidates in whole texts: key blocks, every value after a credential name, long runs with a digit. Each is
 described by its length, transitions between kinds of characters, share covered by dictionary words, likeness to a path
 and the words before and after it. A random forest learned from labelled findings votes; its trees are written out as
 SQL conditions, so scoring is one expression over the array of a text's candidates: no shuffle, no join, no row model.
@@ -32,18 +32,34 @@ _HARMLESS = ["commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "ha
 _WORDS = ["your", "example", "sample", "test", "dummy", "changeme", "placeholder", "here", "token", "secret", "password", "key", "api", "my", "the", "insert", "none", "null", "xxxx", "user", "admin", "default", "value", "version", "usr", "lib", "bin", "home", "src", "com", "org", "www", "http", "mail", "file"]
 
 _RUN = r"A-Za-z0-9_+/=.@~\-"
-#: A key header; the quoted value of a credential name; a run of 12 characters or more with a digit.
-CANDIDATE = (
-    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
-    rf"|(?<=[\"'])(?<=(?i:password|passwd|pwd|secret|token|key)\s?[=:]\s?[\"'])[^\"'\s]{{6,}}(?=[\"'])"
-    rf"|(?<![{_RUN}])(?=[A-Za-z_+/=.@~\-]*+[0-9])[{_RUN}]{{12,}}"
-)
+def _any(words: list[str]) -> str:
+    return "|".join(sorted(words, key=lambda w: (-len(w), w)))
 
-FEATURES = ["length", "digits", "kinds", "cases", "capitals", "dictionary", "path", "address", "separators", "distinct", "hexadecimal", "numeric", "credential", "harmless", "assigned", "quoted"]
 
+_NAMES = _any(_CREDENTIAL)
+#: What stands between a name and its value; a value without quotes, closing marks left out.
+_ASSIGN = r"[\"'`]?\]?\s{0,3}[=:]{1,3}>?\s{0,3}"
+_BARE = r"(?![\s\"'`=:>])[^\s\"`]*[^\s\"'`.,;:)\]}]"
 
-def _any(words: list[str]) -> str:
-    return "|".join(sorted(words, key=lambda w: (-len(w), w)))
+
+def _quoted(quote: str) -> str:
+    """What stands between two of ``quote`` on a line, escaped ones included; loops over groups are short for the Java stack."""
+    return rf"(?<={quote})[^{quote}\\\n\r]*+(?:\\.[^{quote}\\\n\r]*+){{0,50}}+(?<!{quote})(?={quote})"
+
+
+#: A key from BEGIN to END, or its header with the lines that follow; the value of a credential name, quoted or not; what
+#: follows "bearer"; the quoted value of a key; a run of 12 characters or more with a digit.
+CANDIDATE = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-{1,4}+(?!-)[^-]*+){0,200}+-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----|(?:\s{1,9}[A-Za-z0-9+/=]{40,}+){0,500}+)"
+    rf"|(?<=[\"'`])(?<=(?i:{_NAMES}){_ASSIGN}[\"'`])(?:{'|'.join(map(_quoted, '\"\'`'))})"
+    rf"|(?<=[=:>\s])(?<=[=:]>?\s{{0,3}})(?<=(?i:{_NAMES}){_ASSIGN}){_BARE}"
+    rf"|(?<=[rR]\s{{1,3}})(?<=(?i:bearer)\s{{1,3}}){_BARE}"
+    rf"|(?<=[\"'])(?<=(?i:key)\s?[=:]\s?[\"'])[^\"'\s]{{6,}}(?=[\"'])"
+    rf"|(?<![{_RUN}])(?=[A-Za-z_+/=.@~\-]*+[0-9])(?![A-Za-z0-9_+/.@~\-]*(?i:{_NAMES})=)[{_RUN}]{{12,}}"
+)
+
+FEATURES = ["length", "digits", "kinds", "cases", "capitals", "dictionary", "path", "address", "separators", "distinct", "hexadecimal", "numeric", "credential", "harmless", "assigned", "quoted", "code"]
 
 
 def _left(text: Column, pattern: str) -> Column:
@@ -69,10 +85,11 @@ def _features(c: Column) -> Column:
         F.size(F.array_distinct(F.split(value, ""))) / F.least(size, F.lit(36.0)),
         value.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double"),
         value.rlike(r"^[0-9+().\-]+$").cast("double"),
-        near.rlike(rf"(^|[^a-z])({_any(_CREDENTIAL)})[^a-z]*$").cast("double"),
+        near.rlike(rf"({_NAMES})[^a-z]*$").cast("double"),
         near.rlike(rf"(^|[^a-z0-9])({_any(_HARMLESS)})[^a-z]*$").cast("double"),
         before.rlike(r"[=:]\s*[\"'`]?$").cast("double"),
         (before.rlike(r"[\"'`]$") & after.rlike(r"^[\"'`]")).cast("double"),
+        value.rlike(r"^[<$%{(\[]|[(\[]").cast("double"),
     ]
     return F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(n) for v, n in zip(values, FEATURES, strict=True)])
 
@@ -106,24 +123,39 @@ def labelled_findings(docs: DataFrame) -> DataFrame:
         "digest": F.sha1(key),
         "long": F.sha2(key, 256),
         "mixed": F.regexp_replace(F.base64(F.unhex(F.sha2(key, 256))), "[+/=]", "7"),
+        "marked": F.base64(F.unhex(F.sha2(key, 256))),
+        "turn": F.xxhash64("doc_id", F.lit("turn")),
         "name": pick(_CREDENTIAL, "name"),
         "plain": pick(_HARMLESS, "plain"),
         **{f"word{k}": F.coalesce(F.try_element_at(clean, F.lit(k)), F.lit("and")) for k in range(2, 9)},
     }
     some = materialise(some.select(*[v.alias(k) for k, v in parts.items()]), "findings-parts")
-    number, digest, long, mixed, name, plain = (F.col(c) for c in ("number", "digest", "long", "mixed", "name", "plain"))
+    number, digest, long, mixed, marked, name, plain = (F.col(c) for c in ("number", "digest", "long", "mixed", "marked", "name", "plain"))
     word = lambda k: F.col(f"word{k}")
+    # One of several forms for each document, so that the number of lines stays.
+    turns = lambda *forms: F.element_at(F.array(*forms), (F.pmod(F.xxhash64("turn", F.lit(len(forms)), forms[0]), F.lit(len(forms))) + 1).cast("int"))
+    block = F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), F.array_join(F.transform(F.sequence(F.lit(1), F.length(word(2)) + 2), lambda k: F.base64(F.unhex(F.sha2(F.concat(digest, k.cast("string")), 256)))), "\n"), F.lit("\n-----END RSA PRIVATE KEY-----"))
     true = [
         F.concat(name, F.lit(' = "'), digest, F.lit('"')),
-        F.concat(F.upper(name), F.lit(' = "'), F.upper(digest), F.lit('"!!')),
-        F.concat(name, F.lit(": "), F.substring(long, 1, 32)),
-        F.concat(name, F.lit("='"), F.substring(mixed, 1, 36), F.lit("'")),
+        turns(F.concat(F.upper(name), F.lit(' = "'), F.upper(digest), F.lit('"!!')), F.concat(F.upper(name), F.lit("="), marked)),
+        turns(F.concat(name, F.lit(": "), F.substring(long, 1, 32)), F.concat(name, F.lit(": "), F.substring(marked, 1, 40))),
+        turns(F.concat(name, F.lit("='"), F.substring(mixed, 1, 36), F.lit("'")), F.concat(name, F.lit(' = "'), F.substring(marked, 5, 40), F.lit('"'))),
         F.concat(F.lit("AKIA"), F.upper(F.substring(digest, 1, 16))),
-        F.concat(F.lit("ghp_"), F.substring(mixed, 3, 36)),
-        F.concat(F.lit("sk_live_"), F.substring(mixed, 2, 24)),
-        F.concat(F.lit('password = "'), word(2), F.substring(mixed, 1, 8), F.lit('"')),
-        F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----")),
-        F.concat(name, F.lit(' = "'), long, F.lit('"')),
+        turns(F.concat(F.lit("ghp_"), F.substring(mixed, 3, 36)), F.concat(F.lit("Authorization: Bearer "), F.substring(marked, 1, 30))),
+        turns(F.concat(F.lit("sk_live_"), F.substring(mixed, 2, 24)), F.concat(F.upper(name), F.lit("="), F.substring(mixed, 2, 16))),
+        turns(
+            F.concat(F.lit('password = "'), word(2), F.substring(mixed, 1, 8), F.lit('"')),
+            F.concat(name, F.lit(": "), word(2), F.substring(number, 1, 1)),
+            F.concat(name, F.lit(' = "'), word(2), F.substring(number, 1, 2), F.lit('"')),
+            F.concat(name, F.lit("="), F.substring(mixed, 1, 8)),
+        ),
+        turns(F.lit("-----BEGIN RSA PRIVATE KEY-----"), block),
+        turns(
+            F.concat(name, F.lit(' = "'), long, F.lit('"')),
+            F.concat(name, F.lit(" = "), word(2), word(3), word(4)),
+            F.concat(name, F.lit(': "'), word(3), word(4), F.lit('"')),
+            F.concat(name, F.lit(': "'), word(2), F.lit(" "), word(3), F.lit(" "), word(4), F.lit('"')),
+        ),
     ]
     false = [
         F.concat(plain, F.lit(" "), digest),
@@ -135,10 +167,10 @@ def labelled_findings(docs: DataFrame) -> DataFrame:
         F.lpad(number, 16, "4"),
         F.concat(F.lit("+1"), F.lpad(F.substring(number, 1, 10), 10, "5"), F.lit("-0")),
         F.concat(F.lit("1"), F.substring(number, 1, 2), F.lit(".1"), F.substring(number, 3, 2), F.lit(".1"), F.substring(number, 5, 1), F.lit(".2"), F.substring(number, 6, 1)),
-        F.concat(name, F.lit(' = "your_'), name, F.lit('_here_1"')),
-        F.concat(name, F.lit(' = "xxxxxxxxxxxx'), F.substring(number, 1, 2), F.lit('"')),
-        F.concat(name, F.lit(' = "example-'), word(2), F.lit('-123"')),
-        F.concat(name, F.lit(' = "<'), word(2), F.lit('>"')),
+        turns(F.concat(name, F.lit(' = "your_'), name, F.lit('_here_1"')), F.concat(name, F.lit(": your_"), name), F.concat(F.upper(name), F.lit("=changeme")), F.concat(name, F.lit(' = "my '), name, F.lit(' here"'))),
+        turns(F.concat(name, F.lit(' = "xxxxxxxxxxxx'), F.substring(number, 1, 2), F.lit('"')), F.concat(name, F.lit(": none")), F.concat(name, F.lit(' = "default"'))),
+        turns(F.concat(name, F.lit(' = "example-'), word(2), F.lit('-123"')), F.concat(name, F.lit(": "), word(2)), F.concat(F.lit("bearer "), word(2))),
+        turns(F.concat(name, F.lit(' = "<'), word(2), F.lit('>"')), F.concat(name, F.lit(" = ${"), F.upper(name), F.lit("}")), F.concat(name, F.lit(" = get_"), word(2), F.lit("("), word(3), F.lit(")"))),
         F.concat(F.lit("https://www.example.com/"), word(2), F.lit("/"), F.substring(number, 1, 4)),
         F.concat(word(2), F.lit("_"), word(3), F.lit("_"), word(4), F.lit("_2")),
         F.concat(word(2), word(3), F.substring(number, 1, 3)),
@@ -149,7 +181,8 @@ def labelled_findings(docs: DataFrame) -> DataFrame:
 
 def fit_forest(findings: DataFrame) -> RandomForestClassificationModel:
     """Learn from ``findings(line, label[, weight])``: the last candidate of each line has the label."""
-    described = findings.select("label", "weight", F.try_element_at(candidates(F.col("line")), F.lit(-1)).alias("c")).where("c is not null")
+    # Written before it is described, else every feature would look for the candidates again.
+    described = materialise(findings.select("label", "weight", F.try_element_at(candidates(F.col("line")), F.lit(-1)).alias("c")), "candidates").where("c is not null")
     rows = described.select("label", "weight", _features(F.col("c")).alias("f")).select("label", "weight", "f.*")
     rows = materialise(rows.coalesce(1).sortWithinPartitions("label", *FEATURES), "findings")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
@@ -208,14 +241,27 @@ def _model(docs: DataFrame, findings: DataFrame | None) -> RandomForestClassific
 
 
 def masked_secrets(docs: DataFrame, mask: str = "<secret>", findings: DataFrame | None = None) -> DataFrame:
-    """``docs`` with every kept finding replaced by ``mask`` wherever its value stands in the text; ``n_chars`` follows the text."""
+    """``docs`` with every kept finding replaced by ``mask``; ``n_chars`` follows the text.
+
+    A value that no plain word can be, of 12 characters or with a digit in 6, is replaced wherever else it stands, too.
+    """
     model = _model(docs, findings)
     if model is None:
         return docs
     text = F.col("text").cast("string")
-    values = F.array_distinct(F.transform(text_secrets(text, model), lambda s: s["value"]))
-    values = F.array_sort(values, lambda a, b: F.length(b) - F.length(a))  # a value that holds another goes first
-    clean = F.coalesce(F.aggregate(values, text, lambda t, v: F.replace(t, v, F.lit(mask))), text)
+    def step(seen: Column, c: Column) -> Column:
+        left = F.substr(text, seen["place"] + 1, c["start"] - seen["place"])
+        return F.struct((c["start"] + F.length(c["value"])).alias("place"), F.concat(seen["clean"], left, F.lit(mask)).alias("clean"))
+
+    def masked(found: Column) -> Column:
+        cut = F.aggregate(found, F.struct(F.lit(0).alias("place"), F.lit("").alias("clean")), step, lambda seen: F.concat(seen["clean"], F.substr(text, seen["place"] + 1, F.length(text))))
+        values = F.array_distinct(F.transform(found, lambda s: s["value"]))
+        values = F.filter(values, lambda v: (F.length(v) >= 12) | ((F.length(v) >= 6) & v.rlike("[0-9]")))
+        values = F.array_sort(values, lambda a, b: F.length(b) - F.length(a))  # a value that holds another goes first
+        return F.aggregate(values, cut, lambda t, v: F.replace(t, v, F.lit(mask)))
+
+    # The findings are named twice; as an element of an array they are worked out once.
+    clean = F.coalesce(F.element_at(F.transform(F.array(text_secrets(text, model)), masked), 1), text)
     out = docs.withColumn("_clean", clean)
     changed = {"text": F.col("_clean").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
