@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import decontamination, embedding_dedup, jaccard_join, licence_scan, packing, quality, range_coder, secret_scan, token_counts, toxicity
+from granary.llm import (
+    decontamination,
+    embedding_dedup,
+    jaccard_join,
+    licence_scan,
+    packing,
+    quality,
+    range_coder,
+    role_repair,
+    secret_scan,
+    spelling_variants,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from granary.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +87,21 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan.find_licences(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"), damage=spelling_variants.DAMAGE)
+
+
+@query
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.conversation_repairs(table(spark, sf_dir, "conversations"), damage=True)
+
+
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLES["op6_ngram_jaccard_join"] = rf"""
 WITH RECURSIVE worded AS (
