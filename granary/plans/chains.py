@@ -8,7 +8,8 @@ chain when no item of it was known before, so chain numbers follow the order of
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -52,34 +53,45 @@ def first_rows(log: DataFrame) -> DataFrame:
     return log.select("seq", F.inline(ends)).groupBy("a", "b").agg(F.min("seq").alias("seq"))
 
 
-def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime) -> DataFrame:
-    """``chains`` after one load ``log``; ``now`` stamps new items and items whose chain was merged.
+@dataclass
+class Growth:
+    """What one load does to the chains: new items, chains merged into smaller ones, the largest number still in use.
+
+    ``items(plc_rsnum, plc_rspos, plc_udate, plc_utime, chain_id)``; ``merged(chain_id, root)`` of chains that were there
+    before; ``top`` is None where it takes a look at all chains to find it.
+    """
+
+    items: DataFrame
+    merged: DataFrame
+    top: int | None
 
-    Numbers are drawn after the largest one in use. Date and time of a new item are those of the first
-    row that names it, in the order date, time, key. ``chains`` is read more than once: pass a scan or a
-    written table.
 
-    The components are found among numbers, not items: a known item stands for its chain, the items of
-    an opening row for the new chain, and every other new item gets a number above all chains. So only
-    the load takes part in the rounds, and the least number of a component is its final chain.
+def growth(log: DataFrame, known: Callable[[DataFrame], DataFrame], base: int) -> Growth:
+    """The effect of one load ``log`` on chains numbered up to ``base``.
+
+    ``known`` gives ``a, b, old_id`` of those of the items ``a, b`` that are in a chain. Numbers are drawn after ``base``.
+    Date and time of a new item are those of the first row that names it, in the order date, time, key.
+
+    The components are found among numbers, not items: a known item stands for its chain, the items of an opening row for
+    the new chain, and every other new item gets a number above all chains. So only the load takes part in the rounds, and
+    the least number of a component is its final chain.
     """
     log = numbered_log(log)
     single = (is_terminal() | is_self()).alias("single")
-    known = chains.select(F.col("plc_rsnum").alias("a"), F.col("plc_rspos").alias("b"), F.col("chain_id").alias("old_id"))
-    items = first_rows(log).join(known, ["a", "b"], "left")
+    first = materialise(first_rows(log), "first-rows")
+    items = first.join(known(first.select("a", "b")), ["a", "b"], "left")
     items = materialise(items.join(log.select("seq", "pl_udate", "pl_utime", single), "seq"), "items")
 
     # A row opens a chain when all its items are new and first named by it.
     named = items.where(F.col("old_id").isNull()).groupBy("seq", "single").agg(F.count("*").alias("items"))
     opening = named.where(F.col("items") == F.when(F.col("single"), 1).otherwise(2)).select("seq")
-    base = chains.agg(F.coalesce(F.max("chain_id"), F.lit(0)).alias("top")).first()["top"]
-    opened = numbered(opening, ["seq"], "opened_id", start=base + 1)
+    opened = materialise(numbered(opening, ["seq"], "opened_id", start=base + 1), "opened")
     top = opened.agg(F.coalesce(F.max("opened_id"), F.lit(base)).alias("top")).first()["top"]
 
-    placed = items.join(opened, "seq", "left").withColumn("vertex", F.coalesce("old_id", "opened_id")).drop("opened_id")
-    placed = materialise(placed, "placed")
-    joining = numbered(placed.where(F.col("vertex").isNull()).drop("vertex"), ["a", "b"], "vertex", start=top + 1)
-    vertices = placed.where(F.col("vertex").isNotNull()).unionByName(joining)
+    # Any other new item: some number above all chains, fixed by writing it.
+    other = F.monotonically_increasing_id() + F.lit(top + 1)
+    placed = items.join(opened, "seq", "left").withColumn("vertex", F.coalesce("old_id", "opened_id", other)).drop("opened_id")
+    vertices = materialise(placed, "vertices")
 
     links = log.where(~is_terminal() & ~is_self()).drop("seq", "pl_udate", "pl_utime")
     ends = vertices.select("a", "b", "vertex")
@@ -89,18 +101,11 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime) -> Data
     edges = half.join(targets, ["pl_rsnum_new", "pl_rspos_new"])
     roots = component_roots(edges.select("u", "v"))
 
-    merged = roots.where((F.col("root") < F.col("vertex")) & (F.col("vertex") <= base))
-    merged = merged.select(F.col("vertex").alias("chain_id"), F.col("root").alias("_new_id"))
-    stamp = stamp_of(now)
-    fell = F.col("_new_id").isNotNull()
-    old_items = chains.join(merged, "chain_id", "left").select(
-        "plc_rsnum",
-        "plc_rspos",
-        "plc_udate",
-        "plc_utime",
-        F.coalesce("_new_id", "chain_id").alias("chain_id"),
-        F.when(fell, stamp).otherwise(F.col("plc_lchg_date_time")).alias("plc_lchg_date_time"),
-    )
+    fell = roots.where((F.col("root") < F.col("vertex")) & (F.col("vertex") <= top))
+    merged = materialise(fell.select(F.col("vertex").alias("chain_id"), "root"), "merged")
+    last = opened.join(merged, opened["opened_id"] == merged["chain_id"], "left_anti").agg(F.max("opened_id")).first()[0]
+    if last is None:
+        last = base if merged.where(F.col("chain_id") == base).isEmpty() else None
     # Only the two items of an opening row share a vertex, so this join repeats no vertex more than twice.
     new_items = vertices.where(F.col("old_id").isNull()).join(roots, "vertex", "left").select(
         F.col("a").alias("plc_rsnum"),
@@ -108,9 +113,30 @@ def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime) -> Data
         F.col("pl_udate").alias("plc_udate"),
         F.col("pl_utime").alias("plc_utime"),
         F.coalesce("root", "vertex").alias("chain_id"),
-        stamp.alias("plc_lchg_date_time"),
     )
-    return old_items.unionByName(new_items)
+    return Growth(new_items, merged.where(F.col("chain_id") <= base), last)
+
+
+def extended_chains(chains: DataFrame, log: DataFrame, now: dt.datetime) -> DataFrame:
+    """``chains`` as one table after one load ``log``; ``now`` stamps new items and items whose chain was merged.
+
+    ``chains`` is read more than once: pass a scan or a written table. A table that many loads follow on is better kept by
+    :mod:`granary.plans.chain_store`, where a load does not pass over the whole of it.
+    """
+    known = chains.select(F.col("plc_rsnum").alias("a"), F.col("plc_rspos").alias("b"), F.col("chain_id").alias("old_id"))
+    base = chains.agg(F.coalesce(F.max("chain_id"), F.lit(0)).alias("top")).first()["top"]
+    grown = growth(log, lambda items: known.join(items, ["a", "b"], "left_semi"), base)
+    stamp = stamp_of(now)
+    fell = F.col("root").isNotNull()
+    old_items = chains.join(grown.merged, "chain_id", "left").select(
+        "plc_rsnum",
+        "plc_rspos",
+        "plc_udate",
+        "plc_utime",
+        F.coalesce("root", "chain_id").alias("chain_id"),
+        F.when(fell, stamp).otherwise(F.col("plc_lchg_date_time")).alias("plc_lchg_date_time"),
+    )
+    return old_items.unionByName(grown.items.withColumn("plc_lchg_date_time", stamp))
 
 
 def no_chains(spark) -> DataFrame:
