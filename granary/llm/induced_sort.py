@@ -84,7 +84,7 @@ def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
-def _sweep(key: np.ndarray, takes: np.ndarray, run: np.ndarray, seeds: np.ndarray, seed_shared: np.ndarray, symbols: int, memory: int) -> BucketQueue:
+def _sweep(key: np.ndarray, takes: np.ndarray, run: np.ndarray, back: np.ndarray, seeds: np.ndarray, seed_shared: np.ndarray, symbols: int, memory: int) -> BucketQueue:
     """One sweep over the symbols ``0 .. symbols`` of ``key``, from what is before to what is behind.
 
     ``takes``: the suffixes to induce; ``seeds``: known suffixes in order, behind the induced ones of their symbol, with what
@@ -124,7 +124,8 @@ def _sweep(key: np.ndarray, takes: np.ndarray, run: np.ndarray, seeds: np.ndarra
         pushes &= to >= symbol
         if high - low > 1:
             least = np.full(high - low, symbols)
-            np.minimum.at(least, symbol[pushes] - low, to[pushes])
+            some = np.flatnonzero(total)
+            least[some] = np.minimum.reduceat(np.where(pushes, to, symbols), (ends - total)[some])
             # The longest run of symbols that put nothing among themselves.
             good = int((np.minimum.accumulate(least) > np.arange(low, high)).sum())
             if good == 0:
@@ -134,7 +135,7 @@ def _sweep(key: np.ndarray, takes: np.ndarray, run: np.ndarray, seeds: np.ndarra
             size, high = int(ends[good - 1]), low + good
             suffix, shared, before, to, pushes = suffix[:size], shared[:size], before[:size], to[:size], pushes[:size]
         elif (to[pushes] == low).any():
-            _repeat(queue, low, key, takes, suffix[: int(count[0])], shared[: int(count[0])])
+            _repeat(queue, low, back, suffix[: int(count[0])], shared[: int(count[0])])
             count, place = queue.until_now(low, high)
             n = int(count[0])
             mine, with_ = queue.suffix[place], queue.shared[place]
@@ -166,35 +167,35 @@ def _push(queue: BucketQueue, rows: np.ndarray, before: np.ndarray, to: np.ndarr
     queue.push(keys, before[rows].astype(np.int32), between + 1)
 
 
-def _repeat(queue: BucketQueue, symbol: int, key: np.ndarray, takes: np.ndarray, suffix: np.ndarray, shared: np.ndarray) -> None:
-    """Suffixes of one symbol that put further ones under the same symbol, generation by generation."""
-    carried = None  # the least common prefix since the last row that put one; None before the first
-    while len(suffix):
-        before = suffix - 1
-        ok = (before >= 0) & takes[before] & (key[before] == symbol)
-        rows = np.flatnonzero(ok)
-        if not len(rows):
-            return
-        between = np.zeros(len(rows), np.int32)
-        between[1:] = _least_between(shared, rows[:-1], rows[1:])
-        if carried is not None:
-            between[0] = min(carried, int(shared[: rows[0] + 1].min()))
-        queue.push(np.full(len(rows), symbol), before[rows].astype(np.int32), between + 1)
-        rest = shared[rows[-1] + 1 :]
-        carried = int(rest.min()) if len(rest) else np.iinfo(np.int32).max
-        suffix, shared = before[rows], between + 1
-
-
-def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which suffixes are of type S, and how often each repeats its first symbol."""
+def _repeat(queue: BucketQueue, symbol: int, back: np.ndarray, suffix: np.ndarray, shared: np.ndarray) -> None:
+    """Suffixes of one symbol that put further ones under the same symbol: the runs of that symbol, all at once.
+
+    The g-th suffixes of the runs come after the (g - 1)-th, in the order of ``suffix``, those whose run is as long. Two neighbours
+    among them share g symbols more than the suffixes they come from; the first one and the one before it share g symbols.
+    """
+    left = back[suffix]
+    row = np.repeat(np.arange(len(suffix)), left)
+    step = _ranges(np.ones(len(suffix), np.int64), left)
+    order = np.argsort(step, kind="stable")
+    row, step = row[order], step[order]
+    between = np.zeros(len(row), np.int32)
+    same = np.flatnonzero(step[1:] == step[:-1]) + 1
+    between[same] = _least_between(shared, row[same - 1], row[same])
+    queue.push(np.full(len(row), symbol), (suffix[row] - step).astype(np.int32), between + step)
+
+
+def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which suffixes are of type S, how often each repeats its first symbol, and how often that symbol stands before it."""
     n = len(text)
     change = np.flatnonzero(np.concatenate((text[1:] != text[:-1], [True])))
-    last = np.repeat(change, np.diff(np.concatenate(([-1], change))))  # where the run of each place ends
+    lengths = np.diff(np.concatenate(([-1], change)))
+    last = np.repeat(change, lengths)  # where the run of each place ends
     small = np.zeros(n, bool)
     inner = last < n - 1
     small[inner] = text[last[inner]] < text[last[inner] + 1]
     small |= text == 0
-    return small, (last - np.arange(n) + 1).astype(np.int32)
+    run = last - np.arange(n) + 1
+    return small, run.astype(np.int32), (np.repeat(lengths, lengths) - run).astype(np.int32)
 
 
 def _names(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, symbols: int) -> tuple[np.ndarray, bool]:
@@ -240,7 +241,7 @@ def sorted_suffixes(text: np.ndarray, symbols: int, memory: int = MEMORY) -> tup
     n = len(text)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    small, run = _types(text)
+    small, run, back = _types(text)
     run[text == 0] = 0
     seeds = np.flatnonzero((small & np.concatenate(([False], ~small[:-1]))) | (text == 0))
     # Order the seeds: by their names, or by the order of the text of the names.
@@ -255,7 +256,7 @@ def sorted_suffixes(text: np.ndarray, symbols: int, memory: int = MEMORY) -> tup
         # Equal names stand for as many symbols as lie between their seeds; behind them one piece decides.
         seed_shared[1:] = _shared(text, seeds, order, names_shared)
     large = ~small
-    up = _sweep(text, large, run, ordered, seed_shared, symbols, memory)
+    up = _sweep(text, large, run, back, ordered, seed_shared, symbols, memory)
     # The way down is the way up with the symbols turned round; the induced L, turned round as well, are its seeds.
     turned = symbols - 1 - text
     large_order = up.suffix[::-1].astype(np.int64)
@@ -263,7 +264,7 @@ def sorted_suffixes(text: np.ndarray, symbols: int, memory: int = MEMORY) -> tup
     large_shared[1:] = up.shared[:0:-1]
     takes = small & (text > 0)
     zeros = np.flatnonzero(text == 0)
-    down = _sweep(turned, takes, run, large_order, large_shared, symbols, memory)
+    down = _sweep(turned, takes, run, back, large_order, large_shared, symbols, memory)
     # Of each symbol the L, then the S from least to greatest.
     suffix = np.empty(n, np.int64)
     shared = np.zeros(n, np.int32)

@@ -6,7 +6,7 @@ the bytes they cover. Then:
 
 1. Units that are equal as a whole are counted, with a combine before the shuffle: of copies of any number no text moves.
 2. Of the units with one anchor that differ, one of each kind goes to the shard of the anchor. There an external induced sort
-   (``induced_sort``) gives suffix array and common prefixes; windows that share ``WINDOW`` bytes with a neighbour repeat.
+   (``induced_sort``) of all windows that may repeat gives suffix array and common prefixes; windows that share ``WINDOW`` bytes with a neighbour repeat.
 3. An anchor with more than ``MOST`` different units is not gathered: its units are cut by the distance from window to anchor,
    ``WIDTHS`` windows to a piece, and dealt out by the bytes that all windows of the piece have in common, until single windows
    are left, which step 1 settles. So no shard grows with the number of documents that share a passage.
@@ -174,6 +174,8 @@ def _with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_windows(regions: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that start more than once in a shard: number of the region, first window, number of windows."""
+    if not regions:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     lengths = np.array([len(r) + 1 for r in regions])
     text = np.frombuffer(b"\0".join(regions) + b"\0", np.uint8).astype(np.int32) + 1
     ends = np.cumsum(lengths) - 1
@@ -192,6 +194,43 @@ def repeated_windows(regions: list[bytes], window: int = WINDOW) -> tuple[np.nda
     return region[first], places[first] - (ends - lengths + 1)[region[first]], count
 
 
+def _sifted(data: np.ndarray, first: np.ndarray, rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows that may repeat: number of the unit, first and last window of each stretch.
+
+    Windows at nearly the same distance from their anchor have most of their bytes in common; where no other unit of the
+    anchor has these bytes, none of the windows can repeat and they are not sorted.
+    """
+    width = WIDTHS[0]
+    lead, windows, gram = (rows.column(n).to_numpy().astype(np.int64) for n in ("lead", "windows", "gram"))
+    low, high = (lead - windows + 1) // width, lead // width
+    counts = high - low + 1
+    unit = np.repeat(np.arange(len(lead)), counts)
+    block = high[unit] - (np.arange(len(unit)) - np.repeat(np.cumsum(counts) - counts, counts))  # windows in order
+    near = lead[unit] - block * width
+    begin = first[unit] + near
+    told = np.empty(len(unit), np.uint64)
+    length, row = WINDOW - width + 1, 0
+    while row < len(unit):  # a bounded piece of the bytes at a time
+        stop = max(row + 1, int(np.searchsorted(begin, begin[row] + BLOCK)))
+        at, low = begin[row:stop], int(begin[row:stop].min())
+        part = data[low : int(at.max()) + length]
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE[part] * powers(_BASE, len(part)), out=sums[1:])
+            told[row:stop] = (sums[at - low + length] - sums[at - low]) * powers(_INVERSE, len(part))[at - low]
+        row = stop
+    with np.errstate(over="ignore"):
+        told = mixed(told) ^ mixed(gram[unit].view(np.uint64) + block.astype(np.uint64) * U(0x9E3779B97F4A7C15))
+    _, which, often = np.unique(told, return_inverse=True, return_counts=True)
+    kept = often[which] > 1
+    unit, a, z = unit[kept], np.maximum(near - width + 1, 0)[kept], np.minimum(near, windows[unit] - 1)[kept]
+    new = np.ones(len(unit), bool)
+    new[1:] = (unit[1:] != unit[:-1]) | (a[1:] > z[:-1] + 1)
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(unit))[: len(begin)] - 1
+    return unit[begin], a[begin], z[last]
+
+
 def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key, start, windows`` of the runs that repeat, of whole anchors, some anchors at a time."""
     held: list[pa.Table] = []
@@ -207,8 +246,13 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sorted_shard(held: list[pa.Table]) -> pa.RecordBatch:
-    rows = pa.concat_tables(held)
-    region, first, count = repeated_windows(rows.column("bytes").to_pylist())
+    rows = pa.concat_tables(held).combine_chunks()
+    chunk = rows.column("bytes").combine_chunks()
+    raw, offsets = utf8_buffers(chunk.cast(pa.large_binary()).view(pa.large_string()))
+    unit, a, z = _sifted(raw, offsets[:-1], rows)
+    view = memoryview(np.ascontiguousarray(raw))
+    stretch, first, count = repeated_windows([view[x:y].tobytes() for x, y in zip((offsets[unit] + a).tolist(), (offsets[unit] + z + WINDOW).tolist(), strict=True)])
+    region, first = unit[stretch], a[stretch] + first
     # A unit with copies has been told as a whole.
     single = rows.column("copies").to_numpy()[region] == 1 if len(region) else np.zeros(0, bool)
     region, first, count = region[single], first[single], count[single]
@@ -279,7 +323,7 @@ def repeats(docs: DataFrame, most: int = MOST) -> tuple[DataFrame, DataFrame]:
     for round_, width in enumerate([*WIDTHS, None]):
         # A repeated row gives its units again; anchors stay whole.
         few = cut.where(F.col("kinds") <= most).dropDuplicates(["gram", "region"])
-        slim = few.select("key", "start", "copies", "gram", "bytes").repartition("gram").sortWithinPartitions("gram")
+        slim = few.select("key", "start", "windows", "lead", "copies", "gram", "bytes").repartition("gram").sortWithinPartitions("gram")
         found.append(materialise(slim.mapInArrow(lean(_sort_shards), "key binary, start int, windows int"), "repeats"))
         hot = cut.where(F.col("kinds") > most)
         if width is None or hot.isEmpty():
