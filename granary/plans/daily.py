@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from granary.functions.dates import month_start, stamp as stamp_of, trailing_months
 from granary.operators.journal import IN_WORK, NEW, SUCCESS, load_counts, pending_loads, readiness, status_events
 from granary.operators.replace import overwrite_partitions
-from granary.plans import chains, loads, stock
-from granary.session import discard, materialise
+from granary.plans import chain_store, chains, loads, stock
+from granary.session import materialise
 from granary.sources import sinks
 
 # Table names of the warehouse.
@@ -63,48 +63,37 @@ def run_stock(spark: SparkSession, folder: str, as_of: dt.date, count: int = 12)
     overwrite_partitions(enriched, _path(folder, "enriched"), "sca_period", months)
 
 
-def read_chains(spark: SparkSession, folder: str) -> DataFrame:
-    """The chain table in its newest whole version; without any, the plain table that the folder began with."""
-    newest = _versions(spark, folder)[-1:]
-    return spark.read.schema(chains.CHAIN_SCHEMA).parquet(*newest or [_path(folder, "chains")])
-
+def _chain_store(spark: SparkSession, folder: str) -> chain_store.ChainStore:
+    return chain_store.ChainStore(spark, f"{_path(folder, 'chains')}_versions")
 
-def _versions(spark: SparkSession, folder: str) -> list[str]:
-    """Folders of finished versions, oldest first. A version counts from the moment its ``_SUCCESS`` mark is there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_path(folder, 'chains')}_versions/*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted(status.getPath().getParent().toString() for status in found)
 
-
-def _write_chains(grown: DataFrame, folder: str) -> None:
-    """Write the new version beside the old ones, then drop all but the last two; a crash in between loses nothing."""
-    spark = grown.sparkSession
-    done = _versions(spark, folder)
-    number = int(done[-1].rsplit("v", 1)[1]) + 1 if done else 1
-    grown.write.mode("overwrite").parquet(f"{_path(folder, 'chains')}_versions/v{number:09d}")
-    for old in done[:-1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(old)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def read_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """The chain table in its newest version; before the first load, the plain table that the folder began with."""
+    store = _chain_store(spark, folder)
+    if store.facts():
+        return chain_store.read_chains(spark, store.folder)
+    return spark.read.schema(chains.CHAIN_SCHEMA).parquet(_path(folder, "chains"))
 
 
 def run_chains(spark: SparkSession, folder: str, now: dt.datetime) -> list[str]:
     """Run the pending demand-log loads in the order of their creation; returns their ids.
 
-    A load is logged as in work before and as done after its chains are written, so an interrupted load
-    is taken up again; running a load twice changes nothing.
+    A load is logged as in work before and as done after its version of the chains is there, so an interrupted load
+    is taken up again; the version names its load, so one that was done but not logged is not run twice.
     """
     journal = _read(spark, folder, "journal")
     todo = pending_loads(journal, CHAIN_FLOW, CHAIN_LEVEL, (NEW, IN_WORK)).orderBy("created", "load_id")
     stamp = stamp_of(now)
-    done = []
+    store, done = _chain_store(spark, folder), []
     for load in [row["load_id"] for row in todo.collect()]:
         log = _read(spark, folder, "demand_log").where(F.col("load_id") == load)
         one = spark.createDataFrame([(load,)], "load_id string")
         counts = load_counts(log)
         _log(status_events(one, CHAIN_FLOW, CHAIN_LEVEL, IN_WORK, stamp, counts), folder)
-        grown = materialise(chains.extended_chains(read_chains(spark, folder), log, now), "chains")
-        _write_chains(grown, folder)
-        discard(grown)
+        if not store.facts():
+            store.adopt(read_chains(spark, folder))
+        if store.facts().get("load") != load:
+            store.load(log, now, load=load)
         _log(status_events(one, CHAIN_FLOW, CHAIN_LEVEL, SUCCESS, stamp, counts), folder)
         done.append(load)
     return done

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from granary.functions.dates import stamp
 from granary.functions.numbers import ratio
 from granary.operators.joins import left_join_many
-from granary.plans import chains, daily, demand as plan
+from granary.operators.versions import Versions
+from granary.plans import chain_store, chains, daily, demand as plan
 from granary.session import materialise, new_path
 from granary.sources.sinks import named_view
+from granary.streaming.loads import run_available
 from workload import fixtures as fx
 from workload.registry import query
 from workload.stock_queries import half_up
@@ -241,6 +245,106 @@ def journal_of_the_chain_run(spark, sf):
     return journal.withColumns({c: _text(c) for c in ("crea_datetime", "last_delta_ts")})
 
 
+# Four loads at four times: orders of two years each, the rest, and the last two days.
+_CUTS = ["1995-01-01", "1997-01-01", "1999-01-01", "2001-07-31", "2100-01-01"]
+_LOADS = [f"Q{k}" for k in range(4)]
+
+
+def _load_time(load):
+    return fx.NOW + dt.timedelta(days=int(load[1:]))
+
+
+def _log_of_four(spark, sf):
+    date = F.col("pl_udate")
+    named = F.coalesce(*[F.when((date >= a) & (date < b), F.lit(load)) for load, a, b in zip(_LOADS, _CUTS, _CUTS[1:], strict=False)])
+    return fx.log(spark, sf).withColumn("load_id", named)
+
+
+def _four_loads_sql():
+    """The rules load by load: items of a load that are known stand for their chain, the others for themselves."""
+    steps = ["chain_0 AS (SELECT NULL::BIGINT AS a, NULL::BIGINT AS b, NULL::DATE AS d, NULL::VARCHAR AS t, NULL::BIGINT AS chain_id, NULL::VARCHAR AS stamp WHERE false)"]
+    for k, load in enumerate(_LOADS, 1):
+        stamp = f"'{_load_time(load):%Y-%m-%d %H:%M:%S}'"
+        steps.append(f"""
+  rows_{k} AS MATERIALIZED (SELECT DISTINCT pl_udate, pl_utime, pl_rsnum, pl_rspos, pl_rsnum_new, pl_rspos_new,
+      dense_rank() OVER (ORDER BY pl_udate, pl_utime, pl_rsnum, pl_rspos, pl_rsnum_new, pl_rspos_new) AS seq,
+      pl_rsnum_new = 0 AND pl_rspos_new = 0 AS ends, (pl_rsnum, pl_rspos) = (pl_rsnum_new, pl_rspos_new) AS itself
+    FROM fx_log WHERE pl_udate >= DATE '{_CUTS[k - 1]}' AND pl_udate < DATE '{_CUTS[k]}'),
+  node_{k} AS MATERIALIZED (SELECT i.a, i.b, i.seq, c.chain_id AS old_id FROM (
+      SELECT a, b, min(seq) AS seq FROM (SELECT pl_rsnum AS a, pl_rspos AS b, seq FROM rows_{k} UNION ALL
+        SELECT pl_rsnum_new, pl_rspos_new, seq FROM rows_{k} WHERE NOT ends) GROUP BY 1, 2) i
+    LEFT JOIN chain_{k - 1} c ON c.a = i.a AND c.b = i.b),
+  opened_{k} AS MATERIALIZED (SELECT seq, (SELECT coalesce(max(chain_id), 0) FROM chain_{k - 1}) + row_number() OVER (ORDER BY seq) AS chain_id
+    FROM (SELECT seq, count(*) AS n FROM node_{k} WHERE old_id IS NULL GROUP BY 1) JOIN rows_{k} USING (seq) WHERE n = CASE WHEN ends OR itself THEN 1 ELSE 2 END),
+  label_{k} AS MATERIALIZED (SELECT a, b, seq, old_id, CASE WHEN old_id IS NOT NULL THEN 'c' || old_id ELSE a || '/' || b END AS l,
+      coalesce(old_id, o.chain_id) AS v FROM node_{k} LEFT JOIN opened_{k} o USING (seq)),
+  edge_{k} AS MATERIALIZED (SELECT x.l AS u, y.l AS v FROM rows_{k} JOIN label_{k} x ON x.a = pl_rsnum AND x.b = pl_rspos
+      JOIN label_{k} y ON y.a = pl_rsnum_new AND y.b = pl_rspos_new WHERE NOT ends AND NOT itself
+    UNION SELECT y.l, x.l FROM rows_{k} JOIN label_{k} x ON x.a = pl_rsnum AND x.b = pl_rspos
+      JOIN label_{k} y ON y.a = pl_rsnum_new AND y.b = pl_rspos_new WHERE NOT ends AND NOT itself),
+  reach_{k} AS (SELECT l, l AS m FROM label_{k} UNION SELECT r.l, e.v FROM reach_{k} r JOIN edge_{k} e ON e.u = r.m),
+  root_{k} AS MATERIALIZED (SELECT r.l, min(x.v) AS chain_id FROM reach_{k} r JOIN label_{k} x ON x.l = r.m GROUP BY 1),
+  chain_{k} AS MATERIALIZED (SELECT c.a, c.b, c.d, c.t, coalesce(r.chain_id, c.chain_id) AS chain_id,
+      CASE WHEN r.chain_id < c.chain_id THEN {stamp} ELSE c.stamp END AS stamp
+    FROM chain_{k - 1} c LEFT JOIN root_{k} r ON r.l = 'c' || c.chain_id
+    UNION ALL SELECT x.a, x.b, pl_udate, pl_utime, r.chain_id, {stamp} FROM label_{k} x JOIN rows_{k} USING (seq) JOIN root_{k} r ON r.l = x.l WHERE old_id IS NULL)""")
+    return "WITH RECURSIVE " + ",\n".join(steps)
+
+
+_FOUR_LOADS = _four_loads_sql()
+_FOUR_CHAINS = _FOUR_LOADS + """
+  SELECT a AS plc_rsnum, b AS plc_rspos, d AS plc_udate, t AS plc_utime, chain_id, stamp AS plc_lchg_date_time FROM chain_4"""
+
+
+@query("G1 G5 B9 (four loads at four times: numbers and stamps)", _FOUR_CHAINS)
+def chain_numbers_and_stamps_by_load(spark, sf):
+    folder = new_path(spark, "warehouse")
+    log = materialise(_log_of_four(spark, sf), "log")
+    log.write.parquet(f"{folder}/{daily.TABLES['demand_log']}")
+    chains.no_chains(spark).write.parquet(f"{folder}/{daily.TABLES['chains']}")
+    for load in _LOADS:
+        event = [F.lit(v).alias(n) for n, v in (("flow_id", daily.CHAIN_FLOW), ("target_lvl", daily.CHAIN_LEVEL), ("load_id", load), ("stg_status", "N"))]
+        new = spark.range(1).select(*event, F.lit(None).cast("bigint").alias("row_count"), F.lit(_load_time(load)).alias("crea_datetime"))
+        new.write.mode("append").parquet(f"{folder}/{daily.TABLES['journal']}")
+        daily.run_chains(spark, folder, _load_time(load))
+    done = daily.read_chains(spark, folder)
+    return done.withColumn("plc_lchg_date_time", _text("plc_lchg_date_time"))
+
+
+@query("T1 G1 (two arrivals, both handed out again)", _FOUR_CHAINS)
+def chains_from_a_stream(spark, sf):
+    log = materialise(_log_of_four(spark, sf), "log")
+    source, target, checkpoint = (new_path(spark, n) for n in ("log-files", "chain-store", "stream-checkpoint"))
+    handle = chain_store.chain_batches(target, _load_time)
+    early = F.col("load_id") <= "Q1"
+    for part in (early, ~early):
+        log.where(part).write.mode("append").parquet(source)
+        run_available(spark, source, log.schema, checkpoint, handle)
+    handle(log.where(~early), 1)
+    handle(log.where(early), 0)
+    return chain_store.read_chains(spark, target).withColumn("plc_lchg_date_time", _text("plc_lchg_date_time"))
+
+
+@query("G1 M10 B9 (rows that each of four loads writes; the last one opens a part of the store)", _FOUR_LOADS + " " + " UNION ALL ".join(f"""
+  SELECT '{load}' AS load_id, (SELECT count(*) FROM label_{k} WHERE old_id IS NULL) AS new_items,
+    (SELECT count(*) FROM (SELECT l, chain_id FROM root_{k} WHERE starts_with(l, 'c')) WHERE chain_id < CAST(substr(l, 2) AS BIGINT)) AS chains_moved,
+    {'true' if k == 4 else 'NULL::BOOLEAN'} AS opens_a_part""" for k, load in enumerate(_LOADS, 1)))
+def rows_written_by_chain_loads(spark, sf):
+    log = materialise(_log_of_four(spark, sf), "log")
+    # Buckets that suit the size of the table: about a hundred of them before the last load.
+    items = log.select("pl_rsnum", "pl_rspos").distinct().count()
+    store = chain_store.ChainStore(spark, new_path(spark, "chain-store"), max(10, items // 60))
+    rows = []
+    for load in _LOADS:
+        before = Versions(spark, store.folder)
+        held = before.size_of([p for t in before.tables.values() for b in t.buckets.values() for p in b.paths])
+        report = store.load(log.where(F.col("load_id") == load), _load_time(load))
+        # A folded load reads and writes all items; that is told by its report and not counted as this load's own rows.
+        part = report.folded or report.read + report.written < held / 2
+        rows.append((load, report.items, report.moves, part if load == _LOADS[-1] else None))
+    return spark.createDataFrame(rows, "load_id string, new_items bigint, chains_moved bigint, opens_a_part boolean")
+
+
 @query("G2 G3 J15", """
   SELECT a, b, bool_or(ends) AS ends, bool_or(itself) AS itself FROM fx_items i JOIN fx_rows r ON r.pl_rsnum = i.a AND r.pl_rspos = i.b GROUP BY 1, 2""")
 def terminal_and_self_rows(spark, sf):
