@@ -40,7 +40,7 @@ class Bucket:
 
 @dataclass
 class Table:
-    """The state of a table in one version: its schema, its key and its buckets (one where it has no key)."""
+    """The state of a table in one version: its schema, its key and its buckets (slices by value where it has no key)."""
 
     schema: str
     keys: list[str] = field(default_factory=list)
@@ -56,7 +56,8 @@ def _name_at(depth: int, hashed: Column) -> Column:
 
 
 def _hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+    """Keys are columns or expressions over them."""
+    return F.xxhash64(*[F.expr(k) for k in keys]) if keys else F.lit(0).cast("bigint")
 
 
 class Versions:
@@ -88,7 +89,7 @@ class Versions:
         read = json.loads("\n".join(r[0] for r in self.spark.read.text(path, wholetext=True).collect()))
         self.version, self.facts = read["version"], read["facts"]
         self.tables = {
-            name: Table(t["schema"], t["keys"], {b.name: b for b in (Bucket(d, p, n, tuple(paths)) for d, p, n, paths in t["buckets"])})
+            name: Table(t["schema"], t["keys"], {b: Bucket(d, p, n, tuple(paths)) for b, d, p, n, paths in t["buckets"]})
             for name, t in read["tables"].items()
         }
 
@@ -108,7 +109,7 @@ class Versions:
     def read(self, name: str, only: Sequence[str] | None = None) -> DataFrame:
         """A table, or some of its buckets."""
         table = self.tables[name]
-        paths = [p for b in table.buckets.values() if only is None or b.name in only for p in b.paths]
+        paths = [p for n, b in table.buckets.items() if only is None or n in only for p in b.paths]
         schema = T.StructType.fromJson(json.loads(table.schema))
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
@@ -149,8 +150,7 @@ class Change(Versions):
             self.tables[name] = Table(schema.json(), list(keys), {"d0p0": Bucket()})
 
     def read(self, name: str, only: Sequence[str] | None = None) -> DataFrame:
-        buckets = self.tables[name].buckets.values()
-        self.opened.update(p for b in buckets if only is None or b.name in only for p in b.paths)
+        self.opened.update(p for n, b in self.tables[name].buckets.items() if only is None or n in only for p in b.paths)
         return super().read(name, only)
 
     def _new_folder(self) -> str:
@@ -198,6 +198,19 @@ class Change(Versions):
         for child, (n, _, path) in self._write(name, content.withColumn(LEAF, _name_at(depth, _hash(self.tables[name].keys)))).items():
             buckets[child] = Bucket(depth, buckets[child].prefix, n, (path,))
 
+    def slices(self, name: str, rows: DataFrame, column: str, values: Sequence) -> None:
+        """Replace the slices ``values`` of ``column`` by ``rows``; a slice without rows is emptied, the others are not touched."""
+        if name not in self.tables:
+            self.tables[name] = Table(rows.schema.json())
+        buckets = self.tables[name].buckets
+        new = self._write(name, rows.withColumn(LEAF, F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+        for value in {*map(str, values), *new}:
+            count, _, path = new.get(value, (0, 0, None))
+            if path:
+                buckets[value] = Bucket(0, 0, count, (path,))
+            else:
+                buckets.pop(value, None)
+
     def append(self, name: str, rows: DataFrame) -> int:
         """Add rows: new files beside the old ones. Only a bucket with too many rows or files is written anew."""
         buckets = self.tables[name].buckets
@@ -235,7 +248,7 @@ class Change(Versions):
     def commit(self, **facts) -> None:
         """Make the new version the newest. Versions but the last two go, with the files only they name."""
         tables = {
-            name: {"schema": t.schema, "keys": t.keys, "buckets": [[b.depth, b.prefix, b.rows, list(b.paths)] for b in t.buckets.values()]}
+            name: {"schema": t.schema, "keys": t.keys, "buckets": [[n, b.depth, b.prefix, b.rows, list(b.paths)] for n, b in t.buckets.items()]}
             for name, t in self.tables.items()
         }
         self.facts = self.facts | facts

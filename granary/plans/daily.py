@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from granary.functions.dates import month_start, stamp as stamp_of, trailing_months
 from granary.operators.journal import IN_WORK, NEW, SUCCESS, load_counts, pending_loads, readiness, status_events
-from granary.operators.replace import overwrite_partitions
+from granary.operators.versions import Change, Versions
 from granary.plans import chain_store, chains, loads, stock
-from granary.session import materialise
+from granary.session import discard, materialise
 from granary.sources import sinks
 
 # Table names of the warehouse.
@@ -46,21 +46,37 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.option("mergeSchema", name == "journal").parquet(_path(folder, name))
 
 
+def _marts(folder: str) -> str:
+    return f"{folder}/marts_versions"
+
+
+def read_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A mart in the newest version of the marts; before the first run, the plain table that the folder began with."""
+    store = Versions(spark, _marts(folder))
+    table = TABLES.get(name, name)
+    return store.read(table) if table in store.tables else _read(spark, folder, name)
+
+
 def _log(events: DataFrame, folder: str) -> None:
     sinks.append(events, _path(folder, "journal"))
 
 
 def run_stock(spark: SparkSession, folder: str, as_of: dt.date, count: int = 12) -> None:
-    """Recalculate the category tables of ``count`` months; a second run gives the same tables."""
-    names = ["stock", "required", "warehouses", "calendar", "materials", "material_groups", "divisions", "division_pairs"]
-    tables = [_read(spark, folder, n) for n in names]
+    """Recalculate the category tables of ``count`` months; a second run gives the same tables.
+
+    Both tables switch to the new months with one version, so a run that breaks off leaves both as they were.
+    """
+    names = ["stock", "required", "warehouses", "calendar", "materials", "material_groups", "divisions"]
+    tables = [*[_read(spark, folder, n) for n in names], read_mart(spark, folder, "division_pairs")]
     months = trailing_months(as_of, count)
     period = month_start("sca_date")
     categories = materialise(stock.categorised(*tables[:4], months, as_of).withColumn("sca_period", period), "categories")
-    overwrite_partitions(categories.drop("sca_bwtar"), _path(folder, "categories"), "sca_period", months)
-    dimensions = [tables[2], *tables[4:]]
-    enriched = materialise(stock.enriched(categories, *dimensions), "enriched")
-    overwrite_partitions(enriched, _path(folder, "enriched"), "sca_period", months)
+    enriched = stock.enriched(categories, tables[2], *tables[4:])
+    change = Change(spark, _marts(folder))
+    change.slices(TABLES["categories"], categories.drop("sca_bwtar"), "sca_period", months)
+    change.slices(TABLES["enriched"], enriched, "sca_period", months)
+    change.commit()
+    discard(categories)
 
 
 def _chain_store(spark: SparkSession, folder: str) -> chain_store.ChainStore:
@@ -112,13 +128,16 @@ def run_snapshot(spark: SparkSession, folder: str, now: dt.datetime) -> None:
 
 
 def run_marts(spark: SparkSession, folder: str) -> None:
-    """Refill the division pairs and the two budget marts from their views."""
+    """Refill the division pairs and the two budget marts from their views; all three switch with one version."""
     views = {
         "divis": ("v_divis", DIVISION_PAIR),
         "mt_budget_stock": ("v_budget_stock", loads.BUDGET_STOCK),
         "mt_budget_movem": ("v_budget_movem", loads.BUDGET_MOVEMENT),
     }
-    loads.refresh_marts({mart: (_read(spark, folder, view), columns) for mart, (view, columns) in views.items()}, folder)
+    change = Change(spark, _marts(folder))
+    for mart, (view, columns) in views.items():
+        change.whole(mart, _read(spark, folder, view).select(*columns))
+    change.commit()
 
 
 def run_daily(spark: SparkSession, folder: str, now: dt.datetime) -> bool:

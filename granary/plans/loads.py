@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from granary.functions.dates import stamp as stamp_of
 from granary.functions.text import joined
 from granary.operators.journal import IN_WORK, SUCCESS, load_counts, pending_loads, status_events
-from granary.operators.replace import overwrite_partitions, without_keys
+from granary.operators.replace import without_keys
 from granary.operators.rows import numbered
+from granary.operators.versions import ROWS, Change, Versions
 from granary.session import discard, materialise
 from granary.sources import sinks
 
@@ -109,43 +110,34 @@ def _without_loads(core: DataFrame, batch: DataFrame) -> DataFrame:
     return core.join(again, core[SNAPSHOT_KEY].isNull() & (core["load_id"] == again["_load"]), "left_anti")
 
 
-#: Folders of a core table. A load rewrites those that its snapshots fall into; their number stays as it is.
-BUCKETS = 64
-BUCKET = "core_bucket"
-
-
-def _bucketed(rows: DataFrame) -> DataFrame:
-    """The folder of each row: by snapshot id, without one by load. The id itself stays a column, empty or not."""
-    place = F.when(F.col(SNAPSHOT_KEY).isNotNull(), F.xxhash64(SNAPSHOT_KEY)).otherwise(F.xxhash64("load_id"))
-    return rows.withColumn(BUCKET, F.pmod(place, F.lit(BUCKETS)).cast("int"))
+#: Where a row of the core lies: by snapshot id, without one by load. The id itself stays a column, empty or not.
+CORE_PLACE = f"coalesce({SNAPSHOT_KEY}, concat('load ', load_id))"
+CORE_TABLE = "core"
 
 
 def read_snapshots(like: DataFrame, path: str) -> DataFrame:
     """The core table at ``path``, with the columns of ``like``; no rows where there is no table yet."""
-    spark = like.sparkSession
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        return _bucketed(like.where(F.lit(False)))
-    schema = T.StructType([*like.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    return spark.read.schema(schema).parquet(path)
+    store = Versions(like.sparkSession, path)
+    return store.read(CORE_TABLE).select(*like.columns) if CORE_TABLE in store.tables else like.where(F.lit(False))
 
 
-def write_snapshot(fresh: DataFrame, path: str) -> None:
-    """Put the fresh rows into the core table at ``path``, reading and writing the folders they fall into only.
+def write_snapshot(fresh: DataFrame, path: str, rows: int = ROWS) -> dict[str, int]:
+    """Put the fresh rows into the core table at ``path``; bytes opened and written.
 
     A snapshot id of ``fresh`` replaces the rows of that id, also the empty text, which is an id like others. Rows without
-    an id replace those of their load. The new folders are written to the shared place first and moved in by Spark's own
-    commit; writing the same rows again changes nothing.
+    an id replace those of their load. Only the buckets that the fresh rows fall into are opened and written anew, and one that
+    has more than ``rows`` rows afterwards is split, so a load costs the same however large the core has grown. The new version
+    is seen as a whole or not at all; writing the same rows again changes nothing.
     """
-    fresh = materialise(_bucketed(fresh), "fresh")
-    touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]  # BUCKETS at most
-    old = read_snapshots(fresh.drop(BUCKET), path).where(F.col(BUCKET).isin(touched))
+    fresh = materialise(fresh, "fresh")
     unnamed = fresh.where(F.col(SNAPSHOT_KEY).isNull())
-    kept = _without_loads(without_keys(old, fresh, [SNAPSHOT_KEY]), unnamed)
-    new = materialise(kept.unionByName(fresh), "folders")
-    overwrite_partitions(new, path, BUCKET)
-    discard(new)
+    change = Change(fresh.sparkSession, path, rows)
+    change.table(CORE_TABLE, fresh.schema, [CORE_PLACE])
+    change.replace_groups(CORE_TABLE, fresh, lambda old: _without_loads(without_keys(old, fresh, [SNAPSHOT_KEY]), unnamed))
+    cost = change.cost()
+    change.commit()
     discard(fresh)
+    return cost
 
 
 def newer_rows(source: DataFrame, stamp: str, after: dt.datetime | str) -> DataFrame:

@@ -56,7 +56,7 @@ def snapshot_batches(like: DataFrame, journal: DataFrame, core: str, events: str
                 return  # later batches stand on this one
             earlier = logged.where(F.col("batch") < number).drop("batch")
             known = journal.unionByName(earlier, allowMissingColumns=True)
-        outcome = loads.snapshot_load(batch, loads.read_snapshots(like, core).drop(loads.BUCKET), known.join(brought, "load_id", "left_semi"), now, (NEW, IN_WORK))
+        outcome = loads.snapshot_load(batch, loads.read_snapshots(like, core), known.join(brought, "load_id", "left_semi"), now, (NEW, IN_WORK))
         logged = materialise(outcome.events, "events")
         loads.write_snapshot(outcome.fresh.select(*like.columns), core)
         logged.write.mode("overwrite").parquet(f"{events}/batch={number}")

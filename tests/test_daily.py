@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from granary.operators.journal import current_state
+from granary.operators.versions import Change
 from granary.plans import chains, daily, loads
 from workload import fixtures as fx
 
@@ -13,12 +15,11 @@ NOW = dt.datetime.combine(fx.AS_OF, dt.time(9))
 JOURNAL = "flow_id string, target_lvl string, load_id string, stg_status string, row_count bigint, crea_datetime timestamp"
 
 
-def content(spark, path):
-    df = spark.read.parquet(path)
+def content(df):
     return sorted(map(str, df.select(*sorted(df.columns)).collect()))
 
 
-def test_daily_run_is_repeatable(spark, tmp_path):
+def test_daily_run_is_repeatable(spark, tmp_path, monkeypatch):
     folder = str(tmp_path / "warehouse")
 
     def put(name, df):
@@ -43,15 +44,30 @@ def test_daily_run_is_repeatable(spark, tmp_path):
     ninth = spark.createDataFrame([("INT_09", "EDW", "X9", "S", 1, early)], JOURNAL)
     ninth.write.mode("append").parquet(f"{folder}/etl_delta_log")
     assert daily.run_daily(spark, folder, NOW)
-    marts = ["mt_stock_categ_calc", "mt_stock_categ_calc_enrich", "potr_log_chain_versions/v000000001", "mt_budget_stock", "divis"]
-    first = {m: content(spark, f"{folder}/{m}") for m in marts}
+    marts = ["categories", "enriched", "mt_budget_stock", "mt_budget_movem", "divis"]
+
+    def everything():
+        return {m: content(daily.read_mart(spark, folder, m)) for m in marts} | {"chains": content(daily.read_chains(spark, folder))}
+
+    first = everything()
     assert all(first.values())
     state = current_state(spark.read.parquet(f"{folder}/etl_delta_log")).where("flow_id = 'CALC_17'").first()
     assert (state["stg_status"], state["row_count"]) == ("S", log.count())
 
     # A second run finds no pending load and rewrites the same months.
     assert daily.run_daily(spark, folder, NOW)
-    assert {m: content(spark, f"{folder}/{m}") for m in marts} == first
+    assert everything() == first
+
+    # A run that breaks off between the two category tables, or between two marts, leaves all as they were.
+    whole, slices = Change.whole, Change.slices
+    with monkeypatch.context() as broken:
+        broken.setattr(Change, "slices", lambda self, name, *rest: slices(self, name, *rest) if name == daily.TABLES["categories"] else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            daily.run_stock(spark, folder, NOW.date().replace(day=1), 2)
+        broken.setattr(Change, "whole", lambda self, name, rows: whole(self, name, rows.limit(0)) if name == "divis" else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            daily.run_marts(spark, folder)
+    assert everything() == first
 
 
 def test_snapshot_run_replaces_its_groups_only(spark, tmp_path):
