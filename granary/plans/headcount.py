@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,6 +13,7 @@ from granary.functions.numbers import number_or_null, whole
 from granary.operators import reshape
 from granary.operators.rows import numbered
 from granary.sources import sinks
+from granary.sources.records import data_records
 from granary.sources.tables import lines, quoted_cells
 
 # The ten text columns before the dated ones, as named in the long tables.
@@ -89,24 +89,8 @@ def _one_row(spark: SparkSession, line: str) -> DataFrame:
     return spark.createDataFrame([("", line)], "file string, line string")
 
 
-def _data_lines(spark: SparkSession, path: str, heading: Sequence[str]) -> DataFrame:
-    """All lines but the heading, in any split of the files.
-
-    Heading lines go by their place: only those in the split that begins a file are left out, and a file must give all of
-    them or none. A line with the text of a heading further down is data.
-    """
-    rows = lines(spark, path)
-    begins = F.col("_metadata.file_block_start") == 0
-    heads = rows.select(F.col("str"), F.col("_metadata.file_path").alias("file"), begins.alias("begins")).where("begins")
-    found = heads.where(F.col("str").isin(*heading)).groupBy("file").agg(F.count("*").alias("n"))
-    odd = found.where(F.col("n") != len(heading)).limit(1).collect()
-    if odd:
-        raise ValueError(f"{odd[0]['file']}: {odd[0]['n']} lines equal a heading line where {len(heading)} are expected")
-    return rows.where(~(begins & F.col("str").isin(*heading)))
-
-
 def _defect(line: Column, cells: int) -> Column:
-    """Why a data line cannot be split into its cells; NULL for a good one."""
+    """Why a record cannot be split into its cells; NULL for a good one."""
     outside = F.regexp_replace(line, '"[^"]*"', "")
     found = F.length(outside) - F.length(F.replace(outside, F.lit(";"), F.lit(""))) + 1
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
@@ -115,12 +99,12 @@ def _defect(line: Column, cells: int) -> Column:
 
 def _unreadable(columns: Sequence[str], kind: str) -> Column:
     """True where a measure is written but is no number."""
-    bad = [F.col(f"`{c}`").isNotNull() & (F.trim(F.col(f"`{c}`")) != "") & number_or_null(F.trim(F.col(f"`{c}`")), kind).isNull() for c in columns]
-    return reduce(lambda a, b: a | b, bad, F.lit(False))
+    written = F.array(*[F.trim(F.col(f"`{c}`")) for c in columns]) if columns else F.array().cast("array<string>")
+    return F.exists(written, lambda c: c.isNotNull() & (c != "") & number_or_null(c, kind).isNull())
 
 
 def _split(rows: DataFrame, names: Sequence[str], measured: Sequence[str], kind: str) -> DataFrame:
-    """The cells of each data line under ``names``, the line itself as ``_line`` and what is wrong with it as ``_reason``."""
+    """The cells of each record under ``names``, the record itself as ``_line`` and what is wrong with it as ``_reason``."""
     wide = quoted_cells(rows, "str", names, keep="_line")
     reason = F.coalesce(_defect(F.col("_line"), len(names)), F.when(_unreadable(measured, kind), "not a number"))
     return wide.withColumn("_reason", reason)
@@ -162,15 +146,15 @@ def two_line_groups(names: Sequence[str]) -> dict[str, dict[str, str | None]]:
 
 
 def rejected(wide: DataFrame) -> DataFrame:
-    """``line, reason`` of the lines that the readers leave out: an open quote (a line break inside a cell gives two), too many or
-    too few cells, a measure that is no number."""
+    """``line, reason`` of the records that the readers leave out: an open quote, too many or too few cells, a measure that is no
+    number."""
     return wide.where(F.col("_reason").isNotNull()).select(F.col("_line").alias("line"), F.col("_reason").alias("reason"))
 
 
 def _one_line_cells(spark: SparkSession, path: str, heading_path: str | None) -> tuple[DataFrame, list[str]]:
     (header,) = _heading(spark, heading_path or path, 1)
     names = _names(reshape.one_line_names(reshape.heading_cells(_one_row(spark, header), "line")))
-    wide = _split(_data_lines(spark, path, [header]), ID_COLUMNS + names[10:], _measured(one_line_groups(names[10:])), "int")
+    wide = _split(data_records(spark, path, [header]), ID_COLUMNS + names[10:], _measured(one_line_groups(names[10:])), "int")
     # The heading rule also drops rows whose first cell is empty.
     return wide.where(F.col(f"`{ID_COLUMNS[0]}`").isNotNull() | F.col("_reason").isNotNull()), names
 
@@ -193,7 +177,7 @@ def _two_line_cells(spark: SparkSession, path: str, heading_path: str | None, sk
     heading = _heading(spark, heading_path or path, skip)
     upper, lower = (reshape.heading_cells(_one_row(spark, line), "line") for line in heading[:2])
     names = _names(reshape.two_line_names(upper, lower))
-    return _split(_data_lines(spark, path, heading), ID_COLUMNS + names[10:], _measured(two_line_groups(names[10:])), "decimal(38,6)"), names
+    return _split(data_records(spark, path, heading), ID_COLUMNS + names[10:], _measured(two_line_groups(names[10:])), "decimal(38,6)"), names
 
 
 def rejects_of_two_lines(spark: SparkSession, path: str, heading_path: str | None = None, skip: int = 3) -> DataFrame:

@@ -25,13 +25,14 @@ def lines(spark: SparkSession, path: str, name: str = "str") -> DataFrame:
 def quoted_cells(rows: DataFrame, line: str, names: Sequence[str], separator: str = ";", quote: str = '"', keep: str | None = None) -> DataFrame:
     """Split quoted, separated lines into text columns called ``names``; an unquoted empty cell is NULL.
 
-    A quote inside a quoted cell is doubled. ``keep`` names a column for the line itself.
+    A quote inside a quoted cell is doubled. ``keep`` names a column for the line itself. The line is parsed once: the cells
+    leave the parser through ``inline``, where a projection of fields would be parsed anew for each of them.
     """
     places = [f"c{i}" for i in range(len(names))]
     schema = ", ".join(f"{p} STRING" for p in places)
     parsed = F.from_csv(F.col(line), F.lit(schema), {"sep": separator, "quote": quote, "escape": quote})
-    cells = rows.select(parsed.alias("_cells"), *([F.col(line).alias(keep)] if keep else []))
-    return cells.select(*[F.col(f"_cells.{p}").alias(n) for p, n in zip(places, names, strict=True)], *([keep] if keep else []))
+    cells = rows.select(*([F.col(line).alias(keep)] if keep else []), F.inline(F.array(parsed)))
+    return cells.select(*[F.col(p).alias(n) for p, n in zip(places, names, strict=True)], *([keep] if keep else []))
 
 
 def quoted_file(spark: SparkSession, path: str, names: Sequence[str], separator: str = ";", quote: str = '"') -> DataFrame:
