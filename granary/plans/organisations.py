@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from granary.functions.numbers import number_or_null
-from granary.operators.joins import left_join_many
+from granary.operators.joins import grid_product, left_join_many
 from granary.operators.rows import any_present, distinct_union, numbered, one_row_per_key
 from granary.session import materialise
 
@@ -119,15 +119,12 @@ def company_facts(
         partners = table.groupBy("inn").agg(F.count("*").alias(f"_times{place}"))
         rows = rows.join(partners, "inn", "left")
         times = times * F.coalesce(f"_times{place}", F.lit(1).cast("bigint"))
-    for table, columns in (
-        (income, ["income_75", "expenses_75"]),
-        (fines, ["fine_78"]),
-        (staff, ["employees_85"]),
-    ):
-        rows = left_join_many(rows, table.select("inn", *columns), ["inn"])
+    rows = rows.select("inn", "ogrn_id", "region_id", "okvad_id", times.alias("_times"))
+    measured = [income.select("inn", "income_75", "expenses_75"), fines.select("inn", "fine_78"), staff.select("inn", "employees_85")]
+    rows = grid_product(rows, measured, "inn")
     measures = ["income_75", "expenses_75", "fine_78", "employees_85"]
     rows = rows.where(any_present(*[F.col(m) for m in measures]))
-    repeated = F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("_n")
+    repeated = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))).alias("_n")
     return rows.select("ogrn_id", "region_id", "okvad_id", *measures, repeated).drop("_n")
 
 
@@ -143,9 +140,8 @@ def tax_facts(
 ) -> DataFrame:
     """Paid taxes and arrears per organisation, region, industry and tax name."""
     rows = _placed(dim, region_map, industry_map, region_dim, industry_dim)
-    rows = left_join_many(rows, paid.select("inn", "tax_name", "sum_nal"), ["inn"])
     owed = ["nedo_nal", "peni", "shtraf", "sum_nedo"]
-    rows = left_join_many(rows, arrears.select("inn", *owed), ["inn"])
+    rows = grid_product(rows, [paid.select("inn", "tax_name", "sum_nal"), arrears.select("inn", *owed)], "inn")
     rows = rows.where(any_present(*[F.col(m) for m in ["sum_nal", *owed]]))
     taxes = tax_dim.select(F.col("KEY").alias("nalog_id"), F.col("name").alias("tax_name"))
     rows = rows.join(taxes, "tax_name", "left")

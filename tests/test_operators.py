@@ -3,13 +3,14 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from granary.functions.numbers import ratio, whole
 from granary.functions.text import class_by_prefix, joined, joined_present
 from granary.operators import journal as log
 from granary.operators.components import component_roots
-from granary.operators.joins import left_join_many, salts_per_key, update_from
+from granary.operators.joins import grid_product, left_join_many, salts_per_key, update_from
 from granary.operators.replace import overwrite_partitions, read_partitions, replace_groups, without_batch
 from granary.operators.rows import distinct_union, numbered, one_row_per_key
 from granary.session import materialise, materialise_counted
@@ -182,3 +183,24 @@ def test_rows_are_counted_while_writing(spark):
 
 def test_literal_rows(spark):
     assert rows(tables.literal(spark, [[1, "a"], (2, None)], "x int, y string")) == [(1, "a"), (2, None)]
+
+
+@pytest.mark.parametrize("rows_per_block", [2, 1000])
+def test_grid_product_against_left_joins(spark, rows_per_block):
+    """Hot keys, keys without partners on one side or all, null keys and null cells, repeated rows."""
+    pick = random.Random(5)
+    key = lambda: pick.choice([None, "hot", "hot", "a", "b", "c", str(pick.randrange(20))])
+    sides = [[(key(), pick.choice([None, k % 7])) for k in range(n)] for n in (40, 60, 50)]
+    base, left, right = (spark.createDataFrame(rows, f"k string, {c} int") for rows, c in zip(sides, "xyz", strict=True))
+    base, left, right = (materialise(df, "side") for df in (base, left, right))
+    want = base.join(left, "k", "left").join(right, "k", "left").select("k", "x", "y", "z")
+    got = grid_product(base, [left, right], "k", rows_per_block)
+    assert got.columns == ["k", "x", "y", "z"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_grid_product_shuffles_its_input_only(spark):
+    """A key with 300 rows on each of three sides gives 27 million rows; its 27 cells hold blocks of about a hundred."""
+    side = lambda c: materialise(spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias(c)), "side")
+    got = grid_product(side("x"), [side("y"), side("z")], "k", 100)
+    assert got.count() == 300**3

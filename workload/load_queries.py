@@ -74,6 +74,17 @@ def snapshot_load_by_partition(spark, sf):
     return _whole(plan.read_snapshots(core, path))
 
 
+@query("D7 M2 J14 (a core of small buckets that split, load after load)", _CORE_SQL)
+def snapshot_core_in_buckets(spark, sf):
+    path, core = new_path(spark, "core"), materialise(_core(spark, sf), "core")
+    # About thirty buckets at the end, whatever the size of the table; the core comes in two parts before the load.
+    rows = max(20, core.count() // 20)
+    early = F.col("load_id") < "L1996"
+    for part in (core.where(early), core.where(~early), _snapshot_load(spark, sf).fresh):
+        plan.write_snapshot(part, path, rows)
+    return _whole(plan.read_snapshots(core, path))
+
+
 @query("D7 M2 (broken off after the write, run again)", _CORE_SQL)
 def snapshot_load_retried(spark, sf):
     path, core = new_path(spark, "core"), _core(spark, sf)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.dates import in_month, in_trailing_year, month_start, trailing_months
 from granary.operators.joins import update_from
+from granary.operators.versions import Change, Versions
 from granary.operators.replace import overwrite_partitions, read_partitions, replace_slice
 from granary.operators.rows import distinct_union
 from granary.plans import stock as plan
@@ -294,6 +295,33 @@ def months_replaced_in_a_table(spark, sf):
     return read_partitions(spark, path, rows.schema).drop("sca_period")
 
 
+@query("M1 B7 S12 (a run broken off between two tables, then whole)", """
+  WITH old AS (SELECT sca_date, sca_qty + 1 AS q FROM fx_categories WHERE sca_kat <> 3), new AS (SELECT sca_date, sca_qty AS q FROM fx_categories),
+  seen AS (SELECT 'broken' AS state, * FROM old UNION ALL SELECT 'whole', * FROM new)
+  SELECT state, name, count(*) AS "rows", CAST(sum(q) AS DOUBLE) AS qty FROM seen, (VALUES ('categories'), ('copies')) t(name) GROUP BY ALL""")
+def category_tables_switch_together(spark, sf):
+    rows = materialise(_categories(spark, sf).drop("sca_bwtar").withColumn("sca_period", month_start("sca_date")), "months")
+    folder, names = new_path(spark, "marts"), ("categories", "copies")
+    stale = rows.withColumn("sca_qty", F.col("sca_qty") + 1).where(F.col("sca_kat") != 3)
+
+    def run(fresh, tables):
+        change = Change(spark, folder)
+        for name in tables:
+            change.slices(name, fresh, "sca_period", MONTHS)
+        return change
+
+    def seen(state):
+        store = Versions(spark, folder)
+        parts = [store.read(n).select(F.lit(state).alias("state"), F.lit(n).alias("name"), "sca_qty") for n in names]
+        return materialise(parts[0].unionAll(parts[1]), "seen")
+
+    run(stale, names).commit()
+    run(rows, names[:1])  # broken off before the second table
+    broken = seen("broken")
+    run(rows, names).commit()
+    return broken.unionAll(seen("whole")).groupBy("state", "name").agg(F.count("*").alias("rows"), F.sum("sca_qty").cast("double").alias("qty"))
+
+
 @query("M1", f"""
   SELECT o_orderkey, CAST(CAST(CASE WHEN o_orderdate >= DATE '{AS_OF}' AND o_orderdate < DATE '{AS_OF}' + INTERVAL 1 MONTH
     THEN -o_totalprice ELSE o_totalprice END AS DECIMAL(18,2)) AS DOUBLE) AS price FROM orders""")
