@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from granary.operators.rows import one_row_per_key
 
@@ -19,6 +19,11 @@ from granary.operators.rows import one_row_per_key
 ROWS_PER_SALT = 1000
 
 
+def null_safe(pairs: dict[str, str]) -> Column:
+    """Join condition on pairs of column names, left to right, in which two nulls are equal."""
+    return reduce(lambda a, b: a & b, [F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`")) for a, b in pairs.items()])
+
+
 def salts_per_key(right: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Every key of ``right`` with the number of salts its rows are dealt over; one for an ordinary key."""
     return right.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_salt).cast("int").alias("_salts"))

@@ -11,6 +11,7 @@ from granary.functions import text
 from granary.functions.dates import dotted_date
 from granary.functions.numbers import number_or_null, whole
 from granary.operators import reshape
+from granary.operators.keys import registered
 from granary.operators.rows import numbered
 from granary.sources import sinks
 from granary.sources.records import data_records
@@ -218,6 +219,16 @@ def dictionary(df: DataFrame, column: str, extra: dict[str, str] | None = None)
     return keyed.select("KEY", "name", F.col("KEY").alias("ord"), *(extra or {}))
 
 
+def kept_dictionary(df: DataFrame, column: str, folder: str, extra: dict[str, str] | None = None) -> DataFrame:
+    """As :func:`dictionary`, for a refill: a value keeps the ``KEY`` that the registry in ``folder`` has for it.
+
+    ``ord`` is the place among the values of this refill, which changes when values come and go.
+    """
+    columns = {"name": column, **(extra or {})}
+    keyed = registered(df.select(*[F.col(f"`{c}`").alias(n) for n, c in columns.items()]), folder)
+    return numbered(keyed, list(columns), "ord").select("KEY", "name", "ord", *(extra or {}))
+
+
 # The dictionaries, the column each lists, and the further columns of its group.
 DICTIONARIES = {
     "t8646": ("Головная (да нет)", {}),

@@ -93,13 +93,11 @@ def total_stock(stock: DataFrame, months: Sequence[dt.date]) -> DataFrame:
     )
 
 
-def _ledger(stock: DataFrame, reqstock: DataFrame, warehouses: DataFrame, months: Sequence[dt.date], as_of: dt.date) -> DataFrame:
-    """Stock and required quantities per key and date, over the trailing year of every month."""
-    since = F.add_months(as_date(min(months)), -12)
-    until = F.add_months(as_date(max(months)), 1)
+def held_rows(stock: DataFrame) -> DataFrame:
+    """Stock rows in the form in which they are summed: key, date, valuation type and what counts towards which sum."""
     raw_divisions = F.col("st_o_divis").isNotNull() & F.col("st_r_divis").isNotNull()
     on_hand = _on_hand()
-    held = stock.where((F.col("st_date") > since) & (F.col("st_date") < until)).select(
+    return stock.select(
         *_stock_key(),
         F.col("st_qty").alias("any_qty"),
         F.when(on_hand, F.col("st_qty")).alias("qty"),
@@ -107,8 +105,29 @@ def _ledger(stock: DataFrame, reqstock: DataFrame, warehouses: DataFrame, months
         F.when(on_hand, 1).alias("held"),
         F.when(raw_divisions, F.col("st_bwtar")).alias("bwtar"),
     )
-    needed = required_rows(reqstock, as_of, since).where(F.col("date") < until).join(area_map(warehouses), "area")
-    needed = needed.dropna(subset=KEY).select(*KEY, "date", F.col("qty").alias("need"), F.lit(1).alias("needed"))
+
+
+def needed_rows(required: DataFrame, areas: DataFrame) -> DataFrame:
+    """Distinct required rows at the places of their areas, in the form in which they are summed."""
+    needed = required.join(areas, "area").dropna(subset=KEY)
+    return needed.select(*KEY, "date", F.col("qty").alias("need"), F.lit(1).alias("needed"))
+
+
+def reach_of(months: Sequence[dt.date]) -> tuple[Column, Column]:
+    """The dates that the trailing years of ``months`` need lie strictly between these two."""
+    return F.add_months(as_date(min(months)), -12), F.add_months(as_date(max(months)), 1)
+
+
+def _ledger(stock: DataFrame, reqstock: DataFrame, warehouses: DataFrame, months: Sequence[dt.date], as_of: dt.date) -> DataFrame:
+    """Stock and required quantities per key and date, over the trailing year of every month."""
+    since, until = reach_of(months)
+    held = held_rows(stock.where((F.col("st_date") > since) & (F.col("st_date") < until)))
+    required = required_rows(reqstock, as_of, since).where(F.col("date") < until)
+    return ledger_of(held, needed_rows(required, area_map(warehouses)))
+
+
+def ledger_of(held: DataFrame, needed: DataFrame) -> DataFrame:
+    """One row per key and date of rows or partial sums in the forms of :func:`held_rows` and :func:`needed_rows`."""
     by_type = (
         held.unionByName(needed, allowMissingColumns=True)
         .groupBy(*KEY, "date", "bwtar")
@@ -172,8 +191,12 @@ def categorised(
     neither) over the trailing year. As in the original rules the minimum runs over all plants of a
     division and material; ``per_plant`` keeps plants apart. ``as_of`` stands for the current date.
     """
+    return categories_of(_ledger(stock, reqstock, warehouses, months, as_of), calendar, months, per_plant)
+
+
+def categories_of(ledger: DataFrame, calendar: DataFrame, months: Sequence[dt.date], per_plant: bool = False) -> DataFrame:
+    """The kinds of :func:`categorised` from a ledger; a material needs no row of another one."""
     dates, per_month = _spine(calendar, months)
-    ledger = _ledger(stock, reqstock, warehouses, months, as_of)
     # At most two years of dates and of months: both sides are bounded by the calendar.
     ledger = ledger.join(F.broadcast(dates.withColumn("in_spine", F.lit(True))), "date", "left")
     ledger = ledger.withColumns({"month": month_number(F.col("date")), "reach": _window_month()})

@@ -229,6 +229,21 @@ def region_dictionary(spark, sf):
     return plan.dictionary_of(_part1(spark, sf), "t8657")
 
 
+@query("A13 W4 B14 B15 (refilled: known values keep their keys, new ones follow)", """
+  WITH first AS (SELECT DISTINCT st_matnr AS name FROM fx_stock WHERE st_date < DATE '1992-07-01'),
+    second AS (SELECT DISTINCT st_matnr AS name FROM fx_stock WHERE st_date >= DATE '1998-07-01')
+  SELECT coalesce(f.key, (SELECT count(*) FROM first) + n.key) AS "KEY", s.name, row_number() OVER (ORDER BY s.name) AS ord FROM second s
+  LEFT JOIN (SELECT name, row_number() OVER (ORDER BY name) AS key FROM first) f USING (name)
+  LEFT JOIN (SELECT name, row_number() OVER (ORDER BY name) AS key FROM second WHERE name NOT IN (SELECT name FROM first)) n USING (name)""")
+def dictionary_refilled(spark, sf):
+    folder, stock = new_path(spark, "registry"), fx.stock(spark, sf)
+    date = F.col("st_date")
+    for part in (stock.where(date < "1992-07-01"), stock.where(date >= "1998-07-01")):
+        # The second refill has new values and lacks some of the first.
+        filled = plan.kept_dictionary(part, "st_matnr", folder)
+    return filled
+
+
 @query("B14 A13 W4", _dictionary_sql('"Головная (да нет)"'))
 def head_office_dictionary(spark, sf):
     return plan.dictionary_of(_part1(spark, sf), "t8646")

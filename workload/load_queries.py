@@ -10,7 +10,8 @@ from granary.functions.dates import stamp, timestamp_or_null, without_zone
 from granary.functions.numbers import number_or_null
 from granary.operators import journal as log
 from granary.operators.replace import replace_groups, without_batch, without_keys
-from granary.plans import daily, loads as plan
+from granary.plans import daily, loads as plan, marks
+from granary.plans.journal_store import JournalStore
 from granary.session import materialise, new_path
 from granary.sources import pages, sinks, tables
 from granary.streaming.loads import into_batches, run_available, snapshot_batches
@@ -134,6 +135,19 @@ def current_state_of_loads(spark, sf):
     return _stamped(log.current_state(fx.flow_journal(spark, sf)), "crea_datetime")
 
 
+@query("D5 D6 D10 (from folded state and a tail of events)", f"""
+  SELECT flow_id, target_lvl, load_id, stg_status, row_count, strftime(crea_datetime, '%Y-%m-%d %H:%M:%S') AS crea_datetime,
+    strftime(created, '%Y-%m-%d %H:%M:%S') AS created FROM (SELECT *, min(crea_datetime) OVER (PARTITION BY flow_id, target_lvl, load_id) AS created FROM fx_flow_journal)
+  QUALIFY row_number() OVER (PARTITION BY flow_id, target_lvl, load_id ORDER BY crea_datetime DESC, {_STATE} DESC, row_count DESC) = 1""")
+def state_from_fold_and_tail(spark, sf):
+    events = materialise(fx.flow_journal(spark, sf), "events")
+    store = JournalStore(spark, new_path(spark, "journal"), length=3)
+    # Every load has events in several arrivals; the fourth one stays in the tail.
+    for kind in range(4):
+        store.append(events.where(F.pmod(F.xxhash64("row_count"), F.lit(4)) == kind))
+    return _stamped(store.state().drop("last_delta_ts"), "crea_datetime", "created")
+
+
 @query("D8", "SELECT aufnr, source_cd FROM fx_staged")
 def source_label(spark, sf):
     return plan.staged(fx.landing(spark, sf)).select("aufnr", "source_cd")
@@ -222,6 +236,24 @@ def newer_rows_appended(spark, sf):
     return spark.read.parquet(path)
 
 
+# Events arrive in three parts. Their stamps are cut to the hour; the errors of the hour at which a load ends arrive after it.
+_ENDS = ["2024-01-08 06:00:00", "2024-01-20 18:00:00"]
+_ARRIVAL = " ".join(f"WHEN hour < TIMESTAMP '{end}' OR (hour = TIMESTAMP '{end}' AND event_type <> 'error') THEN {k}" for k, end in enumerate(_ENDS, 1))
+
+
+@query("D1 D2 P13 (rows that arrive late with the stamp of the mark)", f"""
+  SELECT event_id, event_type, strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, CAST(CASE {_ARRIVAL} ELSE 3 END AS INTEGER) AS load
+  FROM (SELECT *, date_trunc('hour', ts) AS hour FROM events)""")
+def late_rows_at_the_mark(spark, sf):
+    events = fx.table(spark, sf, "events").select("event_id", "event_type", F.date_trunc("hour", "ts").alias("hour"))
+    events = materialise(events.withColumn("arrival", F.expr(f"CASE {_ARRIVAL} ELSE 3 END").cast("int")), "events")
+    path = new_path(spark, "marked")
+    for load in (1, 2, 3, 3):  # the last one finds nothing new
+        there = events.where(F.col("arrival") <= load).drop("arrival").withColumn("load", F.lit(load))
+        marks.load_from_mark(there, "hour", ["event_id"], path)
+    return _stamped(marks.read_loaded(spark, path), "hour")
+
+
 @query("D3 P14 P3 S11", f"SELECT event_id, '2024-01-25' AS load_date FROM events WHERE ts >= {_LAST} AND ts < TIMESTAMP '2024-01-25'")
 def slice_loaded(spark, sf):
     start, _ = _last_end(spark, sf)
@@ -328,6 +360,26 @@ def paged_full_load(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("S6 O5 B25 (the last page, by the fence index)", f"""
+  SELECT {', '.join(_STAFF)}, 1 AS ranges_read FROM customer ORDER BY c_custkey LIMIT 7 OFFSET (SELECT (count(*) - 1) // 7 * 7 FROM customer)""")
+def last_page_by_index(spark, sf):
+    path = new_path(spark, "indexed")
+    customer = fx.table(spark, sf, "customer").select(*_STAFF)
+    pages.write_ranges(customer, ["c_custkey"], path, 100)
+    skip = (pages.indexed_size(spark, path) - 1) // 7 * 7
+    # The page's last row lies in the last range; the page may begin in the one before.
+    read = len(pages.ranges_of_page(spark, path, pages.indexed_size(spark, path) - 1, 1))
+    return pages.indexed_page(spark, path, ["c_custkey"], skip, 7).withColumn("ranges_read", F.lit(read))
+
+
+@query("S6 O5 B25 (three pages put together)", f"SELECT {', '.join(_STAFF)} FROM customer ORDER BY c_custkey LIMIT 300 OFFSET 150")
+def neighbouring_pages_by_index(spark, sf):
+    path = new_path(spark, "indexed")
+    pages.write_ranges(fx.table(spark, sf, "customer").select(*_STAFF), ["c_custkey"], path, 100)
+    first, *others = [pages.indexed_page(spark, path, ["c_custkey"], skip, 100) for skip in (150, 250, 350)]
+    return first.unionAll(others[0]).unionAll(others[1])
+
+
 # Sinks.
 @query("S10", "SELECT o_orderkey, o_orderstatus FROM orders")
 def appended_in_parts(spark, sf):
