@@ -7,8 +7,9 @@ sentences above ``SENTENCE`` are reported as the offending ones.
 
 Words and their beginnings are hashed into ``2 ** BITS`` cells; a cell is a feature if it occurs in ``LEAST_TEXTS`` learned texts at least, in
 toxic ones ``TELLING`` times as often as in all. Learning
-looks at ``SAMPLE`` labelled documents at most, those with the least hashes of their ids, and of each at ``SENTENCES``
-sentences at places spread over the whole text. Scoring reads every sentence.
+looks at ``SAMPLE`` labelled documents at most, those with the least hashes of their ids, and among them at as many as have
+``CELLS`` features in their sentences together, so that what is learned from fits in the driver. Every learned document is
+read whole, as in scoring.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from granary.llm.tables import bounded_sample, held_out
 from granary.llm.decontamination import plain_words
@@ -27,7 +28,7 @@ from granary.llm.words import U, Words, lean, mixed, pieces
 from granary.session import materialise
 
 SAMPLE = 12_000
-SENTENCES = 400
+CELLS = 4_000_000
 BITS = 20
 #: Besides whole words their first bytes are features, for words that are made of others.
 BEGINNINGS = (4, 6)
@@ -83,7 +84,7 @@ def _distinct(cells: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 @lean
 def _learned_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, label, sizes, cells): the learned sentences of each text, with their numbers of cells."""
+    """Rows (doc_id, label, sizes, cells): the sentences of each text, with their numbers of cells."""
     for batch in batches:
         for part in pieces(batch):
             words = plain_words(part.column(1))
@@ -93,8 +94,7 @@ def _learned_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
             sizes, kept = [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                own = np.arange(a, b) if b - a <= SENTENCES else np.linspace(a, b - 1, SENTENCES).astype(np.int64)
-                found = [np.unique(cells[:, begin[s] : begin[s + 1]]).astype(np.int32) for s in own.tolist()]
+                found = [np.unique(cells[:, begin[s] : begin[s + 1]]).astype(np.int32) for s in range(a, b)]
                 sizes.append(np.array([len(f) for f in found], np.int32).tobytes())
                 kept.append(np.concatenate(found).tobytes() if found else b"")
             yield pa.record_batch([part.column(0), part.column(2), pa.array(sizes, pa.binary()), pa.array(kept, pa.binary())], ["doc_id", "label", "sizes", "cells"])
@@ -174,22 +174,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn
     """Learn from ``labels(doc_id, <label>)`` where ``learn`` holds (all rows if None).
 
     Rows with a null id or label or a null text are not learned from; an id with both labels counts as 1, repeated rows
-    count once. With no label at all every text gets the same low score.
+    count once, and of an id on rows with different texts the least text is learned. Empty texts are bags without a sentence;
+    very long ones are learned whole. With no label at all, or from an empty table, every text gets the same low score.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known if learn is None else known.where(learn)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = bounded_sample(known, "doc_id", SAMPLE)
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])  # at most SAMPLE ids
-    rows = materialise(texts.mapInArrow(_learned_texts, "doc_id bigint, label int, sizes binary, cells binary"), "toxicity-sample")
+    texts = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # at most SAMPLE ids
+    rows = materialise(texts.select("doc_id", "text", "label").mapInArrow(_learned_texts, "doc_id bigint, label int, sizes binary, cells binary"), "toxicity-sample")
     share = rows.agg(F.avg("label")).first()[0]
     if share is None:
         return ToxicityModel(np.zeros(1 << BITS, np.float32), -30.0, 0.01)
     # Only features that stand in toxic texts more often than in others can explain a label; there are 2**BITS cells.
     counts = rows.mapInArrow(_counted, "cell bigint, texts bigint, toxic bigint").groupBy("cell").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
     telling = counts.where((F.col("texts") >= LEAST_TEXTS) & (F.col("toxic") >= F.col("texts") * min(0.9, TELLING * share))).select("cell").toPandas()
-    found = rows.mapInArrow(_screened(telling["cell"].to_numpy()), "doc_id bigint, label int, empty int, sizes binary, cells binary").toPandas().sort_values("doc_id")
+    screened = rows.mapInArrow(_screened(telling["cell"].to_numpy()), "doc_id bigint, label int, empty int, sizes binary, cells binary")
+    screened = materialise(screened, "toxicity-cells")
+    # A running sum over the sample, SAMPLE rows at most. The first document is taken whatever its length.
+    so_far = F.sum(F.octet_length("cells") / 4).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    first = screened.select("doc_id", (so_far - F.octet_length("cells") / 4).alias("before")).where(F.col("before") <= CELLS)
+    found = screened.join(F.broadcast(first), "doc_id", "left_semi").toPandas().sort_values("doc_id")
     sizes = [np.frombuffer(bytes(s), np.int32) for s in found["sizes"]]
     flat = [np.frombuffer(bytes(c), np.int32) for c in found["cells"]]
     doc = np.repeat(np.arange(len(found)), [len(s) for s in sizes])
