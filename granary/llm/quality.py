@@ -100,7 +100,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", lear
     """Learn from ``labels(doc_id, <label>)`` where ``learn`` holds (all rows if None).
 
     Rows with a null id, label or text are not learned from; an id with both labels counts with the larger one, repeated
-    rows count once. Without a text of each label there is nothing to tell apart: the score is then the share of
+    rows count once, and of an id on rows with different texts the least text is learned. An excerpt of a very long text is
+    taken at any place of it. Without a text of each label there is nothing to tell apart: the score is then the share of
     label 1, or one half without labels.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
@@ -109,7 +110,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", lear
     known = bounded_sample(known, "doc_id", SAMPLE)
     texts = docs.where("text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
     # At most SAMPLE ids: this side is bounded.
-    texts = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    texts = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     sample = materialise(texts.withColumn("for_curve", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 1), "quality-sample")
     # Excerpts: one per text at a place given by its id; a class with few texts gives several of each.
     counts = {r[0]: r[1] for r in sample.where("not for_curve").groupBy("label").count().collect()}
@@ -119,7 +120,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", lear
         place = F.pmod(F.xxhash64("doc_id", "turn"), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1)
         cut = F.substring("text", (place + 1).cast("int"), F.lit(EXCERPT))
         some = sample.where(~F.col("for_curve") & (F.col("label") == value)).withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(min(times, 50)))))
-        rows = some.orderBy("turn", F.xxhash64("doc_id")).limit(EXCERPTS).select(cut.alias("cut")).collect()
+        # Only excerpts are sorted, not whole texts.
+        cuts = some.select("turn", "doc_id", F.xxhash64("doc_id").alias("mark"), cut.alias("cut"))
+        rows = cuts.orderBy("turn", "mark", "doc_id").limit(EXCERPTS).select("cut").collect()
         dictionaries.append("\n".join(r[0] for r in rows).encode())
     if min(map(len, dictionaries)) < 8:
         share = sample.agg(F.avg("label")).first()[0]
