@@ -67,7 +67,7 @@ def test_chunk_maps_compose_in_any_order():
         assert total(reduce(lambda b, a: composed(a, b, machine), reversed(maps)), machine) == want
 
 
-@pytest.mark.parametrize("chunk", [1 << 17, 100])
+@pytest.mark.parametrize("chunk", [1 << 14, 100, 7])
 def test_counts_of_a_table(awkward, chunk):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
