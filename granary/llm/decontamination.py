@@ -1,7 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit sampling over item-sized windows, exact edit verification.
 
 Texts are words: runs of letters and digits in lower case (ASCII and Latin-1 letters), so white space, punctuation and
-capitals never hide a passage. An item occurs where some run of words is within ``floor(edits * words of the item)``
+capitals never hide a passage. Kana and Han characters, which are written without blanks, are words by themselves. An item occurs where some run of words is within ``floor(edits * words of the item)``
 insertions, deletions and substitutions of words.
 
 The CGK walk (Chakraborty, Goldenberg, Koucky: Streaming algorithms for embedding and computing edit distance) emits the
@@ -12,8 +12,12 @@ as long as the shortest item of a length band. A window in which more words than
 the band cannot hold one, an exact bound that spares most walks. What the samples propose is decided by the edit
 distance of the whole item.
 
-The benchmark is taken in blocks of ``BLOCK`` items, each small enough for every task; a benchmark of any size is worked
-off block by block.
+Items of fewer than ``LEAST_WORDS`` words would be found with edits by chance in clean texts. They are looked up exactly: where
+all their words stand in order, and those of fewer than ``PHRASE`` words, which are no passage of a longer text, where they are
+the whole text.
+
+The benchmark is taken in blocks of ``BLOCK`` items, each small enough for every task; of several blocks the result of one is
+written before the next one is made.
 """
 
 from __future__ import annotations
@@ -25,13 +29,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.tables import without_ids
 from granary.llm.words import U, Words, lean, mixed, pieces, utf8_buffers
 from granary.session import materialise
 
 BLOCK = 20_000
-#: Shorter items would be found by chance in clean texts; they are not searched.
+#: Shorter items are looked up exactly, and those shorter than a phrase as whole texts.
 LEAST_WORDS = 8
+PHRASE = 4
 _PLACES = 2
 
 _BREAK = np.ones(256, bool)
@@ -47,6 +51,16 @@ def plain_words(column: pa.Array) -> Words:
         np.equal(data[:-1], 0xC3, out=after[1:])
         capital = after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
         data = data + capital.astype(np.uint8) * np.uint8(0x20)
+        # U+3000 to U+9FFF take three bytes from 0xE3 to 0xE9 on; the first 64 are blanks and punctuation.
+        lead = (data >= 0xE3) & (data <= 0xE9)
+        if lead.any():
+            lead[-2:] = False
+            mark = np.zeros(len(data), bool)
+            mark[:-1] = lead[:-1] & (data[:-1] == 0xE3) & (data[1:] == 0x80)
+            marked = mark.copy()
+            marked[1:] |= mark[:-1]
+            marked[2:] |= mark[:-2]
+            return Words(np.where(marked, np.uint8(32), data), offsets, _BREAK, alone=lead & ~mark)
     return Words(data, offsets, _BREAK)
 
 
@@ -72,6 +86,7 @@ class Needles:
         words = plain_words(pa.array(texts, pa.string()))
         bounds = list(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True))
         kept = [i for i, (a, b) in enumerate(bounds) if b - a >= LEAST_WORDS]
+        brief = [i for i, (a, b) in enumerate(bounds) if 0 < b - a < LEAST_WORDS]
         self.ids = [ids[i] for i in kept]
         self.repeats = repeats
         self.vocabulary, place = np.unique(words.hash, return_inverse=True)
@@ -79,6 +94,13 @@ class Needles:
         self.bitmap[self.vocabulary >> U(44)] = True
         symbols = (place + 1).astype(np.int32)
         self.texts = [symbols[bounds[i][0] : bounds[i][1]] for i in kept]
+        # By number of words: the sorted keys of short items and their ids.
+        self.brief: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in sorted({bounds[i][1] - bounds[i][0] for i in brief}):
+            same = [i for i in brief if bounds[i][1] - bounds[i][0] == n]
+            key = self.runs(symbols, np.array([bounds[i][0] for i in same]), n)
+            order = np.argsort(key, kind="stable")
+            self.brief[n] = key[order], np.array([ids[i] for i in same], np.int64)[order]
         self.allowed = [int(edits * len(t) + 1e-9) for t in self.texts]
         pairs = [_pair(np.full(len(t) - 1, i), t[:-1], t[1:]) for i, t in enumerate(self.texts)]
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
@@ -181,6 +203,38 @@ class Needles:
             items.append(item[fine])
         return np.concatenate(starts), np.concatenate(items)
 
+    @staticmethod
+    def runs(symbols: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
+        """A key of the ``n`` words from each start on."""
+        key = np.full(len(start), n, np.uint64)
+        for j in range(n):
+            key = mixed(key + symbols[start + j].astype(np.uint64))
+        return key
+
+    def exact(self, symbols: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Places (text, item id, first word, word after the last) of short items, places of one item not overlapping."""
+        length = np.diff(first)
+        known = np.zeros(len(symbols), np.int32)
+        np.cumsum(symbols[:-1] > 0, out=known[1:])
+        for n, (keys, ids) in self.brief.items():
+            if n < PHRASE:
+                start = first[:-1][length == n]
+            else:
+                start = np.arange(len(symbols) - 1)
+                start = start[np.repeat(first[1:], length) - start >= n]
+            start = start[known[start + n] - known[start] == n]
+            key = self.runs(symbols, start, n)
+            low = np.searchsorted(keys, key, "left")
+            times = np.searchsorted(keys, key, "right") - low
+            hit = np.flatnonzero(times)
+            free: dict[int, int] = {}
+            for at, a, c in zip(start[hit].tolist(), low[hit].tolist(), times[hit].tolist(), strict=True):
+                for item in ids[a : a + c].tolist():
+                    if free.get(item, 0) <= at:
+                        free[item] = at + n
+                        text = int(np.searchsorted(first, at, "right")) - 1
+                        yield text, item, at - int(first[text]), at - int(first[text]) + n
+
     def occurrences(self, symbols: np.ndarray, low: int, high: int, item: int) -> Iterator[tuple[int, int, int]]:
         """Places (edits, first word, word after the last) of the item in ``symbols[low:high]``, best first, not overlapping."""
         left = [(low, high)]
@@ -239,6 +293,7 @@ def _search(needles: Needles):
                     region = max(low, int(starts[a]) - needles.allowed[item]), min(high, int(starts[b]) + int(reach[item]))
                     for edits, begin, end in needles.occurrences(symbols, *region, item):
                         rows.append((doc, needles.ids[item], begin - low, end - low, edits))
+                rows += [(*place, 0) for place in needles.exact(symbols, words.first)]
                 if rows:
                     doc, *rest = zip(*rows, strict=True)
                     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
@@ -247,10 +302,14 @@ def _search(needles: Needles):
     return lean(search)
 
 
-def _needles(benchmark: DataFrame, edits: float, repeats: int) -> Iterator[Needles]:
-    """The items, block by block."""
+def _items(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """The items, and in how many blocks they are taken."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
-    blocks = max(1, -(-items.count() // BLOCK))
+    return items, max(1, -(-items.count() // BLOCK))
+
+
+def _needles(items: DataFrame, blocks: int, edits: float, repeats: int) -> Iterator[Needles]:
+    """The items, one block at a time."""
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         yield Needles([r[0] for r in rows], [r[1] for r in rows], edits, repeats)
@@ -260,25 +319,22 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2
     """Passages of ``benchmark(item_id, text)`` in ``docs(doc_id, text)``.
 
     ``doc_id, item_id, first_word, last_word, edits``: the item covers the words ``first_word`` to before ``last_word``
-    with that many edits; one row for each place, in the order of the text, places of one item not overlapping. Null and
-    empty texts on either side, items of fewer than ``LEAST_WORDS`` words and items with a null id give no row. Repeated
+    with that many edits; one row for each place, places of one item not overlapping. Items of fewer than ``LEAST_WORDS`` words
+    are found without edits, those of fewer than ``PHRASE`` words only where they are the whole text. Null and
+    empty texts on either side, empty tables and items with a null id give no row; a text without words is empty. Very long texts are searched whole. Repeated
     documents each give their rows, a null ``doc_id`` stays null, repeated items match once under each id. Other columns
     are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    items, blocks = _items(benchmark)
     out = None
-    for needles in _needles(benchmark, edits, repeats):
+    for needles in _needles(items, blocks, edits, repeats):
         found = docs.mapInArrow(_search(needles), "doc_id bigint, item_id bigint, first_word int, last_word int, edits int")
+        found = materialise(found, "passages") if blocks > 1 else found
         out = found if out is None else out.unionAll(found)
     return out
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a benchmark passage; rows with a null id are judged by their own text alone and stay."""
-    spoiled = benchmark_passages(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
-    return without_ids(docs, materialise(spoiled, "spoiled"))
-
-
 def _free(needles: Needles):
     """The rows, all columns, whose text holds no item."""
     search = _search(needles)
@@ -296,6 +352,8 @@ def _free(needles: Needles):
 
 def rows_without_benchmark(docs: DataFrame, benchmark: DataFrame, edits: float = 0.2, repeats: int = 20) -> DataFrame:
     """The rows of ``docs`` whose own text holds no passage of :func:`benchmark_passages`, whatever their id, null and repeated ones too."""
-    for needles in _needles(benchmark, edits, repeats):
+    items, blocks = _items(benchmark)
+    for block, needles in enumerate(_needles(items, blocks, edits, repeats), 1):
         docs = docs.mapInArrow(_free(needles), docs.schema)
+        docs = materialise(docs, "free-of-a-block") if block < blocks else docs
     return docs

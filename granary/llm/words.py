@@ -90,7 +90,8 @@ class Words:
     ``hash``: 64 bits per word. Different words share a hash with a chance of about 2**-58.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE, lower: bool = True):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE, lower: bool = True, alone: np.ndarray | None = None):
+        """``alone`` marks the first bytes of three-byte characters that are words by themselves."""
         self.offsets = offsets
         self.data = data = _LOWER[data] if lower else data
         inside = ~separator[data]
@@ -99,7 +100,12 @@ class Words:
         before = np.empty(len(data), bool)
         before[1:] = inside[:-1]
         before[:1] = False
-        self.start = np.flatnonzero(inside & (~before | edge[:-1]))
+        fresh = inside & (~before | edge[:-1])
+        if alone is not None:
+            fresh |= alone
+            fresh[3:] |= inside[3:] & alone[:-3]
+            edge[:-1] |= fresh
+        self.start = np.flatnonzero(fresh)
         after = np.empty(len(data), bool)
         after[:-1] = inside[1:]
         after[-1:] = False

@@ -1,6 +1,6 @@
 import random
 
-from granary.llm.decontamination import benchmark_passages, rows_without_benchmark, without_benchmark
+from granary.llm.decontamination import benchmark_passages, plain_words, rows_without_benchmark
 from granary.llm import decontamination
 from tests.llm.conftest import words
 
@@ -66,10 +66,10 @@ def test_places_and_edges(spark, awkward, nothing):
     )
     found = sorted((str(r.doc_id), r.item_id, r.first_word, r.last_word, r.edits) for r in benchmark_passages(docs, benchmark(spark)).collect())
     m = len(ITEMS[3].split())
-    assert found == sorted([("1", 7, 2, 2 + n, 0), ("1", 7, 5 + n, 5 + 2 * n, 0), ("None", 7, 0, n, 0), ("2", 7, 0, n, 0), ("2", 7, 0, n, 0), ("6", 3, 0, m, 0), ("6", 80, 0, m, 0)])
-    kept = without_benchmark(docs, benchmark(spark))
-    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "None"]
-    assert benchmark_passages(awkward, benchmark(spark)).count() == 0 and without_benchmark(awkward, benchmark(spark)).count() == awkward.count()
+    assert found == sorted([("5", 79, 0, 4, 0), ("1", 7, 2, 2 + n, 0), ("1", 7, 5 + n, 5 + 2 * n, 0), ("None", 7, 0, n, 0), ("2", 7, 0, n, 0), ("2", 7, 0, n, 0), ("6", 3, 0, m, 0), ("6", 80, 0, m, 0)])
+    kept = rows_without_benchmark(docs, benchmark(spark))
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4"]
+    assert benchmark_passages(awkward, benchmark(spark)).count() == 0 and rows_without_benchmark(awkward, benchmark(spark)).count() == awkward.count()
     assert benchmark_passages(nothing, benchmark(spark)).count() == 0
     assert benchmark_passages(docs, benchmark(spark).limit(0)).count() == 0
 
@@ -88,3 +88,25 @@ def test_a_benchmark_of_many_blocks(spark, monkeypatch):
     whole = {tuple(r) for r in benchmark_passages(docs, benchmark(spark)).collect()}
     monkeypatch.setattr(decontamination, "BLOCK", 4)
     assert {tuple(r) for r in benchmark_passages(docs, benchmark(spark)).collect()} == whole and len(whole) >= 31
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    question, chinese = "What is the capital city of France?", "請問下列哪一個城市是法國的首都並且位於塞納河的兩岸而且人口超過兩百萬"
+    items = spark.createDataFrame([(1, question), (2, "Paris"), (3, "one two one two"), (4, chinese), (5, question), (6, "日本の首都")], "item_id long, text string")
+    changed = chinese.replace("城市", "地方")  # two of 33 characters
+    texts = [
+        (1, f"Quiz: what is the capital\ncity of FRANCE -- Paris."), (2, "Paris"), (3, "They went to Paris, the capital city of France."), (4, "one two one two one two one two one two"),
+        (5, f"甲乙丙丁「{changed}」，戊己庚辛。"), (6, "甲乙丙丁戊己庚辛" * 6), (7, "これは日本の首都です"), (8, "日本の大きな首都"), (9, "abc日本の首都xyz"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.first_word, r.edits) for r in benchmark_passages(docs, items).collect()}
+    assert found == {(1, 1, 1, 0), (1, 5, 1, 0), (2, 2, 0, 0), (4, 3, 0, 0), (4, 3, 4, 0), (5, 4, 4, 2), (7, 6, 3, 0), (9, 6, 1, 0)}
+    assert sorted(r.doc_id for r in rows_without_benchmark(docs, items).collect()) == [3, 6, 8]
+
+
+def test_words_of_scripts_without_blanks():
+    import pyarrow as pa
+
+    words = plain_words(pa.array(["日本のabc、x", "", "本", "é語"]))
+    assert [words.text(i, i + 1) for i in range(len(words.start))] == ["日", "本", "の", "abc", "x", "本", "é", "語"]
+    assert words.first.tolist() == [0, 5, 5, 6, 8] and words.hash[1] == words.hash[5]
