@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from granary.llm.tables import maybe_with, whole_groups, without_ids
+from granary.llm.tables import free_name, maybe_with, whole_groups, without_ids
 from granary.llm.words import U, Words, lean, mixed, pieces, powers, utf8_buffers
 from granary.operators.components import component_roots
 from granary.session import materialise
@@ -370,6 +370,7 @@ def without_near_duplicates(docs: DataFrame, n: int = 5, share: int = 75) -> Dat
 
     Of rows that repeat such an id one stays, the one with the least columns. Rows with a null id
     go where a row with an id is in their component; of a component without ids one row stays. Those without a shingle stay.
+    Columns of any name keep their values.
     """
     sets, labelled = _labelled(docs, n, share)
     nameless = docs.where("doc_id is null")
@@ -377,13 +378,14 @@ def without_near_duplicates(docs: DataFrame, n: int = 5, share: int = 75) -> Dat
         return _least_ids(docs, sets, labelled)
     labelled = materialise(labelled, "labelled-sets")
     # The number of a row is written with it: it tells rows without an id apart.
-    nameless = materialise(nameless.withColumn("_row", F.monotonically_increasing_id()), "rows-without-id")
-    numbered = nameless.select(F.col("_row").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    own = numbered.mapInArrow(_with_set(n), "doc_id bigint, set_id bigint, text string").where("set_id is not null").select(F.col("doc_id").alias("_row"), "set_id")
-    own = materialise(own.join(labelled, "set_id").select("_row", "root", "component_id"), "sets-without-id")
-    one = own.where("component_id is null").groupBy("root").agg(F.min("_row").alias("_row")).select("_row")
-    gone = own.select("_row").join(one, "_row", "left_anti")
-    rest = nameless.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = free_name(docs.columns, "_row")
+    nameless = materialise(nameless.withColumn(row, F.monotonically_increasing_id()), "rows-without-id")
+    numbered = nameless.select(F.col(row).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = numbered.mapInArrow(_with_set(n), "doc_id bigint, set_id bigint, text string").where("set_id is not null").select(F.col("doc_id").alias(row), "set_id")
+    own = materialise(own.join(labelled, "set_id").select(row, "root", "component_id"), "sets-without-id")
+    one = own.where("component_id is null").groupBy("root").agg(F.min(row).alias(row)).select(row)
+    gone = own.select(row).join(one, row, "left_anti")
+    rest = nameless.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     return _least_ids(docs.where("doc_id is not null"), sets, labelled).unionAll(rest)
 
 

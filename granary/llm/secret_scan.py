@@ -18,7 +18,7 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from granary.llm.tables import bounded_sample
+from granary.llm.tables import bounded_sample, free_name
 from granary.session import materialise
 
 SAMPLE = 1500
@@ -262,9 +262,10 @@ def masked_secrets(docs: DataFrame, mask: str = "<secret>", findings: DataFrame
 
     # The findings are named twice; as an element of an array they are worked out once.
     clean = F.coalesce(F.element_at(F.transform(F.array(text_secrets(text, model)), masked), 1), text)
-    out = docs.withColumn("_clean", clean)
-    changed = {"text": F.col("_clean").cast(docs.schema["text"].dataType)}
+    name = free_name(docs.columns, "_clean")
+    out = docs.withColumn(name, clean)
+    changed = {"text": F.col(name).cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
-        same = F.col("_clean").eqNullSafe(text)
-        changed["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length("_clean").cast(docs.schema["n_chars"].dataType))
+        same = F.col(name).eqNullSafe(text)
+        changed["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length(name).cast(docs.schema["n_chars"].dataType))
     return out.select([changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])

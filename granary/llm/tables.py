@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -103,6 +103,14 @@ def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
 MARKS = 1 << 20
 
 
+def free_name(columns: Iterable[str], name: str) -> str:
+    """``name``, with as many lines below it as it takes to differ from all ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _mark(doc_id) -> Column:
     return F.pmod(F.xxhash64(F.col(doc_id).cast("bigint")), F.lit(MARKS))
 
@@ -110,11 +118,12 @@ def _mark(doc_id) -> Column:
 def maybe_with(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` may be among ``ids(doc_id)``; with ``left_anti`` those where it surely is not.
 
-    An id is told by one of ``MARKS`` marks, so the broadcast side has ``MARKS`` rows at most, whatever the number of ids,
-    and no text is shuffled. An exact join is left for the few rows that may.
+    An id is told by one of ``MARKS`` marks, so the broadcast side has ``MARKS`` rows at most, whatever the number of ids. An
+    exact join is left for the rows that may. With far more ids than marks nearly all rows may, and that join is the work.
     """
-    marks = ids.select(_mark("doc_id").alias("_mark")).distinct()
-    return docs.join(F.broadcast(marks), _mark("doc_id") == F.col("_mark"), how)
+    name = free_name(docs.columns, "_mark")
+    marks = ids.select(_mark("doc_id").alias(name)).distinct()
+    return docs.join(F.broadcast(marks), _mark("doc_id") == F.col(name), how)
 
 
 def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:

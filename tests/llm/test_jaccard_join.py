@@ -115,3 +115,10 @@ def test_one_row_of_each_group_without_ids(spark):
     kept = without_near_duplicates(docs)
     marks = sorted(r.mark for r in kept.collect())
     assert kept.columns == docs.columns and marks[1:] == ["d", "f", "g", "h"] and marks[0] in ("a", "b")
+
+
+def test_clashing_names_keep_their_values(spark):
+    rows = [(None, words(1, 30), "a", 7, 8), (None, words(1, 30), "a", 7, 8), (1, words(2, 30), "b", 9, 1), (2, words(2, 30), "c", 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, _mark int, _clean int")
+    kept = without_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
