@@ -15,7 +15,11 @@ from granary.session import materialise
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject. It learns from the labelled documents of this stage's input."""
+    """Documents that the quality classifier does not reject. It learns from the labelled documents of this stage's input.
+
+    Null and empty texts are scored as the empty text, long ones whole; rows that repeat an id are judged each by its own text, and an
+    empty table stays empty.
+    """
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
@@ -37,7 +41,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the remaining documents and their places in the training sequences."""
+    """The pieces of the remaining documents and their places in the training sequences.
+
+    A null or empty text is its end mark alone; rows with a null or repeated id are packed like others.
+    """
     table(spark, sf_dir, "documents")
     return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
