@@ -2,13 +2,20 @@
 
 A document's set holds its distinct shingles as 64-bit hashes. Two sets with a similarity of at least ``share`` / 100
 have sizes within that ratio, so they lie in one size band or in neighbouring ones, and differ in at most
-``k = 2 (100 - share) / (100 + share) * largest size`` features. The feature domain is cut into ``k + 1 + m``
-ranges. The sets then agree in at least ``m + 1`` of them, so if one set has at most ``m`` empty ranges, both share the
-signature of a range that is not empty. A set with more empty ranges adds the signatures of another hashing of the
+``k = (100 - share) / (100 + share) * both sizes`` features. A set has signatures for three meetings: with sets of its
+own band, of the next and of the one before; each has its own ``k``.
+
+The feature domain is cut into ``k // 2 + 1 + m`` first-level partitions and each of those into ``SECOND`` of the second
+level. Two sets differ by more than one feature in at most ``k // 2`` first-level partitions; in each of the other
+``m + 1`` the one feature lies in one second-level partition, and the sets agree on the subset that leaves it out. So all
+subsets that leave one second-level partition out are enumerated, and what the set holds there is a signature. Subsets
+in which a set holds nothing are no signature: if at most ``m`` of its first-level partitions have such a subset, one
+of the ``m + 1`` still gives a common signature. A set with more of them adds the signatures of another hashing of the
 domain, until it has few; its partner, which has the same trouble or is found already, does the same.
 
-Signatures only propose groups of sets. Inside a group 64 one-byte minima per set drop pairs that cannot be similar (a
-pair at the threshold is dropped with a chance below 1e-7). What remains is cut into families, each family's texts are
+Signatures only propose groups of sets. A group above ``GROUP`` sets, as a passage in very many texts makes it, is dealt
+over blocks and worked off block against block. Inside a group sizes and 64 one-byte minima per set drop pairs that
+cannot be similar (a pair at the threshold is dropped with a chance below 1e-7). What remains is cut into families, each family's texts are
 brought together once, and the shingle sets themselves decide, pair by pair, until a family's links are known. Exact
 copies count as one set throughout. Families above ``BLOCK`` sets are worked off block against block.
 """
@@ -33,6 +40,10 @@ LEAST_EQUAL = 28
 BATCH = 1_000_000
 #: Distinct sets of a family that one task compares with one another.
 BLOCK = 3000
+#: Sets of one signature that one task compares by their minima.
+GROUP = 2000
+#: Second-level partitions of each first-level partition.
+SECOND = 3
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, MINIMA, dtype=np.uint64) * U(2) + U(1)
 _STEP = [int(x) for x in np.random.default_rng(8).integers(1, 1 << 63, 64, dtype=np.uint64) * U(2) + U(1)]
 
@@ -81,39 +92,47 @@ def band_edges(share: int, largest: int) -> np.ndarray:
 EDGES = {75: band_edges(75, 1 << 40)}
 
 
-def signatures(s: np.ndarray, share: int) -> np.ndarray:
-    """The set's signatures for its own band and the next one."""
+def _meetings(size: int, share: int) -> Iterator[tuple[int, int, int]]:
+    """(key, first-level partitions, spare ones among them) for the sets that one of ``size`` shingles may be similar to."""
     if share not in EDGES:
         EDGES[share] = band_edges(share, 1 << 40)
     edges = EDGES[share]
-    band = int(np.searchsorted(edges, len(s)))
+    band = int(np.searchsorted(edges, size))
+    for below in range(max(band - 1, 0), band + 1):
+        least = int(edges[below])
+        most = min(int(edges[below + 1]), least * 100 // share)
+        # The sets of one band, then those of a band and the next; a smaller set needs more spare partitions.
+        for key, sizes, eighths in ((2 * below, 2 * least, 2), (2 * below + 1, least + most, 3)):
+            differing = (100 - share) * sizes // (100 + share)
+            if differing and (below == band or key % 2):  # else only equal sets are similar
+                needed = differing // 2 + 1
+                spare = -(-needed * eighths // 8) if needed > 3 else 0
+                yield key, needed + spare, spare
+
+
+def signatures(s: np.ndarray, share: int) -> np.ndarray:
+    """The set's signatures for its own band and its neighbours."""
     found = []
-    sums = None
-    for key in (band, band + 1):
-        k = int(2 * (100 - share) * edges[key] // (100 + share))
-        if k == 0:
-            continue  # only equal sets are similar
-        spare = -(-k // 4)
-        ranges = k + 1 + spare
+    hashings: list[tuple[np.ndarray, np.ndarray]] = []
+    for key, ranges, spare in _meetings(len(s), share):
+        parts = ranges * SECOND
+        ends = np.arange(1, parts, dtype=np.uint64) * U((1 << 64) // parts)
+        number = np.arange(parts, dtype=np.uint64).reshape(ranges, SECOND) * U(_STEP[0])
         for seed in range(50):
-            if seed == 0:
-                ordered = s
-                if sums is None:
-                    sums = np.zeros(len(s) + 1, np.uint64)
-                    np.cumsum(mixed(s), out=sums[1:])
-                total = sums
-            else:
-                ordered = np.sort(mixed(s + U(_STEP[seed])))
+            if seed == len(hashings):
+                ordered = np.sort(mixed(s + U(_STEP[seed]))) if seed else s
                 total = np.zeros(len(s) + 1, np.uint64)
                 np.cumsum(mixed(ordered), out=total[1:])
-            places = np.searchsorted(ordered, np.arange(1, ranges, dtype=np.uint64) * U((1 << 64) // ranges))
-            places = np.concatenate(([0], places, [len(s)]))
-            full = np.flatnonzero(places[1:] > places[:-1])
-            last = seed == 49  # not reached in practice; then the empty ranges count as well
-            chosen = np.arange(ranges) if last else full
-            content = total[places[chosen + 1]] - total[places[chosen]]
-            found.append(mixed(content + chosen.astype(np.uint64) * U(_STEP[0]) + U(_STEP[1] * (key * 64 + seed) % (1 << 64))))
-            if ranges - len(full) <= spare:
+                hashings.append((ordered, total))
+            ordered, total = hashings[seed]
+            places = np.concatenate(([0], np.searchsorted(ordered, ends), [len(s)]))
+            held = np.diff(places).reshape(ranges, SECOND)
+            content = np.diff(total[places]).reshape(ranges, SECOND)
+            left = held.sum(1, keepdims=True) > held  # something is left in the subset without this part
+            chosen = left if seed < 49 else np.ones_like(left)  # not reached in practice; then empty subsets count as well
+            subset = (content.sum(1, keepdims=True) - content + number)[chosen]
+            found.append(mixed(subset + U(_STEP[1] * (key * 64 + seed) % (1 << 64))))
+            if (~left).any(1).sum() <= spare:
                 break
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
@@ -191,7 +210,7 @@ def _proposed(n: int, share: int, bits: int):
 
 @lean
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (group_id, set_id) for the sets that share a signature; equal groups of a bucket once."""
+    """Rows (group_id, set_id, members) for the sets that share a signature; equal groups of a bucket once."""
     for rows in whole_groups(batches, "bucket"):
         buckets = rows.column("bucket").to_numpy()
         for bucket in np.unique(buckets):
@@ -220,35 +239,48 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some = once[a : a + 20_000]
                 l = length[some]
                 at = np.repeat(begin[some] - np.concatenate(([0], np.cumsum(l)[:-1])), l) + np.arange(l.sum())
-                yield pa.record_batch([pa.array(np.repeat(group[some].view(np.int64), l)), pa.array(sets[at])], ["group_id", "set_id"])
+                yield pa.record_batch([pa.array(np.repeat(group[some].view(np.int64), l)), pa.array(sets[at]), pa.array(np.repeat(l, l))], ["group_id", "set_id", "members"])
 
 
-@lean
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) that span the sets of each group whose minima make a similar pair possible."""
-    for rows in whole_groups(batches, "group_id"):
-        groups = rows.column("group_id").to_numpy()
-        ids = rows.column("set_id").to_numpy()
-        sketch = np.frombuffer(b"".join(rows.column("minima").to_pylist()), np.uint8).reshape(-1, MINIMA)
-        begin = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
-        length = np.diff(np.concatenate((begin, [len(groups)])))
-        two = begin[length == 2]
-        good = (sketch[two] == sketch[two + 1]).sum(1) >= LEAST_EQUAL
-        u, v = [ids[two[good]]], [ids[two[good] + 1]]
-        for a, l in zip(begin[length > 2].tolist(), length[length > 2].tolist(), strict=True):
-            left = np.arange(a, a + l)
-            while len(left) > 1:
-                front, left = [left[0]], left[1:]
-                while front and len(left):
-                    x = front.pop()
-                    hit = (sketch[left] == sketch[x]).sum(1) >= LEAST_EQUAL
-                    if hit.any():
-                        near = left[hit]
-                        u.append(np.full(len(near), ids[x]))
-                        v.append(ids[near])
-                        front.extend(near.tolist())
-                        left = left[~hit]
-        yield pa.record_batch([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
+def _near(share: int):
+    """Edges (u, v) that span the sets of each group, or of two of its blocks, whose sizes and minima make a similar pair possible."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "task"):
+            tasks = rows.column("task").to_numpy()
+            ids = rows.column("set_id").to_numpy()
+            size = rows.column("size").to_numpy()
+            side = rows.column("side").to_numpy()
+            sketch = np.frombuffer(b"".join(rows.column("minima").to_pylist()), np.uint8).reshape(-1, MINIMA)
+            begin = np.flatnonzero(np.concatenate(([True], tasks[1:] != tasks[:-1])))
+            length = np.diff(np.concatenate((begin, [len(tasks)])))
+
+            def possible(x, others: np.ndarray) -> np.ndarray:
+                fit = 100 * np.minimum(size[others], size[x]) >= share * np.maximum(size[others], size[x])
+                return fit & ((sketch[others] == sketch[x]).sum(1) >= LEAST_EQUAL)
+
+            two = begin[length == 2]
+            good = two[possible(two, two + 1)]
+            u, v = [ids[good]], [ids[good + 1]]
+            for a, l in zip(begin[length > 2].tolist(), length[length > 2].tolist(), strict=True):
+                every = np.arange(a, a + l)
+                across = bool(side[every].any())
+                left = [every[side[every] == k] for k in (0, 1)]
+                while len(left[0]) and len(left[across]):
+                    front, left[0] = [left[0][0]], left[0][1:]
+                    while front:
+                        x = front.pop()
+                        other = 1 - int(side[x]) if across else 0
+                        hit = possible(x, left[other])
+                        if hit.any():
+                            found = left[other][hit]
+                            u.append(np.full(len(found), ids[x]))
+                            v.append(ids[found])
+                            front.extend(found.tolist())
+                            left[other] = left[other][~hit]
+            yield pa.record_batch([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], ["u", "v"])
+
+    return lean(near)
 
 
 class _Union:
@@ -306,15 +338,19 @@ def _linked(n: int, share: int):
 
 
 def _blocks(families: DataFrame) -> DataFrame:
-    """Deal the sets of a family over blocks of about ``BLOCK`` sets, one task for each block and pair of blocks."""
-    sizes = families.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = families.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    pair = F.explode(others).alias("other")
-    both = dealt.select("*", pair)
+    """The sets of a family dealt over blocks of about ``BLOCK`` sets, one task for each block and pair of blocks."""
+    sizes = families.groupBy("root").agg(F.count("*").alias("members"))
+    return _paired(families.join(sizes, "root"), "root", BLOCK).select("set_id", "doc_id", "minima", "task", "side")
+
+
+def _paired(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """``rows`` of groups of ``members`` sets with the ``task`` of each pair of blocks and the ``side`` of the set in it."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("set_id", key), blocks).cast("int"))
+    both = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     lower, upper = F.least("block", "other"), F.greatest("block", "other")
-    side = F.when(F.col("block") <= F.col("other"), 0).otherwise(1)
-    return both.select("set_id", "doc_id", "minima", F.xxhash64("root", lower, upper).alias("task"), side.cast("int").alias("side"))
+    side = F.when(F.col("block") <= F.col("other"), 0).otherwise(1).cast("int")
+    return both.withColumns({"task": F.xxhash64(key, lower, upper), "side": side}).drop("block", "other", "members")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, share: int = 75) -> DataFrame:
@@ -339,15 +375,16 @@ def _labelled(docs: DataFrame, n: int, share: int) -> tuple[DataFrame, DataFrame
     """The set of each row, and ``set_id, root, component_id`` of each distinct set; a component without an id has a null one."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = materialise(docs.mapInArrow(_described(n), "doc_id bigint, n_shingles bigint, set_id bigint, minima binary"), "sets")
-    distinct = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("minima").alias("minima"))
+    distinct = sets.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("minima").alias("minima"), F.first("n_shingles").alias("size"))
     distinct = materialise(distinct, "distinct-sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     bits = int(min(24, max(2, np.ceil(np.log2(1 + total / BATCH)))))
     blobs = docs.mapInArrow(_proposed(n, share, bits), "bucket int, signatures binary, places binary, sets binary")
-    groups = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, "group_id bigint, set_id bigint")
+    groups = blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, "group_id bigint, set_id bigint, members bigint")
     # Equal groups come from many buckets; they meet here, together with the minima of their sets.
-    groups = materialise(groups.distinct().join(distinct.select("set_id", "minima"), "set_id"), "groups")
-    near = groups.repartition("group_id").sortWithinPartitions("group_id").mapInArrow(_near, "u bigint, v bigint").distinct()
+    groups = materialise(groups.distinct().join(distinct.select("set_id", "minima", "size"), "set_id"), "groups")
+    tasks = _paired(groups, "group_id", GROUP).drop("group_id")
+    near = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_near(share), "u bigint, v bigint").distinct()
     families = materialise(component_roots(near).withColumnRenamed("vertex", "set_id"), "families")
     members = _blocks(families.join(distinct, "set_id"))
     # Copies of a set share its least id. Marks of the ids leave out nearly all other documents before the texts move; the

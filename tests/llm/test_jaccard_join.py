@@ -1,11 +1,13 @@
+import itertools
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from granary.llm import jaccard_join
-from granary.llm.jaccard_join import EDGES, jaccard_components, signatures, without_near_duplicates
+from granary.llm.jaccard_join import EDGES, _meetings, jaccard_components, signatures, without_near_duplicates
 from tests.llm.conftest import words
 
 
@@ -53,9 +55,10 @@ def documents():
     return [(k, t) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("block", [3000, 7])
-def test_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, group", [(3000, 2000), (7, 3)])
+def test_against_brute_force(spark, monkeypatch, block, group):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "GROUP", group)
     rows = documents()
     found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert found.columns == ["doc_id", "n_shingles", "component_id"]
@@ -92,6 +95,36 @@ def test_similar_sets_share_a_signature():
     assert (np.diff(EDGES[75]) > 0).all()
 
 
+def test_subsets_of_partitions_are_enumerated():
+    draw = np.random.default_rng(4)
+    for size in [12, 60, 300]:
+        s = np.sort(draw.integers(1, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        key, ranges, spare = next(m for m in _meetings(size, 75) if m[0] % 2 == 0)
+        # At most k // 2 partitions differ by more than one shingle, so more than the spare ones differ by one at most.
+        differing = 25 * 2 * int(EDGES[75][key // 2]) // 175
+        assert ranges - differing // 2 == spare + 1
+        # One shingle less in each of so many partitions leaves a common signature, though no partition may be left whole.
+        common = np.intersect1d(signatures(s, 75), signatures(np.delete(s, np.arange(0, size, 8)), 75))
+        assert len(common)
+
+
+def test_a_passage_in_all_texts_makes_no_large_task(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "GROUP", 40)
+    group = spark.range(1000).selectExpr("id as set_id", "id % 2 as group_id").withColumn("members", F.lit(500).cast("long"))
+    tasks = {}
+    for r in jaccard_join._paired(group, "group_id", jaccard_join.GROUP).collect():
+        tasks.setdefault(r.task, ([], []))[r.side].append(r.set_id)
+    assert max(len(a) + len(b) for a, b in tasks.values()) < 3 * 40
+    compared = [frozenset(p) for a, b in tasks.values() for p in (itertools.product(a, b) if b else itertools.combinations(a, 2))]
+    assert len(compared) == len(set(compared)) == 2 * 500 * 499 // 2
+    # 150 texts that share a passage, and near copies of a few: the links are those of the brute force.
+    passage = words(9, 24)
+    texts = [f"{passage} {words(1000 + k, 180)}" for k in range(150)]
+    rows = list(enumerate(texts + [t.rsplit(" ", 3)[0] for t in texts[::15]]))
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, found.collect()), key=str) == brute_force(rows)
+
+
 def test_awkward_documents(awkward, nothing):
     found = jaccard_components(awkward)
     want = brute_force([(r.doc_id, r.text) for r in awkward.collect() if r.doc_id != 4])
