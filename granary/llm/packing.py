@@ -39,8 +39,8 @@ NODES = 20_000
 def completions(top: int, counts: np.ndarray, capacity: int, most: int = FILLINGS) -> list[tuple[int, ...]]:
     """Undominated fillings of a bin that holds ``top``, least waste first.
 
-    A depth-first search over lengths in falling order. A filling with one length ``x`` less than what is free is dominated
-    if a longer length that still fits is left; only the longest that fit are taken up at each depth.
+    A depth-first search over lengths in falling order; only the longest that fit are taken up at each depth. What it finds is
+    put through the dominance tests, and a dominated filling gives way to the one that dominates it.
     """
     found: list[tuple[int, tuple[int, ...]]] = []
     left = counts.copy()
@@ -81,26 +81,63 @@ def completions(top: int, counts: np.ndarray, capacity: int, most: int = FILLING
         return exact
     grow((top,), free, free)
     best: dict[tuple[int, ...], int] = {}
-    for waste, chosen in found:
-        best.setdefault(chosen, waste)
-    ordered = sorted(best.items(), key=lambda item: (item[1], tuple(-x for x in item[0])))
-    return [chosen for chosen, _ in ordered[:most]]
+    for _, chosen in sorted(set(found), key=lambda item: (item[0], tuple(-x for x in item[1]))):
+        chosen = undominated(chosen, counts, capacity)
+        best[chosen] = capacity - sum(chosen)
+        if len(best) == most:
+            break
+    return sorted(best, key=lambda chosen: (best[chosen], tuple(-x for x in chosen)))
+
+
+def undominated(filling: tuple[int, ...], counts: np.ndarray, capacity: int) -> tuple[int, ...]:
+    """``filling`` after all swaps that dominate it: a longer length for one of its lengths, one length for two of them.
+
+    A packing with the filling stays one if the swapped lengths change places, so the filling that takes the longer one is as
+    good. The first length, which the bin is searched for, stays. Each swap wastes less or leaves fewer lengths, so they end.
+    """
+    top, *rest = filling
+    left = counts.copy()
+    for x in filling:
+        left[x] -= 1
+    free = capacity - sum(filling)
+
+    while rest:
+        have = np.append(0, np.flatnonzero(left > 0))
+        once, times = np.unique(rest, return_counts=True)
+        first, second = np.triu_indices(len(once))
+        real = (first != second) | (times[first] > 1)
+        olds = [(x,) for x in once.tolist()] + list(zip(once[first[real]].tolist(), once[second[real]].tolist(), strict=True))
+        sizes = np.concatenate((once, once[first[real]] + once[second[real]]))
+        # The longest length left that fits in the place; one that stands for one length has to exceed it.
+        longest = have[np.searchsorted(have, sizes + free, "right") - 1]
+        better = np.flatnonzero(longest >= sizes + (np.arange(len(sizes)) < len(once)))
+        if not len(better):
+            break
+        k = int(better[0])
+        for x in olds[k]:
+            rest.remove(x)
+            left[x] += 1
+        rest.append(int(longest[k]))
+        left[longest[k]] -= 1
+        free -= int(longest[k] - sizes[k])
+    return (top, *sorted(rest, reverse=True))
 
 
 def least_bins(counts: np.ndarray, capacity: int) -> int:
-    """No packing has fewer bins: whole bins of all lengths, and lengths above a half that nothing left can fill."""
-    lengths = np.arange(len(counts))
-    total = int((counts * lengths).sum())
-    best = -(-total // capacity)
+    """No packing has fewer bins: whole bins of all lengths, and the waste of lengths above a half that nothing left can fill."""
+    counts = np.pad(counts, (0, capacity + 1 - len(counts)))
+    half = capacity // 2
+    lengths = np.arange(capacity + 1)
     below = np.cumsum(counts * lengths)
-    above = np.cumsum(counts[::-1])[::-1]
-    for k in range(1, capacity // 2 + 1):
-        large = int(above[capacity - k + 1]) if capacity - k + 1 < len(counts) else 0
-        middle = int(above[capacity // 2 + 1]) - large if capacity // 2 + 1 < len(counts) else 0
-        room = middle * capacity - int(below[min(capacity - k, len(counts) - 1)] - below[capacity // 2])
-        small = int(below[capacity // 2] - below[k - 1])
-        best = max(best, large + middle + max(0, -(-(small - room) // capacity)))
-    return best
+    above = np.append(np.cumsum(counts[::-1])[::-1], 0)
+    # For each k: lengths above capacity - k take no length of k or more, so those need room elsewhere.
+    k = np.arange(1, half + 1)
+    large = above[capacity - k + 1]
+    middle = above[half + 1] - large
+    room = middle * capacity - (below[capacity - k] - below[half])
+    small = below[half] - below[k - 1]
+    bins = large + middle + np.maximum(0, -((room - small) // capacity))
+    return max(-(-int(below[-1]) // capacity), int(bins.max(initial=0)))
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -140,15 +177,12 @@ def pack_counts(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES
     bound = least_bins(counts, capacity)
     spent = [0]
 
-    def bins_needed(left: np.ndarray) -> int:
-        return -(-int((left * np.arange(len(left))).sum()) // capacity)
-
     # Depth first with limited discrepancy: the path of first choices, then paths that leave it once, and so on.
     stack = [(counts.copy(), None, 0, 0)]
     while stack and spent[0] < nodes and fewest > bound:
         left, path, used, late = stack.pop()
         while True:
-            if used + bins_needed(left) >= fewest:
+            if used + least_bins(left, capacity) >= fewest:
                 break
             some = np.flatnonzero(left)
             if not len(some):

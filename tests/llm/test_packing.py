@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from granary.llm.packing import best_fit, completions, least_bins, pack_counts, packed
+from granary.llm.packing import best_fit, completions, least_bins, pack_counts, packed, undominated
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +55,31 @@ def test_search_uses_every_piece_and_finds_the_least():
         assert least_bins(counts, capacity) <= best == bins(found)
 
 
+def test_no_filling_is_dominated():
+    pick = random.Random(2)
+    for _ in range(300):
+        capacity = pick.choice([20, 50, 100])
+        counts = counts_of([pick.randint(1, capacity) for _ in range(pick.randint(1, 40))], capacity)
+        top = int(np.flatnonzero(counts)[-1])
+        for filling in completions(top, counts, capacity):
+            left = counts.copy()
+            np.subtract.at(left, list(filling), 1)
+            assert filling[0] == top and (left >= 0).all() and sum(filling) <= capacity
+            free = capacity - sum(filling)
+            for size, gone in itertools.chain(((1, (x,)) for x in filling[1:]), ((2, p) for p in itertools.combinations(filling[1:], 2))):
+                low, high = sum(gone) + (size == 1), sum(gone) + free
+                assert not left[low : high + 1].any(), (filling, gone)
+    assert undominated((10, 4, 3), counts_of([10, 7, 4, 3], 18), 18) == (10, 7)
+    assert undominated((10, 4), counts_of([10, 6, 5, 4], 16), 16) == (10, 6)
+    assert undominated((10,), counts_of([10], 16), 16) == (10,)
+
+
+def test_lengths_that_fit_with_nothing_raise_the_bound():
+    # The total asks for 3 bins; none of the lengths above a half takes another.
+    assert least_bins(counts_of([6, 6, 6, 6, 5], 10), 10) == 5
+    assert least_bins(counts_of([], 10), 10) == 0
+
+
 def test_search_beats_best_fit_where_that_errs():
     # Best fit pairs 6+4 and is left with odd ends; 6+2+2 and 4+3+3 fill every bin.
     counts = counts_of([6, 4, 3, 3, 2, 2], 10)
