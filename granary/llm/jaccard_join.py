@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from granary.llm.tables import free_name, maybe_with, whole_groups, without_ids
@@ -161,6 +162,19 @@ def _described(n: int):
     return lean(describe)
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """``values`` byte plane by byte plane, compressed where that is shorter; the first byte tells which."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    short = zstandard.ZstdCompressor(level=1).compress(planes)
+    return b"\1" + short if len(short) < len(planes) else b"\0" + planes
+
+
+def _restored(blob: bytes, kind: type) -> np.ndarray:
+    planes = zstandard.ZstdDecompressor().decompress(blob[1:]) if blob[0] else blob[1:]
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def _proposed(n: int, share: int, bits: int):
     """Rows (bucket, signatures, sets): the sorted signatures of a run of documents, cut by their leading bits."""
     names = ["bucket", "signatures", "places", "sets"]
@@ -181,7 +195,9 @@ def _proposed(n: int, share: int, bits: int):
         for bucket in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
             a, b = cuts[bucket], cuts[bucket + 1]
             used, place = np.unique(owner[a:b], return_inverse=True)
-            rows.append((bucket, rest[a:b].tobytes(), place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), ids[used].tobytes()))
+            steps = np.diff(rest[a:b], prepend=np.uint32(0))  # small, as the signatures are sorted
+            place = place.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32)
+            rows.append((bucket, _squeezed(steps), _squeezed(place), ids[used].tobytes()))
         types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         for a in range(0, len(rows), 64):
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 64], strict=True), types, strict=True)], names)
@@ -217,9 +233,9 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = rows.filter(pa.array(buckets == bucket))
             sigs, sets = [], []
             for s, p, d in zip(part.column("signatures").to_pylist(), part.column("places").to_pylist(), part.column("sets").to_pylist(), strict=True):
-                sigs.append(np.frombuffer(s, np.uint32))
+                sigs.append(np.cumsum(_restored(s, np.uint32), dtype=np.uint32))
                 ids = np.frombuffer(d, np.int64)
-                sets.append(ids[np.frombuffer(p, np.uint16 if len(ids) <= 1 << 16 else np.uint32)])
+                sets.append(ids[_restored(p, np.uint16 if len(ids) <= 1 << 16 else np.uint32)])
             sigs, sets = np.concatenate(sigs), np.concatenate(sets)
             order = np.lexsort((sets, sigs))
             sigs, sets = sigs[order], sets[order]
