@@ -135,3 +135,25 @@ def test_all_dictionaries_are_refilled(spark, tmp_path):
     assert all(len(rows) == 1 and rows[0]["KEY"] == 1 for rows in got.values())
     assert got["t8651"][0].asDict() == {"KEY": 1, "name": "А", "ord": 1, "head_inn": "7", "okpo": "K", "inn": "77", "ogrn": "G"}
     assert got["t8653"][0]["name"] == plan.INDUSTRIES["29."]
+
+
+LINES = "file string, pos int, cell string"
+
+
+def _shuffles(df):
+    plan_ = df._jdf.queryExecution().executedPlan().toString()
+    return plan_.count("Exchange hashpartitioning"), plan_
+
+
+def test_two_line_names_move_lines_and_not_cells(spark):
+    difference = plan.reshape.DIFFERENCE
+    lower = [("a", 1, "x"), ("a", 2, difference), ("a", 3, None), ("a", 4, "w\0\1N"), ("b", 1, "p"), ("b", 1, "p"), ("c", 2, "abcdefghijkl"), ("c", 1, "y"), ("c", 3, difference)]
+    upper = [("a", 1, ""), ("a", 2, "U"), ("a", 3, ""), ("a", 4, "﻿"), ("b", 1, "V"), ("b", 2, ""), ("c", 1, "S"), ("c", 3, ""), ("c", 2, ""), (None, 1, "n")]
+    got = plan.reshape.two_line_names(*[spark.createDataFrame(rows, LINES).coalesce(1) for rows in (upper, lower)])
+    expected = [
+        ("a", 1, "x"), ("a", 2, f"x_{difference} U"), ("a", 3, None), ("a", 4, "w\0\1N"), ("b", 1, "p V"), ("b", 1, "p V"),
+        ("c", 1, "y S"), ("c", 2, "abcdefghijkl S"), ("c", 3, f"abcdefghij_{difference} S"),
+    ]
+    count, text = _shuffles(got)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+    assert count == 2 and text.count("MapInArrow") == 2 and "Window" not in text
