@@ -170,8 +170,10 @@ def two_line_names(upper: DataFrame, lower: DataFrame, file: str = "file") -> Da
 
 def joined_names(names: DataFrame, file: str = "file", separator: str = ",") -> DataFrame:
     """All names of a file in one text, in column order."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "name")))
-    return names.groupBy(file).agg(F.array_join(F.transform(ordered, lambda c: c["name"]), separator).alias("names"))
+    ready = F.col("apart") & ~F.exists("runs", lambda r: F.contains(r["cell"], F.lit(_MARK)))
+    texts = F.transform("runs", lambda r: F.replace(r["cell"], F.lit(_END), F.lit(separator)))
+    cells = F.transform(_cells("runs", "apart", dict(names.dtypes)["pos"]), lambda c: c["cell"])
+    return _lines(names, file, "name").select(file, F.array_join(F.when(ready, texts).otherwise(cells), separator).alias("names"))
 
 
 def wide_to_long(

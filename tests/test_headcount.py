@@ -157,3 +157,13 @@ def test_two_line_names_move_lines_and_not_cells(spark):
     count, text = _shuffles(got)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
     assert count == 2 and text.count("MapInArrow") == 2 and "Window" not in text
+
+
+def test_joined_names_move_lines_and_not_cells(spark):
+    cells = [("a", 2, "y"), ("a", 1, "x"), ("a", 4, None), ("a", 5, "z\0\1"), (None, 1, "n"), ("b", 1, ""), ("b", 2, "q"), ("b", 2, "p")]
+    got = plan.reshape.joined_names(spark.createDataFrame(cells, LINES).coalesce(1).withColumnRenamed("cell", "name"))
+    count, text = _shuffles(got)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", "x,y,z\0\1"), (None, "n"), ("b", ",p,q")], key=str)
+    # What is shuffled are texts of several cells; no array of cells is gathered before.
+    before = text[text.index("Exchange hashpartitioning") :]
+    assert count == 1 and "MapInArrow" in before and "collect_list" not in before
