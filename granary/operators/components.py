@@ -45,11 +45,9 @@ def component_roots(edges: DataFrame) -> DataFrame:
         finally:
             around.unpersist()
         lowest = large.groupBy("hi").agg(F.min("lo").alias("root"))
-        pairs = F.array(
-            F.struct(F.col("hi").alias("hi"), F.col("root").alias("lo")),
-            F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")),
-        )
-        stars = large.join(lowest, "hi").select(F.inline(pairs)).where(F.col("hi") != F.col("lo")).distinct()
+        # The larger end of an edge goes to the root once, whatever the number of its edges; root < lo < hi.
+        rest = large.join(lowest, "hi").where(F.col("lo") != F.col("root")).select(F.col("lo").alias("hi"), F.col("root").alias("lo"))
+        stars = lowest.select("hi", F.col("root").alias("lo")).unionAll(rest).distinct()
         before, current = current, materialise(stars, "edges")
         discard(before)
         discard(large)

@@ -204,3 +204,20 @@ def test_grid_product_shuffles_its_input_only(spark):
     side = lambda c: materialise(spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias(c)), "side")
     got = grid_product(side("x"), [side("y"), side("z")], "k", 100)
     assert got.count() == 300**3
+
+
+def test_components_name_the_root_of_a_vertex_once(spark, monkeypatch):
+    """A round does not unfold every edge in two: the root of the larger end comes from the vertex, and only then other ends follow."""
+    from granary.operators import components
+
+    plans, write = [], components.materialise
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(components, "materialise", noted)
+    edges = [(i, j) for i in range(12) for j in range(i)] + [(20 + i, 21 + i) for i in range(6)]
+    got = dict(rows(components.component_roots(spark.createDataFrame(edges, "u bigint, v bigint"))))
+    assert got == {i: 0 for i in range(12)} | {20 + i: 20 for i in range(7)}
+    assert len(plans) > 2 and not any("Generate" in p for p in plans)
