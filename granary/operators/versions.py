@@ -121,9 +121,9 @@ class Versions:
         table = self.tables[name]
         hashed = _hash(keys or table.keys)
         depths = sorted({b.depth for b in table.buckets.values()})
-        tried = rows.withColumn(LEAF, F.explode(F.array(*[_name_at(d, hashed) for d in depths])))
         if len(depths) == 1:
-            return tried
+            return rows.withColumn(LEAF, _name_at(depths[0], hashed))
+        tried = rows.withColumn(LEAF, F.explode(F.array(*[_name_at(d, hashed) for d in depths])))
         known = self.spark.createDataFrame([(n,) for n in table.buckets], f"{LEAF} string")
         return tried.join(F.broadcast(known), LEAF, "left_semi")
 
@@ -165,8 +165,8 @@ class Change(Versions):
         count = self.spark.read.schema(rows.schema).parquet(folder).count()
         self.tables[name].buckets = {"d0p0": Bucket(0, 0, count, (folder,))}
 
-    def _write(self, name: str, leaved: DataFrame) -> dict[str, tuple[int, int, str]]:
-        """Write rows with their bucket; rows, different keys and folder of each bucket.
+    def _write(self, name: str, leaved: DataFrame) -> dict[str, tuple[int, str]]:
+        """Write rows with their bucket; rows and folder of each bucket.
 
         Rows are gathered by bucket, and adaptive execution splits one that is too large for a task.
         """
@@ -174,29 +174,34 @@ class Change(Versions):
         schema = T.StructType.fromJson(json.loads(self.tables[name].schema))
         leaved.select(*schema.names, LEAF).hint("rebalance", LEAF).write.partitionBy(LEAF).parquet(folder)
         wide = T.StructType([*schema.fields, T.StructField(LEAF, T.StringType())])
-        back = self.spark.read.schema(wide).parquet(folder).groupBy(LEAF)
-        counts = back.agg(F.count("*"), F.approx_count_distinct(_hash(self.tables[name].keys))).collect()
-        found = {r[0]: (r[1], r[2], f"{folder}/{LEAF}={r[0]}") for r in counts}
-        self.written += [path for _, _, path in found.values()]
+        counts = self.spark.read.schema(wide).parquet(folder).groupBy(LEAF).count().collect()
+        found = {r[0]: (r[1], f"{folder}/{LEAF}={r[0]}") for r in counts}
+        self.written += [path for _, path in found.values()]
         return found
 
-    def _put(self, name: str, leaf: str, rows: int, keys: int, paths: tuple[str, ...]) -> None:
-        """Note the new state of a bucket, and split it where it has grown too large."""
+    def _sized(self, name: str, leaved: DataFrame) -> dict[str, tuple[int, int]]:
+        """Rows and different keys that each bucket is to get, from the columns of the key alone."""
+        counts = leaved.groupBy(LEAF).agg(F.count("*"), F.approx_count_distinct(_hash(self.tables[name].keys)))
+        return {r[0]: (r[1], r[2]) for r in counts.collect()}
+
+    def _cleared(self, name: str, leaf: str, rows: int, keys: int) -> None:
+        """Empty a bucket that is to get so many rows of so many keys, and split it where they are too many.
+
+        Buckets are split before their rows are written, so these are shuffled and written once, all buckets in one job.
+        """
         buckets = self.tables[name].buckets
-        old = buckets[leaf]
-        deeper = min((-(-rows // self.limit) - 1).bit_length(), max(keys - 1, 0).bit_length(), DEEPEST - old.depth)
-        if deeper <= 0:
-            buckets[leaf] = Bucket(old.depth, old.prefix, rows, paths)
-            return
-        schema = T.StructType.fromJson(json.loads(self.tables[name].schema))
-        depth = old.depth + deeper
-        content = self.spark.read.schema(schema).parquet(*paths)
-        del buckets[leaf]
+        old = buckets.pop(leaf)
+        deeper = max(min((-(-rows // self.limit) - 1).bit_length(), max(keys - 1, 0).bit_length(), DEEPEST - old.depth), 0)
         for k in range(1 << deeper):
-            child = Bucket(depth, old.prefix | (k << old.depth))
+            child = Bucket(old.depth + deeper, old.prefix | (k << old.depth))
             buckets[child.name] = child
-        for child, (n, _, path) in self._write(name, content.withColumn(LEAF, _name_at(depth, _hash(self.tables[name].keys)))).items():
-            buckets[child] = Bucket(depth, buckets[child].prefix, n, (path,))
+
+    def _add(self, name: str, rows: DataFrame) -> None:
+        """Write rows beside those that their buckets have."""
+        buckets = self.tables[name].buckets
+        for leaf, (n, path) in self._write(name, self.placed(name, rows)).items():
+            old = buckets[leaf]
+            buckets[leaf] = Bucket(old.depth, old.prefix, old.rows + n, (*old.paths, path))
 
     def slices(self, name: str, rows: DataFrame, column: str, values: Sequence) -> None:
         """Replace the slices ``values`` of ``column`` by ``rows``; a slice without rows is emptied, the others are not touched."""
@@ -205,35 +210,46 @@ class Change(Versions):
         buckets = self.tables[name].buckets
         new = self._write(name, rows.withColumn(LEAF, F.coalesce(F.col(column).cast("string"), F.lit("null"))))
         for value in {*map(str, values), *new}:
-            count, _, path = new.get(value, (0, 0, None))
+            count, path = new.get(value, (0, None))
             if path:
                 buckets[value] = Bucket(0, 0, count, (path,))
             else:
                 buckets.pop(value, None)
 
-    def append(self, name: str, rows: DataFrame) -> int:
-        """Add rows: new files beside the old ones. Only a bucket with too many rows or files is written anew."""
+    def append(self, name: str, rows: DataFrame, merged: Callable[[DataFrame], DataFrame] | None = None) -> int:
+        """Add rows: new files beside the old ones. Only a bucket with too many rows or files is written anew.
+
+        ``merged`` is what a bucket written anew makes of its rows, such as one sum of several. ``rows`` is read more than once:
+        pass a written table.
+        """
         buckets = self.tables[name].buckets
-        added = 0
-        for leaf, (n, keys, path) in self._write(name, self.placed(name, rows)).items():
-            old = buckets[leaf]
-            added += n
-            paths = (*old.paths, path)
-            if old.rows + n > self.limit or len(paths) > FILES:
-                again = self.spark.read.schema(T.StructType.fromJson(json.loads(self.tables[name].schema))).parquet(*paths)
-                self.opened.update(old.paths)
-                ((_, (total, different, whole)),) = self._write(name, again.withColumn(LEAF, F.lit(leaf))).items()
-                self._put(name, leaf, total, different, (whole,))
-            else:
-                self._put(name, leaf, old.rows + n, keys, paths)
-        return added
+        sized = self._sized(name, self.placed(name, rows))
+        if not sized:
+            return 0
+        full = [leaf for leaf, (n, _) in sized.items() if buckets[leaf].rows + n > self.limit or len(buckets[leaf].paths) >= FILES]
+        anew = [leaf for leaf in full if buckets[leaf].paths]
+        content, sizes = rows, sized
+        if anew:
+            leaved, again = self.placed(name, rows), F.col(LEAF).isin(anew)
+            both = self.read(name, anew).unionByName(leaved.where(again).drop(LEAF))
+            both = merged(both) if merged else both
+            sizes = sized | self._sized(name, self.placed(name, both))
+            content = leaved.where(~again).drop(LEAF).unionByName(both.select(*rows.columns))
+        for leaf in full:
+            self._cleared(name, leaf, *sizes[leaf])
+        self._add(name, content)
+        return sum(n for n, _ in sized.values())
 
     def rewrite(self, name: str, leaves: Sequence[str], content: DataFrame) -> None:
-        """Replace the rows of some buckets by ``content``, which has rows of these buckets only."""
-        new = self._write(name, self.placed(name, content))
+        """Replace the rows of some buckets by ``content``, which has rows of these buckets only.
+
+        ``content`` is worked out twice, the first time for its keys alone.
+        """
+        sized = self._sized(name, self.placed(name, content))
         for leaf in leaves:
-            rows, keys, path = new.get(leaf, (0, 0, None))
-            self._put(name, leaf, rows, keys, (path,) if path else ())
+            self._cleared(name, leaf, *sized.get(leaf, (0, 0)))
+        if sized:
+            self._add(name, content)
 
     def replace_groups(self, name: str, fresh: DataFrame, kept: Callable[[DataFrame], DataFrame]) -> None:
         """Put ``fresh`` in place of the rows that ``kept`` leaves out, in the buckets that ``fresh`` falls into."""

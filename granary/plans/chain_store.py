@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from granary.functions.dates import stamp as stamp_of
 from granary.operators.versions import ROWS, Change, Versions
 from granary.plans import chains
-from granary.session import materialise
+from granary.session import discard, materialise
 
 ITEMS, MOVES = "items", "moves"
 ITEM_SCHEMA = T.StructType(
@@ -149,11 +149,15 @@ class ChainStore:
         )
         into = own.select(F.col("chain_id").alias("root"), F.col("chain").alias("into"))
         moves = grown.merged.join(own, "chain_id").join(into, "root").select("chain", "into", stamp.alias("at"))
+        items, moves = materialise(items, "new-items"), materialise(moves, "new-moves")
         added = change.append(ITEMS, items), change.append(MOVES, moves)
+        discard(items)
+        discard(moves)
         folded = change.tables[MOVES].rows > max(FEW, change.tables[ITEMS].rows // SHARE)
         if folded:
-            whole = _current(change.read(ITEMS), change.read(MOVES))
+            whole = materialise(_current(change.read(ITEMS), change.read(MOVES)), "whole")
             change.rewrite(ITEMS, list(change.tables[ITEMS].buckets), whole)
+            discard(whole)
             change.rewrite(MOVES, list(change.tables[MOVES].buckets), self.spark.createDataFrame([], MOVE_SCHEMA))
         top = grown.top
         if top is None:  # the chain with the largest number has gone into another, and none has been opened after it

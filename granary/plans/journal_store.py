@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from granary.operators.journal import IN_WORK, LOAD, NEW, SUCCESS
 from granary.operators.versions import ROWS, Change, Versions
+from granary.session import discard, materialise
 
 STATE, TAIL, HISTORY, SEQ = "state", "tail", "history", "seq"
 #: Appends in the tail before they are folded.
@@ -73,7 +74,9 @@ class JournalStore:
             return change.cost()
         tail = change.read(TAIL)
         leaves = change.touched(STATE, tail)
-        change.rewrite(STATE, leaves, _latest(change.read(STATE, leaves).unionByName(_as_state(tail))))
+        latest = materialise(_latest(change.read(STATE, leaves).unionByName(_as_state(tail))), "latest")
+        change.rewrite(STATE, leaves, latest)
+        discard(latest)
         change.append(HISTORY, tail)
         change.slices(TAIL, tail.where(F.lit(False)), SEQ, list(change.tables[TAIL].buckets))
         cost = change.cost()

@@ -126,10 +126,15 @@ def _ledger(stock: DataFrame, reqstock: DataFrame, warehouses: DataFrame, months
     return ledger_of(held, needed_rows(required, area_map(warehouses)))
 
 
-def ledger_of(held: DataFrame, needed: DataFrame) -> DataFrame:
-    """One row per key and date of rows or partial sums in the forms of :func:`held_rows` and :func:`needed_rows`."""
+def ledger_of(held: DataFrame, needed: DataFrame, summed: bool = False) -> DataFrame:
+    """One row per key and date of rows or partial sums in the forms of :func:`held_rows` and :func:`needed_rows`.
+
+    Raw rows are summed on the map side and shuffled by their whole key first. Where both are ``summed`` already, up to a few
+    sums of a key, there is nothing to combine, and the one shuffle that the windows need serves these sums too.
+    """
+    stacked = held.unionByName(needed, allowMissingColumns=True)
     by_type = (
-        held.unionByName(needed, allowMissingColumns=True)
+        (stacked.repartition("o_divis", "r_divis", "matnr") if summed else stacked)
         .groupBy(*KEY, "date", "bwtar")
         .agg(
             F.sum("any_qty").alias("any_qty"),
@@ -143,7 +148,7 @@ def ledger_of(held: DataFrame, needed: DataFrame) -> DataFrame:
     # The greatest valuation type is a text maximum, which would sort the raw rows; as a key it is hashed,
     # and the few types of a key are folded after the shuffle that the windows need anyway.
     return (
-        by_type.repartition("o_divis", "r_divis", "matnr")
+        (by_type if summed else by_type.repartition("o_divis", "r_divis", "matnr"))
         .groupBy(*KEY, "date")
         .agg(
             F.coalesce(F.sum("any_qty"), F.lit(0)).alias("any_qty"),

@@ -1,8 +1,9 @@
 """Twelve months of stock categories kept up to date from what has changed.
 
 ``held`` keeps the sums of the stock per key, date and valuation type, ``needed`` the distinct required rows, ``categories`` the
-result; all lie in buckets by material. No rule looks beyond one material, so a run adds the new rows to the sums, works
-out the categories of the materials they belong to, and puts them in place of the old ones. It opens the buckets of these
+result; all lie in buckets by material. A run puts its sums and rows beside those of earlier runs; a bucket of several files may
+so hold several sums of a key, which become one when the bucket is written anew. No rule looks beyond one material, so a run works
+out the categories of the materials its rows belong to, and puts them in place of the old ones. It opens the buckets of these
 materials and no other, and reads no stock row it has seen before. When the months, the date of the run, the areas or the calendar
 differ from those of the last run, all materials are worked out again, from the sums. The three tables switch together.
 """
@@ -86,10 +87,8 @@ def load(
     change = Change(spark, folder, rows)
     change.table(HELD, new_held.schema, ["matnr"])
     change.table(NEEDED, new_needed.schema, ["matnr"])
-    for name, new, merged in ((HELD, new_held, _held_sums), (NEEDED, new_needed, lambda both: both.select(*_NEEDED).distinct())):
-        leaves = change.touched(name, new)
-        if leaves:
-            change.rewrite(name, leaves, merged(change.read(name, leaves).unionByName(new)))
+    change.append(HELD, new_held, _held_sums)
+    change.append(NEEDED, new_needed, lambda both: both.select(*_NEEDED).distinct())
     dates = calendar.select("date").distinct()
     terms = {"as_of": as_of.isoformat(), "months": [m.isoformat() for m in months], "areas": _mark(areas), "dates": _mark(dates)}
     whole = change.facts.get(TERMS) != terms
@@ -109,7 +108,9 @@ def load(
     past = (F.col("kind") == rules.PAST_DATA) & (F.col("date") < now)
     required = of_changed(NEEDED, "matnr").where((current | past) & (F.col("date") >= since) & (F.col("date") < until))
     held = of_changed(HELD, "matnr").where((F.col("date") > since) & (F.col("date") < until))
-    ledger = rules.ledger_of(held, rules.needed_rows(required.select("area", "date", "matnr", "qty").distinct(), areas))
+    needed = rules.needed_rows(required.select("area", "date", "matnr", "qty").distinct(), areas)
+    needed = needed.groupBy(*rules.KEY, "date").agg(F.sum("need").alias("need"), F.max("needed").alias("needed"))
+    ledger = rules.ledger_of(held, needed, summed=True)
     fresh = materialise(rules.categories_of(ledger, calendar, months), "categories")
     if whole:
         change.tables.pop(CATEGORIES, None)
