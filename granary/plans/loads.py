@@ -74,10 +74,10 @@ def last_load_wins(placed: DataFrame, key: str = SNAPSHOT_KEY) -> DataFrame:
     """Rows of all loads as if loaded one by one in the order of ``place``, each replacing the groups it brings.
 
     Only the last load of a group survives. Rows without a group key replace nothing and all survive.
-    The winner of a group is found with a grouped maximum, so a group of any size is no single task.
-    ``placed`` is read more than once: pass a written table.
+    The winner of a group is found with a grouped maximum, so a group of any size is no single task. Winners are written, so
+    their size is known, and where they are few the rows stay where they are. ``placed`` is read more than once: pass a written table.
     """
-    winner = placed.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("place").alias("_last"))
+    winner = materialise(placed.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("place").alias("_last")), "winners")
     kept = placed.join(winner, key, "left")
     return kept.where(F.col("_last").isNull() | (F.col("place") == F.col("_last"))).select(*placed.columns)
 
@@ -130,13 +130,16 @@ def write_snapshot(fresh: DataFrame, path: str, rows: int = ROWS) -> dict[str, i
     is seen as a whole or not at all; writing the same rows again changes nothing.
     """
     fresh = materialise(fresh, "fresh")
-    unnamed = fresh.where(F.col(SNAPSHOT_KEY).isNull())
+    # Written by themselves, the ids and loads have a known size; where they are few the old rows are not shuffled to be compared.
+    ids = materialise(fresh.select(SNAPSHOT_KEY).distinct(), "ids")
+    unnamed = materialise(fresh.where(F.col(SNAPSHOT_KEY).isNull()).select(SNAPSHOT_KEY, "load_id").distinct(), "unnamed")
     change = Change(fresh.sparkSession, path, rows)
     change.table(CORE_TABLE, fresh.schema, [CORE_PLACE])
-    change.replace_groups(CORE_TABLE, fresh, lambda old: _without_loads(without_keys(old, fresh, [SNAPSHOT_KEY]), unnamed))
+    change.replace_groups(CORE_TABLE, fresh, lambda old: _without_loads(without_keys(old, ids, [SNAPSHOT_KEY]), unnamed))
     cost = change.cost()
     change.commit()
-    discard(fresh)
+    for table in (fresh, ids, unnamed):
+        discard(table)
     return cost
 
 
