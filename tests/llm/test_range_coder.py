@@ -68,3 +68,32 @@ def test_awkward_documents(spark, awkward):
 
 def test_nothing(nothing):
     assert written_and_read(nothing, PATH).count() == 0
+
+
+def test_a_section_holds_the_frequencies_of_its_ids():
+    draw = np.random.default_rng(3)
+    share = 1 / np.arange(1, 3001)
+    blocks = [draw.choice(3000, n, p=share / share.sum()).astype(np.uint32) * 13 for n in (2048, 2048, 700, 1)]
+    order0 = range_coder.frequencies(np.concatenate(blocks), 2)
+    codes = encode_blocks(blocks, 2, order0)
+    # The entropy of one id is 8.5 bits; with ids that are no hit coded as bytes it took 12.3.
+    assert 16 * sum(map(len, codes[:2])) < 8.6 * 4096
+    whole = [sealed(np.array([(k, k, 0, 0, len(b))], range_coder._ENTRY), len(b), 2, c, 0) for k, (b, c) in enumerate(zip(blocks, codes, strict=True))]
+    data = range_coder.section(whole, 2, order0)
+    found, parts = range_coder.section_parts(data)
+    assert parts == whole and all((a == b).all() for a, b in zip(found, order0, strict=True))
+    for a, b in zip(decode_blocks([opened(p)[3] for p in parts], [len(b) for b in blocks], 2, found), blocks, strict=True):
+        assert (a == b).all()
+    for place in [*range(0, len(data) - sum(map(len, whole)), 7), len(data) - 1]:
+        with pytest.raises(BlockError):
+            for part in range_coder.section_parts(data[:place] + bytes([data[place] ^ 4]) + data[place + 1 :])[1]:
+                opened(part)
+
+
+def test_frequencies_of_one_id_and_of_all_ids():
+    for ids in (np.full(500, 7, np.uint32), np.arange(1 << 16, dtype=np.uint32), np.array([0, 0xFFFFFFFF] * 300, np.uint32)):
+        for planes in (2, 4) if ids.max() < 1 << 16 else (4,):
+            order0 = range_coder.frequencies(ids, planes)
+            blocks = [ids[a : a + 2048] for a in range(0, len(ids), 2048)]
+            for a, b in zip(decode_blocks(encode_blocks(blocks, planes, order0), [len(b) for b in blocks], planes, order0), blocks, strict=True):
+                assert (a == b).all()
