@@ -214,10 +214,12 @@ class Transducer:
         self.table[state, self.column[byte]] = target << _SHIFT | change + _MIDDLE
 
     def _run(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
-        """Tokens of the words ``data[start:end]``; ``last`` gets the last token up to each byte."""
+        """Tokens of the words ``data[start:end]``; if given, ``last`` gets the last token up to each byte instead."""
         if len(self.content) > STATES:
             self._begin()
-        order = np.argsort(start - end, kind="stable")  # longest first
+        size = start - end
+        # Small numbers are sorted by radix.
+        order = np.argsort(size.astype(np.int16) if size.min(initial=0) >= -(1 << 15) else size, kind="stable")  # longest first
         place = start[order]
         negative = place - end[order]
         state = np.zeros(len(order), np.int64)
@@ -232,17 +234,18 @@ class Transducer:
             byte = data[at].astype(np.int64)
             now = state[:active]
             column = self.column[byte]
-            cell = self.table[now, column]
-            lost = np.flatnonzero((cell < 0) | (column < 0))
-            if len(lost):
+            cell = self.table.reshape(-1).take(now * self.table.shape[1] + column)
+            if cell.min() < 0 or column.min() < 0:
+                lost = np.flatnonzero((cell < 0) | (column < 0))
                 for pair in np.unique(now[lost] << 9 | byte[lost]).tolist():
                     if self.column[pair & 511] < 0 or self.table[pair >> 9, self.column[pair & 511]] < 0:
                         self.compile(pair >> 9, pair & 511)
                 cell[lost] = self.table[now[lost], self.column[byte[lost]]]
             state[:active] = cell >> _SHIFT
-            total[:active] += (cell & ((1 << _SHIFT) - 1)) - _MIDDLE
-            if last is not None:
-                last[at] = self.last[state[:active]]
+            if last is None:
+                total[:active] += (cell & ((1 << _SHIFT) - 1)) - _MIDDLE
+            else:
+                last[at] = self.last.take(state[:active])
             depth += 1
         out = np.empty(len(order), np.int64)
         out[order] = total
@@ -355,10 +358,8 @@ class Transducer:
             place = place - self.size[last[place - 1]]
             more = place > begin
             place, begin = place[more], begin[more]
-        sums = np.zeros(len(data) + 1, np.int64)
-        np.cumsum(final, out=sums[1:])
-        at = places[np.append(firsts, len(points))]
-        return sums[at[1:]] - sums[at[:-1]], last[final].astype(np.uint32)
+        final = np.flatnonzero(final)
+        return np.diff(np.searchsorted(final, places[np.append(firsts, len(points))])), last.take(final).astype(np.uint32)
 
     def _plain(self, texts: list[str]) -> tuple[list[int], list[int]]:
         """Texts for the table, and texts with the string of a special token."""
